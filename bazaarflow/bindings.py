@@ -37,7 +37,7 @@ def orders_fact(spark: SparkSession, root: str) -> DataFrame:
     for priority, method in payments.items():
         hit = c("o_orderpriority") == priority
         payment = F.when(hit, method) if payment is None else payment.when(hit, method)
-    cents = (c("l_extendedprice") * 100).cast("bigint")
+    cents = (c("l_extendedprice").cast("decimal(18,2)") * 100).cast("bigint")
     return joined.select(
         F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", cents).alias("order_id"),
         c("l_suppkey").alias("seller_id"),

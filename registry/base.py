@@ -60,14 +60,14 @@ def div(num: str, den: str) -> str:
     return f"({dbl(num)} / nullif({dbl(den)}, 0))"
 
 
-K = "cast(json_extract_string(props, '$.k') as int)"
+K = "cast(json_extract_string(props, '$.k') as bigint)"
 
 # Each shared input by name: the names it needs first, then its SQL.
 INPUTS: dict[str, tuple[list[str], str]] = {
     "orders_fact": (
         [],
         """
-    select concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, cast(l_extendedprice*100 as bigint)) as order_id,
+    select concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, cast(cast(l_extendedprice as decimal(18,2))*100 as bigint)) as order_id,
       l_suppkey as seller_id, o_custkey as customer_id, l_partkey as product_id, p_type as category, p_brand as subcategory,
       cast(l_extendedprice as decimal(18,2)) as amount_inr, cast(l_quantity as int) as quantity,
       case o_orderpriority when '1-URGENT' then 'UPI' when '2-HIGH' then 'Credit Card' when '3-MEDIUM' then 'Debit Card'
@@ -111,7 +111,7 @@ INPUTS: dict[str, tuple[list[str], str]] = {
     select concat('REV-', d.doc_id) as review_id, d.doc_id, text as review_text, d.doc_id % 50 as seller_id,
       source as product_category, lang as city,
       cast(case when toxic=1 then 1 + d.doc_id % 2 when quality=1 then 4 + d.doc_id % 2 when quality=0 then 2 else 3 end
-        as int) as rating,
+        as bigint) as rating,
       date '2024-01-01' + cast(d.doc_id % 28 as int) as review_date,
       case when toxic=1 or quality=0 then 'NEGATIVE' when quality=1 then 'POSITIVE' else 'NEUTRAL' end as sentiment,
       cast(d.doc_id * 37 % 101 as double) / 100 as sentiment_score,
