@@ -237,8 +237,8 @@ def search_queries(spark: SparkSession, root: str) -> DataFrame:
 def edges(spark: SparkSession, root: str) -> DataFrame:
     """Task graph over all parts: each part waits for p/3 and p/2."""
     p = table(spark, root, "part").select(F.col("p_partkey").alias("dst")).filter("dst > 0")
-    parents = F.explode(F.array_distinct(F.array(F.floor(F.col("dst") / 3), F.floor(F.col("dst") / 2))))
-    return p.select(parents.cast("bigint").alias("src"), "dst")
+    parents = F.array(F.floor(F.col("dst") / 3), F.floor(F.col("dst") / 2)).cast("array<bigint>")
+    return p.select(F.explode(F.array_distinct(parents)).alias("src"), "dst")
 
 
 def hourly_series(spark: SparkSession, root: str) -> DataFrame:

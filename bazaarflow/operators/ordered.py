@@ -112,28 +112,44 @@ def running(
     order: list[str],
     sums: dict[str, Column] | None = None,
     previous: dict[str, str] | None = None,
+    latest: dict[str, Column] | None = None,
     policy: SkewPolicy = DEFAULT,
     cut_all: bool = False,
 ) -> DataFrame:
-    """Add running sums (current row included) and values of the previous row, per key.
+    """Add values that depend on the rows before, per key.
 
+    ``sums``: running sum, current row included. ``previous``: a column's value in the row
+    before. ``latest``: the newest non-null value so far, current row included.
     ``order`` must be a total order within a key, its first column numeric.
     """
-    sums, previous = sums or {}, previous or {}
     chunked, cut = with_chunks(df, keys, order, policy, cut_all)
-    part = [*keys, CHUNK]
-    ordered = W.partitionBy(*part).orderBy(*order)
+    return running_in_chunks(chunked, cut, keys, order, sums, previous, latest).drop(CHUNK)
+
+
+def running_in_chunks(
+    chunked: DataFrame,
+    cut: bool,
+    keys: list[str],
+    order: list[str],
+    sums: dict[str, Column] | None = None,
+    previous: dict[str, str] | None = None,
+    latest: dict[str, Column] | None = None,
+) -> DataFrame:
+    """As ``running``, on rows that already have their chunk; keeps the chunk column."""
+    sums, previous, latest = sums or {}, previous or {}, latest or {}
+    ordered = W.partitionBy(*keys, CHUNK).orderBy(*order)
     upto = ordered.rowsBetween(W.unboundedPreceding, W.currentRow)
-    out = chunked
-    for name, expr in sums.items():
-        out = out.withColumn(name, F.sum(expr).over(upto))
-    for name, source in previous.items():
-        out = out.withColumn(name, F.lag(F.struct(source)).over(ordered))
+    out = chunked.select(
+        "*",
+        *[F.sum(expr).over(upto).alias(name) for name, expr in sums.items()],
+        *[F.lag(F.struct(source)).over(ordered).alias(name) for name, source in previous.items()],
+        *[F.last(expr, ignorenulls=True).over(upto).alias(name) for name, expr in latest.items()],
+    )
     if cut:
-        out = _carry(out, chunked, keys, order, sums, previous)
-    for name, source in previous.items():
-        out = out.withColumn(name, F.col(name)[source])
-    return out.drop(CHUNK)
+        out = _carry(out, chunked, keys, order, sums, previous, latest)
+    if previous:
+        out = out.withColumns({name: F.col(name)[source] for name, source in previous.items()})
+    return out
 
 
 def _carry(
@@ -143,16 +159,24 @@ def _carry(
     order: list[str],
     sums: dict[str, Column],
     previous: dict[str, str],
+    latest: dict[str, Column],
 ) -> DataFrame:
-    """Add what earlier chunks of the same key contribute."""
-    last = F.struct(*order)
+    """Add what earlier chunks of the same key contribute.
+
+    The table of totals has one row per cut key and chunk.
+    """
+    place = F.struct(*order)
     totals = (
         chunked.filter(F.col(CHUNK) >= 0)
         .groupBy(*keys, CHUNK)
         .agg(
             F.count("*").alias("_rows"),
             *[F.sum(expr).alias(f"_t_{name}") for name, expr in sums.items()],
-            *[F.max_by(F.struct(source), last).alias(f"_t_{name}") for name, source in previous.items()],
+            *[F.max_by(F.struct(source), place).alias(f"_t_{name}") for name, source in previous.items()],
+            *[
+                F.max_by(expr, F.when(expr.isNotNull(), place)).alias(f"_t_{name}")
+                for name, expr in latest.items()
+            ],
         )
     )
     by_chunk = W.partitionBy(*keys).orderBy(CHUNK)
@@ -161,16 +185,15 @@ def _carry(
         *[F.col(k).alias(f"_k_{k}") for k in [*keys, CHUNK]],
         *[F.sum(f"_t_{name}").over(before).alias(f"_c_{name}") for name in sums],
         *[F.lag(f"_t_{name}").over(by_chunk).alias(f"_c_{name}") for name in previous],
+        *[F.last(f"_t_{name}", ignorenulls=True).over(before).alias(f"_c_{name}") for name in latest],
     )
     cond = F.lit(True)
     for k in [*keys, CHUNK]:
         cond = cond & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
-    joined = out.join(carry, cond, "left")
-    for name in sums:
-        joined = joined.withColumn(name, F.col(name) + F.coalesce(F.col(f"_c_{name}"), F.lit(0)))
-    for name in previous:
-        joined = joined.withColumn(name, F.coalesce(F.col(name), F.col(f"_c_{name}")))
-    return joined.drop(*[c for c in joined.columns if c.startswith(("_k_", "_c_"))])
+    added = {name: F.col(name) + F.coalesce(F.col(f"_c_{name}"), F.lit(0)) for name in sums}
+    added |= {name: F.coalesce(F.col(name), F.col(f"_c_{name}")) for name in [*previous, *latest]}
+    joined = out.join(carry, cond, "left").withColumns(added)
+    return joined.drop(*[c for c in carry.columns])
 
 
 def position(

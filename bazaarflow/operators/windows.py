@@ -105,3 +105,33 @@ def local_peaks(df: DataFrame, key: str, pos: str, value: str, block: int = 1_00
 def step_change(df: DataFrame, key: str, order: str, value: str, name: str) -> DataFrame:
     """Previous value of an aggregated series; the series must hold one row per period."""
     return df.withColumn(name, F.lag(value, 1).over(W.partitionBy(key).orderBy(order)))
+
+
+def tumbling(df: DataFrame, ts: str, width: str, keys: list[str], amount: str, slide: str | None = None) -> DataFrame:
+    """Count and sum per event-time window; ``slide`` makes the windows overlap.
+
+    Works on a batch and, behind a watermark, on a stream.
+    """
+    window = F.window(ts, width, slide) if slide else F.window(ts, width)
+    agg = df.groupBy(window.alias("w"), *keys).agg(F.count("*").alias("n"), F.sum(amount).cast("double").alias("total"))
+    return agg.select(F.col("w.start").alias("start"), F.col("w.end").alias("end"), *keys, "n", "total")
+
+
+def sessions(
+    df: DataFrame, key: str, at: str, tie: str, amount: str, gap_micros: int, policy: SkewPolicy = DEFAULT
+) -> DataFrame:
+    """Sessions of a key: a new one starts when nothing happened for ``gap_micros``.
+
+    Marks session starts from the row before and numbers them with a running sum, so a
+    busy key is cut like in every other running operator.
+    """
+    slim = df.select(key, at, tie, amount)
+    seen = running(slim, [key], [at, tie], previous={"_before": at}, policy=policy)
+    begins = F.when(F.col("_before").isNull() | (F.col(at) - F.col("_before") >= gap_micros), 1).otherwise(0)
+    marked = running(seen.withColumn("_begin", begins), [key], [at, tie], sums={"session": F.col("_begin")}, policy=policy)
+    return marked.groupBy(key, "session").agg(
+        F.min(at).alias("first_at"),
+        F.max(at).alias("last_at"),
+        F.count("*").alias("n"),
+        F.sum(amount).cast("double").alias("total"),
+    )

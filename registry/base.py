@@ -73,7 +73,7 @@ INPUTS: dict[str, tuple[list[str], str]] = {
       case o_orderpriority when '1-URGENT' then 'UPI' when '2-HIGH' then 'Credit Card' when '3-MEDIUM' then 'Debit Card'
         when '4-NOT SPECIFIED' then 'Net Banking' else 'Cash on Delivery' end as payment_method,
       n_name as city, r_name as state, concat('tier', n_nationkey % 3 + 1) as city_tier,
-      cast(o_orderdate as date) as order_date, cast((l_orderkey*7+l_linenumber) % 24 as int) as order_hour,
+      cast(o_orderdate as date) as order_date, cast((l_orderkey*7+l_linenumber) % 24 as bigint) as order_hour,
       day(o_orderdate) in (7,14,21,28) as is_sale_day, c_mktsegment as device_type
     from lineitem join orders on l_orderkey=o_orderkey join part on l_partkey=p_partkey
       join customer on o_custkey=c_custkey join nation on c_nationkey=n_nationkey
