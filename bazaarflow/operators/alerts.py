@@ -66,7 +66,11 @@ def velocity_alerts(
     orders: DataFrame, rules: tuple[VelocityRule, ...] = VELOCITY_RULES, policy: SkewPolicy = DEFAULT
 ) -> DataFrame:
     """One alert per order and rule when the seller's trailing count is above the threshold."""
-    counted = trailing_counts(orders, rules, policy)
+    return alerts_of_counts(trailing_counts(orders, rules, policy), rules)
+
+
+def alerts_of_counts(counted: DataFrame, rules: tuple[VelocityRule, ...] = VELOCITY_RULES) -> DataFrame:
+    """Alerts from orders that already carry their trailing counts."""
     candidates = [
         F.struct(
             F.lit(r.name).alias("alert_type"),
@@ -154,16 +158,12 @@ def baselines_of_counted(
             pdf["baseline"] = before
             yield pdf.loc[pdf["_own"], ["seller_id", "event_id", "at_us", "_pos", "amount", "baseline"]]
 
-    key_type = orders_type(counted, "seller_id")
-    schema = f"seller_id {key_type}, event_id {orders_type(counted, 'event_id')}, at_us bigint, _pos bigint, amount double, baseline double"
+    ids = ", ".join(f"{c} {counted.schema[c].dataType.simpleString()}" for c in ("seller_id", "event_id"))
+    schema = f"{ids}, at_us bigint, _pos bigint, amount double, baseline double"
     after = F.lit(keep) * F.col("baseline") + F.lit(gain) * F.col("amount")
     return placed.mapInPandas(fold, schema).withColumn("baseline_after", after)
 
 
-def orders_type(df: DataFrame, column: str) -> str:
-    return df.schema[column].dataType.simpleString()
-
-
 def amount_alerts(
     orders: DataFrame, rule: AmountRule = AMOUNT_RULE, start: DataFrame | None = None, policy: SkewPolicy = DEFAULT
 ) -> DataFrame:

@@ -22,43 +22,67 @@ def with_defaults(orders: DataFrame) -> DataFrame:
     return orders.select("ts", *[c.alias(n) for n, c in cols.items()])
 
 
-def dashboard_counters(orders: DataFrame, as_of: str) -> DataFrame:
-    """Orders and revenue per value of each dimension and overall, in one pass.
+def _grouped(orders: DataFrame):
+    """Grouping by each dimension alone and by nothing, in one pass."""
+    return orders.groupingSets([*[[F.col(d)] for d in DIMENSIONS], []], *[F.col(d) for d in DIMENSIONS])
 
-    The overall row also carries the last one and five minutes.
-    """
-    now = F.to_timestamp(F.lit(as_of))
-    upto = with_defaults(orders).filter(F.col("ts") <= now)
 
+def _dimension(gid: str) -> F.Column:
+    full = (1 << len(DIMENSIONS)) - 1
+    out = F.when(F.col(gid) == full, "all")
+    for i, d in enumerate(DIMENSIONS):
+        out = out.when(F.col(gid) == full ^ (1 << (len(DIMENSIONS) - 1 - i)), d)
+    return out
+
+
+def _labels() -> list[F.Column]:
+    return [_dimension("g").alias("dimension"), F.coalesce(*DIMENSIONS, F.lit("*")).alias("name"), F.col("orders")]
+
+
+def all_time_counters(orders: DataFrame) -> DataFrame:
+    """Orders and exact revenue per value of each dimension and overall; adds up over batches."""
+    sets = _grouped(orders).agg(F.grouping_id().alias("g"), F.count("*").alias("orders"), F.sum("amount_inr").alias("revenue"))
+    return sets.select(*_labels(), "revenue")
+
+
+def _recent_columns(now) -> list[F.Column]:
     def recent(minutes: int):
         return F.col("ts") >= now - F.make_dt_interval(mins=F.lit(minutes))
 
     amount, zero = F.col("amount_inr"), F.lit(0).cast("decimal(18,2)")
-    sets = upto.groupingSets([*[[F.col(d)] for d in DIMENSIONS], []], *[F.col(d) for d in DIMENSIONS]).agg(
-        F.grouping_id().alias("g"),
-        F.count("*").alias("orders"),
-        F.sum(amount).alias("revenue"),
+    return [
         F.count_if(recent(1)).alias("orders_1"),
         F.count_if(recent(5)).alias("orders_5"),
         F.sum(F.when(recent(1), amount).otherwise(zero)).alias("revenue_1"),
         F.sum(F.when(recent(5), amount).otherwise(zero)).alias("revenue_5"),
+    ]
+
+
+def _money(columns: tuple[str, ...]) -> list[F.Column]:
+    return [F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in columns]
+
+
+def dashboard_counters(orders: DataFrame, as_of: str) -> DataFrame:
+    """Counters up to a point in time with those of the last one and five minutes."""
+    now = F.to_timestamp(F.lit(as_of))
+    upto = with_defaults(orders).filter(F.col("ts") <= now)
+    sets = _grouped(upto).agg(
+        F.grouping_id().alias("g"), F.count("*").alias("orders"), F.sum("amount_inr").alias("revenue"), *_recent_columns(now)
     )
-    full = (1 << len(DIMENSIONS)) - 1
-    dimension = F.when(F.col("g") == full, "all")
-    for i, d in enumerate(DIMENSIONS):
-        dimension = dimension.when(F.col("g") == full ^ (1 << (len(DIMENSIONS) - 1 - i)), d)
-    return sets.select(
-        dimension.alias("dimension"),
-        F.coalesce(*DIMENSIONS, F.lit("*")).alias("name"),
-        "orders",
-        "orders_1",
-        "orders_5",
-        *[F.coalesce(F.col(c), zero).cast("double").alias(c) for c in ("revenue", "revenue_1", "revenue_5")],
-    )
+    return sets.select(*_labels(), "orders_1", "orders_5", *_money(("revenue", "revenue_1", "revenue_5")))
+
+
+def add_recent(counters: DataFrame, recent: DataFrame) -> DataFrame:
+    """All-time counters plus the last minutes of ``recent`` orders, as of the newest of them."""
+    now = recent.agg(F.max("ts").alias("t")).scalar()
+    last = recent.agg(*_recent_columns(now))
+    extra = {c: last.select(c).scalar() for c in ("orders_1", "orders_5", "revenue_1", "revenue_5")}
+    full = counters.withColumns(extra)
+    return full.select("dimension", "name", "orders", "orders_1", "orders_5", *_money(("revenue", "revenue_1", "revenue_5")))
 
 
 def snapshot(counters: DataFrame, k_sellers: int = 10, k: int = 5) -> DataFrame:
-    """Dashboard sections from the counters. ``counters`` is read several times: materialize it."""
+    """Dashboard sections from the counters, which are read several times."""
     total = counters.filter("dimension = 'all'")
     revenue = total.select(F.greatest(F.lit(1.0), F.max("revenue")).alias("r")).scalar()
     orders = total.select(F.greatest(F.lit(1), F.max("orders")).alias("n")).scalar()

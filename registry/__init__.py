@@ -1,4 +1,4 @@
 """Registered queries and their SQL counterparts."""
 
-from . import marts, basics, orders, events, reviews, algorithms  # noqa: F401
+from . import marts, basics, orders, events, reviews, algorithms, streams  # noqa: F401
 from .base import QUERIES, SQL  # noqa: F401

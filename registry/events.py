@@ -324,9 +324,9 @@ def dashboard_sql(as_of):
         section("payment_method", "payment_distribution", "orders", 1000000, pct("orders", "(select greatest(1, n) from totals)", 1)),
         section("city_tier", "city_tier_distribution", "orders", 1000000, pct("orders", "(select greatest(1, n) from totals)", 1)),
     ]
-    since = f"filter (ts >= timestamp '{as_of}' - interval {{}} minutes)"
+    since = f"filter (ts >= {as_of} - interval {{}} minutes)"
     also = {
-        "upto": f"select * from orders_placed where ts <= timestamp '{as_of}'",
+        "upto": f"select * from orders_placed where ts <= {as_of}",
         "totals": f"""select count(*) as n, coalesce(sum(amount_inr), 0)::double as r,
           count(*) {since.format(1)} as n1, count(*) {since.format(5)} as n5,
           coalesce(sum(amount_inr) {since.format(1)}, 0)::double as r1,
@@ -335,6 +335,6 @@ def dashboard_sql(as_of):
     return using("orders_placed", " union all ".join(parts), also=also)
 
 
-@query("m6_live_dashboard", dashboard_sql(AS_OF))
+@query("m6_live_dashboard", dashboard_sql(f"timestamp '{AS_OF}'"))
 def m6(spark, root):
     return live_dashboard(B.orders_placed(spark, root), AS_OF)
