@@ -15,11 +15,20 @@ def table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{root}/{name}.parquet")
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Use all cores on a table that comes in few splits.
+
+    Only small inputs are moved: a table of many splits, as any large one is, stays as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() * 2 > cores else df.repartition(cores, *keys)
+
+
 def orders_fact(spark: SparkSession, root: str) -> DataFrame:
     """The 16-column order contract."""
     c = F.col
     joined = (
-        table(spark, root, "lineitem")
+        spread(table(spark, root, "lineitem"), "l_orderkey", "l_partkey")
         .join(table(spark, root, "orders"), c("l_orderkey") == c("o_orderkey"))
         .join(table(spark, root, "part"), c("l_partkey") == c("p_partkey"))
         .join(table(spark, root, "customer"), c("o_custkey") == c("c_custkey"))
@@ -60,7 +69,7 @@ def orders_fact(spark: SparkSession, root: str) -> DataFrame:
 
 def events_fact(spark: SparkSession, root: str) -> DataFrame:
     """Order, inventory and seller events in one table."""
-    return shape_events(table(spark, root, "events"))
+    return shape_events(spread(table(spark, root, "events"), "event_id"))
 
 
 def shape_events(raw: DataFrame) -> DataFrame:
@@ -121,7 +130,7 @@ def stock_events(spark: SparkSession, root: str) -> DataFrame:
 def reviews_fact(spark: SparkSession, root: str) -> DataFrame:
     """Reviews with their enrichment, over whole texts."""
     c = F.col
-    d = table(spark, root, "documents").select("doc_id", "text", "lang", "source")
+    d = spread(table(spark, root, "documents"), "doc_id").select("doc_id", "text", "lang", "source")
     r = d.join(table(spark, root, "labels"), "doc_id", "left")
     rating = (
         F.when(c("toxic") == 1, 1 + c("doc_id") % 2)

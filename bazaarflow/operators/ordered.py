@@ -9,9 +9,10 @@ Chunk bounds come from quantiles. Any bounds give the same result; they only bal
 
 from __future__ import annotations
 
+from collections import Counter
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T, Window as W
+from pyspark.sql import Column, DataFrame, Row, functions as F, types as T, Window as W
 
 CHUNK = "_chunk"
 
@@ -22,32 +23,22 @@ class SkewPolicy:
 
     Only keys above ``max_group_rows`` are cut. The ``max_hot_keys`` heaviest are looked
     at, so any other key holds at most 1/(max_hot_keys+1) of all rows; that also bounds
-    what reaches the driver and what is broadcast.
+    what reaches the driver and what is broadcast. A chunk holds about
+    ``max_group_rows`` / 4 rows until ``max_chunks`` is reached.
     """
 
     max_group_rows: int = 1_000_000
-    max_chunks: int = 256
+    max_chunks: int = 4096
     max_hot_keys: int = 4096
 
 
 DEFAULT = SkewPolicy()
 
 
-def hot_keys(df: DataFrame, keys: list[str], policy: SkewPolicy = DEFAULT) -> DataFrame | None:
-    """The keys with too many rows for one task, or None. At most ``max_hot_keys`` rows."""
+def hot_keys(df: DataFrame, keys: list[str], policy: SkewPolicy = DEFAULT) -> list[Row]:
+    """The keys with too many rows for one task, with their count; at most ``max_hot_keys`` of them."""
     counts = df.groupBy(*keys).count().filter(F.col("count") > policy.max_group_rows)
-    found = counts.orderBy(F.desc("count")).limit(policy.max_hot_keys).drop("count")
-    rows = found.collect()
-    if not rows:
-        return None
-    return df.sparkSession.createDataFrame(rows, found.schema)
-
-
-def same_keys(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
-    cond = F.lit(True)
-    for k in keys:
-        cond = cond & left[k].eqNullSafe(right[k])
-    return cond
+    return counts.orderBy(F.desc("count")).limit(policy.max_hot_keys).collect()
 
 
 def _quantiles(df: DataFrame, column: str, chunks: int) -> list[float]:
@@ -56,54 +47,68 @@ def _quantiles(df: DataFrame, column: str, chunks: int) -> list[float]:
 
 
 def _bucket(column: str, bounds: list[float]) -> Column:
-    """How many bounds are at or below the value; nulls, which sort first, get 0."""
+    """How many of the sorted bounds are at or below the value; nulls, which sort first, get 0."""
     if not bounds:
         return F.lit(0)
     value = F.col(column).cast("double")
-    literal = F.array(*[F.lit(float(b)) for b in bounds])
-    return F.size(F.filter(literal, lambda b: b <= value))
+
+    def literal(values: list[float]) -> Column:
+        return F.split(F.lit(",".join(map(repr, values))), ",").cast("array<double>")
+
+    def at_or_below(values: Column) -> Column:
+        return F.size(F.filter(values, lambda b: b <= value))
+
+    block = 64
+    if len(bounds) <= block:
+        return at_or_below(literal(bounds))
+    # First the block, then the place inside it.
+    start = F.greatest(at_or_below(literal(bounds[::block])) - 1, F.lit(0)) * block
+    return start + at_or_below(F.slice(literal(bounds), start + 1, F.lit(block)))
 
 
-def _chunk_expr(heavy: DataFrame, order: list[str], chunks: int) -> Column:
-    """Chunk number, non-decreasing along the order.
+def _chunk_expr(heavy: DataFrame, order: list[str], chunks: int) -> tuple[Column, int]:
+    """Chunk number, non-decreasing along the order, and how many numbers there can be.
 
     A value that is a bound more than once fills whole chunks by itself; its rows are cut
-    again along the second order column.
+    again along the next order column.
     """
     bounds = _quantiles(heavy, order[0], chunks)
     distinct = sorted(set(bounds))
-    major = _bucket(order[0], distinct)
-    repeated = sorted({b for b in bounds if bounds.count(b) > 1})
+    major = _bucket(order[0], distinct).cast("bigint")
+    repeated = sorted({b for b, n in Counter(bounds).items() if n > 1})
     numeric = len(order) > 1 and isinstance(heavy.schema[order[1]].dataType, T.NumericType)
     if not repeated or not numeric:
-        return major
-    value = F.col(order[0]).cast("double")
-    tied = value.isin(repeated)
-    minor_bounds = sorted(set(_quantiles(heavy.filter(tied), order[1], chunks)))
-    minor = F.when(tied, _bucket(order[1], minor_bounds)).otherwise(F.lit(chunks))
-    return major * F.lit(chunks + 1) + minor
+        return major, len(distinct) + 1
+    tied = F.col(order[0]).cast("double").isin(repeated)
+    minor, span = _chunk_expr(heavy.filter(tied), order[1:], chunks)
+    # Rows of a bucket beyond its tied value come after all of that value's chunks.
+    return major * (span + 1) + F.when(tied, minor).otherwise(F.lit(span)), (len(distinct) + 1) * (span + 1)
 
 
 def with_chunks(
     df: DataFrame, keys: list[str], order: list[str], policy: SkewPolicy = DEFAULT, cut_all: bool = False
 ) -> tuple[DataFrame, bool]:
     """Add the chunk column: -1 for light keys. Also tells whether anything was cut."""
-    shuffle_width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    chunks = max(2, min(policy.max_chunks, shuffle_width))
     if cut_all:
-        return df.withColumn(CHUNK, _chunk_expr(df, order, chunks).cast("int")), True
+        width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        chunks = max(2, min(policy.max_chunks, width))
+        return df.withColumn(CHUNK, _chunk_expr(df, order, chunks)[0]), True
+    light = F.lit(-1).cast("bigint")
     hot = hot_keys(df, keys, policy)
-    if hot is None:
-        return df.withColumn(CHUNK, F.lit(-1)), False
-    marked = hot.select(*[F.col(k).alias(f"_hot_{k}") for k in keys], F.lit(True).alias("_hot"))
+    if not hot:
+        return df.withColumn(CHUNK, light), False
+    rows = sum(r["count"] for r in hot)
+    chunks = max(2, min(policy.max_chunks, -(-4 * rows // policy.max_group_rows)))
+    schema = T.StructType([df.schema[k] for k in keys])
+    found = df.sparkSession.createDataFrame([tuple(r[k] for k in keys) for r in hot], schema)
+    marked = found.select(*[F.col(k).alias(f"_hot_{k}") for k in keys], F.lit(True).alias("_hot"))
     cond = F.lit(True)
     for k in keys:
         cond = cond & F.col(k).eqNullSafe(F.col(f"_hot_{k}"))
     # At most max_hot_keys rows, so the broadcast is bounded.
     flagged = df.join(F.broadcast(marked), cond, "left").drop(*[f"_hot_{k}" for k in keys])
-    expr = _chunk_expr(flagged.filter("_hot"), order, policy.max_chunks)
-    chunk = F.when(F.col("_hot"), expr).otherwise(F.lit(-1)).cast("int")
-    return flagged.withColumn(CHUNK, chunk).drop("_hot"), True
+    expr, _ = _chunk_expr(flagged.filter("_hot"), order, chunks)
+    return flagged.withColumn(CHUNK, F.when(F.col("_hot"), expr).otherwise(light)).drop("_hot"), True
 
 
 def running(

@@ -110,7 +110,7 @@ def _chunk_starts(levelled: DataFrame) -> DataFrame:
             yield done()
 
     key = levelled.schema["product_id"].dataType.simpleString()
-    reduced = placed.mapInPandas(tables, f"product_id {key}, {CHUNK} int, begin bigint, after array<bigint>")
+    reduced = placed.mapInPandas(tables, f"product_id {key}, {CHUNK} bigint, begin bigint, after array<bigint>")
 
     def chain(pdf: pd.DataFrame) -> pd.DataFrame:
         ordered = pdf.sort_values(CHUNK)
@@ -120,8 +120,8 @@ def _chunk_starts(levelled: DataFrame) -> DataFrame:
             state = int(after[state])
         return pd.DataFrame({"product_id": ordered["product_id"], CHUNK: ordered[CHUNK], "_start": starts})
 
-    # One row per chunk, at most max_chunks of them for a product.
-    return reduced.groupBy("product_id").applyInPandas(chain, f"product_id {key}, {CHUNK} int, _start bigint")
+    # One row per chunk of the product, a bounded number.
+    return reduced.groupBy("product_id").applyInPandas(chain, f"product_id {key}, {CHUNK} bigint, _start bigint")
 
 
 def stock_decisions(events: DataFrame, seed: DataFrame, policy: SkewPolicy = DEFAULT) -> DataFrame:

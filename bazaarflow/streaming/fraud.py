@@ -37,10 +37,12 @@ class FraudStream:
         self.spark, self.root, self.policy = spark, root.rstrip("/"), policy
         self.delay_us = seconds_to_micros(delay_seconds)
         self.rules, self.amount_rule = rules, amount_rule
+        counts = [f"n_{r.name} bigint, sum_{r.name} decimal(38,2)" for r in rules]
         schemas = {
             "waiting": ORDER,
             "mark": "mark bigint",
             "recent": ORDER,
+            "counts": ", ".join([ORDER, *counts, "n_recent bigint, sum_recent decimal(38,2)"]),
             "baselines": "seller_id bigint, baseline double",
         }
         self.tables = BatchTables(spark, f"{self.root}/state", schemas)
@@ -64,18 +66,19 @@ class FraudStream:
 
     def _step(self, orders: DataFrame, batch_id: int, final: bool) -> None:
         state = self.tables.read(batch_id)
-        part = cut_slice(self.tables, state, orders, self.delay_us, final)
+        part = cut_slice(state, orders, self.delay_us, final)
         write_output(part.late, f"{self.root}/late", batch_id)
         keep_slice(self.tables, batch_id, part)
         widths = {r.name: seconds_to_micros(r.window_seconds) for r in self.rules}
         widths["recent"] = seconds_to_micros(self.amount_rule.window_seconds)
         context = state["recent"].unionByName(part.ready)
-        kept = context.filter(F.col("at_us") > part.mark - max(widths.values()) - 1)
-        self.tables.write(batch_id, "recent", kept)
+        still_seen = F.col("at_us") > part.mark - max(widths.values()) - 1
+        self.tables.write(batch_id, "recent", context.filter(still_seen))
         counted = trailing_window(context, ["seller_id"], "at_us", "event_id", widths, "amount_inr", self.policy)
-        fresh = counted.filter(F.col("at_us") > part.last_mark)
-        write_output(alerts_of_counts(fresh, self.rules), f"{self.root}/velocity", batch_id)
-        baselines = baselines_of_counted(fresh, self.amount_rule, state["baselines"], self.policy)
+        # Counted once; both rules read it from there.
+        counts = self.tables.write(batch_id, "counts", counted.filter(F.col("at_us") > part.last_mark))
+        write_output(alerts_of_counts(counts, self.rules), f"{self.root}/velocity", batch_id)
+        baselines = baselines_of_counted(counts, self.amount_rule, state["baselines"], self.policy)
         judged = write_output(baselines, f"{self.root}/baselines", batch_id)
         write_output(alerts_of_baselines(judged, self.amount_rule), f"{self.root}/amounts", batch_id)
         newest = judged.groupBy("seller_id").agg(F.max_by("baseline_after", "_pos").alias("baseline"))

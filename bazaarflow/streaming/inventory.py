@@ -36,7 +36,7 @@ class InventoryStream:
         events = batch.select("product_id", "event_id", "order_id", "at_us", "action", F.col("qty").cast("int")).persist()
         try:
             state = self.tables.read(batch_id, self.first)
-            part = cut_slice(self.tables, state, events, self.delay_us, final)
+            part = cut_slice(state, events, self.delay_us, final)
             write_output(part.late, f"{self.root}/late", batch_id)
             keep_slice(self.tables, batch_id, part)
             decided = write_output(

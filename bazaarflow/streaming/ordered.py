@@ -29,7 +29,7 @@ class Slice:
     mark: int
 
 
-def cut_slice(tables: BatchTables, state: dict[str, DataFrame], batch: DataFrame, delay_us: int, final: bool) -> Slice:
+def cut_slice(state: dict[str, DataFrame], batch: DataFrame, delay_us: int, final: bool) -> Slice:
     """``state`` has 'waiting' (events) and 'mark' (one row); ``batch`` has an at_us column."""
     row = state["mark"].first()
     last_mark = row["mark"] if row else START

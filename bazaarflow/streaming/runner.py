@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 Handler = Callable[[DataFrame, int], None]
@@ -65,9 +65,9 @@ class BatchTables:
         return {n: first.get(n, self.spark.createDataFrame([], s)) for n, s in self.schemas.items()}
 
     def write(self, batch_id: int, name: str, df: DataFrame) -> DataFrame:
-        path = self.path(name, batch_id)
-        df.write.mode("overwrite").parquet(path)
-        return self.spark.read.schema(self.schemas[name]).parquet(path)
+        path, schema = self.path(name, batch_id), T.StructType.fromDDL(self.schemas[name])
+        df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields]).write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(schema).parquet(path)
 
     def forget(self, batch_id: int) -> None:
         """Remove the version two batches back; the one before may still be needed for a repeat."""

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import Window as W, functions as F
 
 from bazaarflow.operators import alerts as Al, stock as St, windows as Wn
-from bazaarflow.operators.ordered import SkewPolicy, hot_keys, position, running
+from bazaarflow.operators.ordered import CHUNK, SkewPolicy, _bucket, hot_keys, position, running, with_chunks
 from bazaarflow.operators.ranks import global_dense_rank, global_percent_rank
 from bazaarflow.plans.fraud_patterns import geo_impossible
 
@@ -31,9 +31,9 @@ def skewed(spark):
 
 
 def test_hot_keys_are_the_heaviest_and_few(skewed):
-    found = [r.key for r in hot_keys(skewed, ["key"], CUT).collect()]
+    found = [r.key for r in hot_keys(skewed, ["key"], CUT)]
     assert 1 in found and len(found) <= 2
-    assert hot_keys(skewed, ["key"], PLAIN) is None
+    assert hot_keys(skewed, ["key"], PLAIN) == []
 
 
 @pytest.mark.parametrize("policy", [PLAIN, CUT, SkewPolicy(1, 3, 100)])
@@ -51,14 +51,24 @@ def test_running_equals_window(skewed, policy):
     assert rows(got) == rows(want)
 
 
-def test_no_chunk_holds_the_heavy_key(skewed):
-    from bazaarflow.operators.ordered import CHUNK, with_chunks
-
-    chunked, cut = with_chunks(skewed, ["key"], ["at_us", "id"], SkewPolicy(20, 8, 2))
-    sizes = chunked.filter("key = 1").groupBy(CHUNK).count()
+@pytest.mark.parametrize("order", [["at_us", "id"], ["one", "at_us", "id"], ["one", "two", "id"]])
+def test_no_chunk_holds_the_heavy_key(skewed, order):
+    """Also when many rows, or all, are equal in the first order columns."""
+    df = skewed.withColumns({"one": F.lit(1), "two": F.lit(2)})
+    chunked, cut = with_chunks(df, ["key"], order, SkewPolicy(max_group_rows=300, max_hot_keys=1))
+    sizes = chunked.filter("key = 1").groupBy(CHUNK).agg(F.count("*").alias("n"), F.min(F.struct(*order)).alias("a"))
     assert cut
-    # 500 rows, a third of them at one instant; the instant is cut by id.
-    assert sizes.agg(F.max("count")).first()[0] <= 500 // 8 * 3
+    # 500 rows in 7 chunks of about 75.
+    assert sizes.agg(F.max("n")).first()[0] <= 150
+    firsts = [r.a for r in sizes.orderBy(CHUNK).collect()]
+    assert firsts == sorted(firsts)
+
+
+def test_buckets_in_two_steps(spark):
+    bounds = [float(i) for i in range(0, 1000, 3)]
+    df = spark.createDataFrame([(float(v) / 2,) for v in range(-10, 2100)] + [(None,)], "v double")
+    for r in df.select("v", _bucket("v", bounds).alias("b")).collect():
+        assert r.b == (0 if r.v is None else sum(b <= r.v for b in bounds))
 
 
 def test_global_position(skewed):
