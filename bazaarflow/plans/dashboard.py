@@ -83,7 +83,9 @@ def add_recent(counters: DataFrame, recent: DataFrame) -> DataFrame:
 
 def snapshot(counters: DataFrame, k_sellers: int = 10, k: int = 5) -> DataFrame:
     """Dashboard sections from the counters, which are read several times."""
-    total = counters.filter("dimension = 'all'")
+    # An aggregate, so that there is a row of zeros before the first order.
+    numbers = ("orders", "orders_1", "orders_5", "revenue", "revenue_1", "revenue_5")
+    total = counters.filter("dimension = 'all'").agg(*[F.coalesce(F.max(n), F.lit(0)).alias(n) for n in numbers])
     revenue = total.select(F.greatest(F.lit(1.0), F.max("revenue")).alias("r")).scalar()
     orders = total.select(F.greatest(F.lit(1), F.max("orders")).alias("n")).scalar()
 
