@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.dates import from_micros, micros, seconds_to_micros
 from ..functions.numeric import round_half_up
-from .ordered import DEFAULT, SkewPolicy, position
+from .ordered import DEFAULT, SkewPolicy, hot_keys, position
 from .windows import trailing_window
 
 
@@ -105,6 +105,20 @@ def _warm_up(rule: AmountRule) -> int:
     return 2 * math.ceil(80 * math.log(2) / -math.log(rule.keep))
 
 
+def _blocks(judged: DataFrame, rule: AmountRule, policy: SkewPolicy) -> DataFrame:
+    """Add the block of each order and whether the block owns it or only starts with it.
+
+    Without a heavy seller everybody has one block, and positions are not needed.
+    """
+    if not hot_keys(judged, ["seller_id"], policy):
+        return judged.withColumns({"_block": F.lit(0).cast("bigint"), "_own": F.lit(True)})
+    numbered = position(judged, ["seller_id"], ["at_us", "event_id"], "_pos", policy)
+    lead, block = _warm_up(rule), max(policy.max_group_rows, 2 * _warm_up(rule))
+    first, last = F.floor(F.col("_pos") / block), F.floor((F.col("_pos") + lead) / block)
+    spread = numbered.withColumn("_block", F.explode(F.sequence(first, last)))
+    return spread.withColumn("_own", F.col("_block") == first).drop("_pos")
+
+
 def amount_baselines(
     orders: DataFrame, rule: AmountRule = AMOUNT_RULE, start: DataFrame | None = None, policy: SkewPolicy = DEFAULT
 ) -> DataFrame:
@@ -130,11 +144,7 @@ def baselines_of_counted(
         F.col("amount_inr").cast("double").alias("amount"),
         (F.col("sum_recent").cast("double") / F.col("n_recent").cast("double")).alias("average"),
     )
-    numbered = position(judged, ["seller_id"], ["at_us", "event_id"], "_pos", policy)
-    lead, block = _warm_up(rule), max(policy.max_group_rows, 2 * _warm_up(rule))
-    first = F.floor(F.col("_pos") / block)
-    last = F.floor((F.col("_pos") + lead) / block)
-    spread = numbered.withColumn("_block", F.explode(F.sequence(first, last))).withColumn("_own", F.col("_block") == first)
+    spread = _blocks(judged, rule, policy)
     if start is not None:
         known = start.select(F.col("seller_id"), F.col("baseline").alias("_start"))
         spread = spread.join(known, "seller_id", "left")
@@ -142,7 +152,7 @@ def baselines_of_counted(
         spread = spread.withColumn("_start", F.lit(None).cast("double"))
     begin = F.when(F.col("_block") == 0, F.col("_start"))
     rows = spread.withColumn("_start", F.coalesce(begin, F.col("average"))).drop("average")
-    placed = rows.repartition("seller_id", "_block").sortWithinPartitions("seller_id", "_block", "_pos")
+    placed = rows.repartition("seller_id", "_block").sortWithinPartitions("seller_id", "_block", "at_us", "event_id")
     keep, gain = rule.keep, rule.gain
 
     def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -156,10 +166,10 @@ def baselines_of_counted(
                 before.append(level)
                 level = keep * level + gain * x
             pdf["baseline"] = before
-            yield pdf.loc[pdf["_own"], ["seller_id", "event_id", "at_us", "_pos", "amount", "baseline"]]
+            yield pdf.loc[pdf["_own"], ["seller_id", "event_id", "at_us", "amount", "baseline"]]
 
     ids = ", ".join(f"{c} {counted.schema[c].dataType.simpleString()}" for c in ("seller_id", "event_id"))
-    schema = f"{ids}, at_us bigint, _pos bigint, amount double, baseline double"
+    schema = f"{ids}, at_us bigint, amount double, baseline double"
     after = F.lit(keep) * F.col("baseline") + F.lit(gain) * F.col("amount")
     return placed.mapInPandas(fold, schema).withColumn("baseline_after", after)
 

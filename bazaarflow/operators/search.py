@@ -9,10 +9,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, Window as W
 
 from ..functions.numeric import round_half_up
+from ..session import broadcast_if_small
 from .reviews import sentiment_summary
 from .topk import urgent_reviews
 
 
+# Scores held in memory at a time by a task.
+SCORES_AT_ONCE = 4_000_000
+
+
 def _unit(rows: np.ndarray) -> np.ndarray:
     norms = np.sqrt((rows * rows).sum(axis=1, keepdims=True))
     norms[norms == 0] = 1.0
@@ -41,19 +46,24 @@ def _search_pass(queries: DataFrame, vectors: DataFrame, k: int) -> DataFrame:
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, targets = shared.value
         best: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        floor = np.full(len(names), -np.inf)
+        step = max(1, SCORES_AT_ONCE // len(names))
         for batch in batches:
-            if batch.num_rows == 0:
-                continue
             ids = np.array(batch.column("review_id").to_pylist())
             flat = batch.column("embedding").flatten().to_numpy(zero_copy_only=False)
-            block = _unit(flat.reshape(batch.num_rows, -1).astype("float64"))
-            scores = block @ targets.T
-            for q in range(len(names)):
-                mine, mine_ids = scores[:, q], ids
-                if q in best:
-                    mine, mine_ids = np.concatenate([best[q][0], mine]), np.concatenate([best[q][1], ids])
-                top = _best(mine, mine_ids, k)
-                best[q] = (mine[top], mine_ids[top])
+            for at in range(0, batch.num_rows, step):
+                rows = min(step, batch.num_rows - at)
+                width = targets.shape[1]
+                block = _unit(flat[at * width : (at + rows) * width].reshape(rows, width).astype("float64"))
+                scores = block @ targets.T
+                # Only queries for which something here reaches their k best so far.
+                for q in np.flatnonzero((scores >= floor).any(axis=0)):
+                    mine, mine_ids = scores[:, q], ids[at : at + rows]
+                    if q in best:
+                        mine, mine_ids = np.concatenate([best[q][0], mine]), np.concatenate([best[q][1], mine_ids])
+                    top = _best(mine, mine_ids, k)
+                    best[q] = (mine[top], mine_ids[top])
+                    floor[q] = mine[top[-1]] if len(top) == k else -np.inf
         for q, (found, found_ids) in best.items():
             yield pa.RecordBatch.from_pydict(
                 {"query_id": [names[q]] * len(found), "review_id": [str(i) for i in found_ids], "score": found.tolist()}
@@ -107,7 +117,7 @@ def assemble_context(hits: DataFrame, reviews: DataFrame, urgent: int = 3, shown
         "one_line_summary",
         F.substring("review_text", 1, shown),
     )
-    lines = hits.join(payload, "review_id").select("query_id", F.struct("place", line.alias("line")).alias("l"))
+    lines = broadcast_if_small(hits).join(payload, "review_id").select("query_id", F.struct("place", line.alias("line")).alias("l"))
     # At most k lines for a question.
     found = lines.groupBy("query_id").agg(F.array_sort(F.collect_list("l"))["line"].alias("lines"))
     head = F.concat(F.array(F.lit("RELEVANT REVIEWS FROM DATABASE:")), F.col("lines"))

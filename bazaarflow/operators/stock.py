@@ -3,8 +3,8 @@
 Input events: product_id, event_id, order_id, at_us, action, qty with action one of
 'order' (check and reserve), 'sold' (confirm a sale), 'update' (set the level).
 
-The stock level follows from running sums alone. Only the reserved amount depends on the
-decisions before it; that one number is folded in order, per product.
+Each product's events are folded in order: one shuffle, one sort, two numbers of state.
+A product with too many events is cut into chunks, whose starting states are found first.
 """
 
 from __future__ import annotations
@@ -21,40 +21,38 @@ from .ordered import CHUNK, DEFAULT, SkewPolicy, running_in_chunks, with_chunks
 ORDER = ["at_us", "event_id"]
 
 
-def _reserve(action: str, qty: int, stock: int, reserved: int) -> int:
-    """Reserved amount after one event."""
+def _after(action: str, qty: int, stock: int, reserved: int) -> tuple[int, int]:
+    """Stock and reserved amount after one event."""
     if action == "order":
         free = stock - reserved
-        return reserved + qty if free > 0 and free >= qty else reserved
+        return stock, reserved + qty if free > 0 and free >= qty else reserved
     if action == "sold":
-        return max(0, reserved - qty)
-    return reserved
+        return max(0, stock - qty), max(0, reserved - qty)
+    return qty, reserved
 
 
-def _levels(events: DataFrame, seed: DataFrame, policy: SkewPolicy) -> tuple[DataFrame, bool]:
-    """Stock level before each event, without any sequential step.
+def _seed_reserved(seed: DataFrame) -> list:
+    given = F.col("initial_reserved") if "initial_reserved" in seed.columns else F.lit(0)
+    return [given.cast("bigint").alias("_reserved0")]
+
+
+def _levels(heavy: DataFrame) -> DataFrame:
+    """Stock level before and after each event of the cut products, without a sequential step.
 
     Sales only lower the level down to zero, so after the last update it is that update
     less everything sold since.
     """
-    start = seed.select("product_id", F.col("initial_stock").cast("bigint").alias("_seed"), *_seed_reserved(seed))
-    base = events.join(start, "product_id", "left").fillna(0, ["_seed", "_reserved0"])
-    chunked, cut = with_chunks(base, ["product_id"], ORDER, policy)
-    sold = F.when(F.col("action") == "sold", F.col("qty")).otherwise(F.lit(0)).cast("bigint")
-    summed = running_in_chunks(chunked, cut, ["product_id"], ORDER, sums={"_sold": sold})
-    update = F.when(F.col("action") == "update", F.struct(F.col("qty").cast("bigint").alias("level"), "_sold"))
-    known = running_in_chunks(summed, cut, ["product_id"], ORDER, latest={"_last": update})
+    key = ["product_id"]
+    sold = F.when(F.col("action") == "sold", F.col("qty")).otherwise(F.lit(0))
+    summed = running_in_chunks(heavy, True, key, ORDER, sums={"_sold": sold})
+    update = F.when(F.col("action") == "update", F.struct(F.col("qty").alias("level"), "_sold"))
+    known = running_in_chunks(summed, True, key, ORDER, latest={"_last": update})
     since = F.col("_sold") - F.coalesce(F.col("_last._sold"), F.lit(0))
-    level = F.coalesce(F.col("_last.level"), F.col("_seed"))
+    level = F.coalesce(F.col("_last.level"), F.col("_stock0"))
     after = F.when(since > 0, F.greatest(F.lit(0), level - since)).otherwise(level)
     levelled = known.withColumn("stock_after", after).drop("_sold", "_last")
-    before = running_in_chunks(levelled, cut, ["product_id"], ORDER, previous={"_prev": "stock_after"})
-    return before.withColumn("stock_before", F.coalesce("_prev", "_seed")).drop("_prev"), cut
-
-
-def _seed_reserved(seed: DataFrame) -> list:
-    given = F.col("initial_reserved") if "initial_reserved" in seed.columns else F.lit(0)
-    return [given.cast("bigint").alias("_reserved0")]
+    before = running_in_chunks(levelled, True, key, ORDER, previous={"_prev": "stock_after"})
+    return before.withColumn("stock_before", F.coalesce("_prev", "_stock0")).drop("_prev")
 
 
 def _transition(actions: list[str], qtys: list[int], stocks: list[int], states: np.ndarray) -> np.ndarray:
@@ -73,44 +71,46 @@ def _transition(actions: list[str], qtys: list[int], stocks: list[int], states:
     return values[index]
 
 
-def _chunk_starts(levelled: DataFrame) -> DataFrame:
-    """Reserved amount at the start of every chunk of a cut product.
+def _chunk_starts(heavy: DataFrame) -> DataFrame:
+    """Stock and reserved amount at the start of every chunk of the cut products.
 
-    Each chunk is reduced, in parallel, to a table from the amount before to the amount
-    after; the tables of a product are then applied one after the other. A reserved amount
-    never passes the highest stock level, which bounds the tables.
+    Levels follow from running sums. The reserved amount depends on every decision before;
+    each chunk is reduced, in parallel, to a table from the amount before it to the amount
+    after it, and the tables of a product are applied one after the other. A reserved
+    amount never passes the highest stock level, which bounds the tables.
     """
-    heavy = levelled.filter(F.col(CHUNK) >= 0)
-    top = heavy.groupBy("product_id").agg(
+    levelled = _levels(heavy)
+    top = levelled.groupBy("product_id").agg(
         F.greatest(F.max("stock_before"), F.max("stock_after"), F.max("_reserved0")).alias("_top")
     )
     placed = (
-        heavy.select("product_id", CHUNK, *ORDER, "action", F.col("qty").cast("bigint").alias("qty"), "stock_before", "_reserved0")
+        levelled.select("product_id", CHUNK, *ORDER, "action", "qty", "stock_before", "_reserved0")
         .join(top, "product_id")
         .repartition("product_id", CHUNK)
         .sortWithinPartitions("product_id", CHUNK, *ORDER)
     )
 
     def tables(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        run, table, begin = None, None, 0
+        run, table, stock, begin = None, None, 0, 0
 
         def done() -> pd.DataFrame:
-            return pd.DataFrame({"product_id": [run[0]], CHUNK: [run[1]], "begin": [begin], "after": [table.tolist()]})
+            row = {"product_id": [run[0]], CHUNK: [run[1]], "stock": [stock], "begin": [begin], "after": [table.tolist()]}
+            return pd.DataFrame(row)
 
         for pdf in batches:
             for key, part in pdf.groupby(["product_id", CHUNK], sort=False):
                 if key != run:
                     if run is not None:
                         yield done()
-                    run, begin = key, int(part["_reserved0"].iloc[0])
+                    run, stock, begin = key, int(part["stock_before"].iloc[0]), int(part["_reserved0"].iloc[0])
                     table = np.arange(int(part["_top"].iloc[0]) + 1)
                 columns = [part[c].tolist() for c in ("action", "qty", "stock_before")]
                 table = _transition(*columns, table)
         if run is not None:
             yield done()
 
-    key = levelled.schema["product_id"].dataType.simpleString()
-    reduced = placed.mapInPandas(tables, f"product_id {key}, {CHUNK} bigint, begin bigint, after array<bigint>")
+    key = heavy.schema["product_id"].dataType.simpleString()
+    reduced = placed.mapInPandas(tables, f"product_id {key}, {CHUNK} bigint, stock bigint, begin bigint, after array<bigint>")
 
     def chain(pdf: pd.DataFrame) -> pd.DataFrame:
         ordered = pdf.sort_values(CHUNK)
@@ -118,10 +118,14 @@ def _chunk_starts(levelled: DataFrame) -> DataFrame:
         for after in ordered["after"]:
             starts.append(state)
             state = int(after[state])
-        return pd.DataFrame({"product_id": ordered["product_id"], CHUNK: ordered[CHUNK], "_start": starts})
+        return ordered[["product_id", CHUNK, "stock"]].assign(reserved=starts)
 
     # One row per chunk of the product, a bounded number.
-    return reduced.groupBy("product_id").applyInPandas(chain, f"product_id {key}, {CHUNK} bigint, _start bigint")
+    starts = reduced.groupBy("product_id").applyInPandas(
+        chain, f"product_id {key}, {CHUNK} bigint, stock bigint, reserved bigint"
+    )
+    names = {"product_id": "_p", CHUNK: "_c", "stock": "_stock_c", "reserved": "_reserved_c"}
+    return starts.withColumnsRenamed(names)
 
 
 def stock_decisions(events: DataFrame, seed: DataFrame, policy: SkewPolicy = DEFAULT) -> DataFrame:
@@ -130,33 +134,34 @@ def stock_decisions(events: DataFrame, seed: DataFrame, policy: SkewPolicy = DEF
     ``seed``: product_id, initial_stock and, to continue an earlier run, initial_reserved.
     Products without a seed start at zero.
     """
-    events = events.withColumn("qty", F.coalesce("qty", F.lit(1)))
-    levelled, cut = _levels(events, seed, policy)
-    begin = levelled.withColumn("_begin", F.col("_reserved0"))
+    start = seed.select("product_id", F.col("initial_stock").cast("bigint").alias("_stock0"), *_seed_reserved(seed))
+    whole = events.withColumn("qty", F.coalesce(F.col("qty"), F.lit(1)).cast("bigint"))
+    base = whole.join(start, "product_id", "left").fillna(0, ["_stock0", "_reserved0"])
+    rows, cut = with_chunks(base, ["product_id"], ORDER, policy)
     if cut:
-        starts = _chunk_starts(levelled).withColumnsRenamed({"product_id": "_p", CHUNK: "_ch"})
-        hit = F.col("product_id").eqNullSafe(F.col("_p")) & (F.col(CHUNK) == F.col("_ch"))
-        begin = levelled.join(starts, hit, "left").withColumn("_begin", F.coalesce("_start", "_reserved0"))
-        begin = begin.drop("_p", "_ch", "_start")
-    rows = begin.drop("_seed", "_reserved0").withColumn("qty", F.col("qty").cast("bigint"))
+        starts = _chunk_starts(rows.filter(F.col(CHUNK) >= 0))
+        hit = F.col("product_id").eqNullSafe(F.col("_p")) & (F.col(CHUNK) == F.col("_c"))
+        known = {"_stock0": F.coalesce("_stock_c", "_stock0"), "_reserved0": F.coalesce("_reserved_c", "_reserved0")}
+        rows = rows.join(starts, hit, "left").withColumns(known).drop("_p", "_c", "_stock_c", "_reserved_c")
     placed = rows.repartition("product_id", CHUNK).sortWithinPartitions("product_id", CHUNK, *ORDER)
-    kept = [f for f in placed.schema.fields if f.name not in (CHUNK, "_begin")]
+    kept = [f for f in whole.schema.fields]
     names = [f.name for f in kept]
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept) + ", reserved_before bigint, reserved_after bigint"
+    states = ["stock_before", "reserved_before", "stock_after", "reserved_after"]
+    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in kept] + [f"{s} bigint" for s in states])
 
     def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        run, reserved = None, 0
+        run, stock, reserved = None, 0, 0
         for pdf in batches:
-            before, after = [], []
+            trail = []
             keys = zip(pdf["product_id"].tolist(), pdf[CHUNK].tolist())
-            columns = [pdf[c].tolist() for c in ("action", "qty", "stock_before", "_begin")]
-            for key, action, qty, stock, start in zip(keys, *columns):
+            columns = [pdf[c].tolist() for c in ("action", "qty", "_stock0", "_reserved0")]
+            for key, action, qty, stock0, reserved0 in zip(keys, *columns):
                 if key != run:
-                    run, reserved = key, start
-                before.append(reserved)
-                reserved = _reserve(action, qty, stock, reserved)
-                after.append(reserved)
-            yield pdf[names].assign(reserved_before=before, reserved_after=after)
+                    run, stock, reserved = key, stock0, reserved0
+                after = _after(action, qty, stock, reserved)
+                trail.append((stock, reserved, *after))
+                stock, reserved = after
+            yield pdf[names].assign(**dict(zip(states, zip(*trail)))) if trail else pdf[names].assign(**{s: [] for s in states})
 
     folded = placed.mapInPandas(fold, schema)
     free = F.greatest(F.lit(0), F.col("stock_before") - F.col("reserved_before"))

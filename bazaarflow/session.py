@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
@@ -69,3 +69,9 @@ def materialize(df: DataFrame) -> DataFrame:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_dir(spark))
     return df.checkpoint(eager=True)
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
+    """Compute ``df`` once and mark it for broadcast only when its row count allows it."""
+    kept = materialize(df)
+    return F.broadcast(kept) if kept.count() <= max_rows else kept

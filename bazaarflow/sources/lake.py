@@ -41,20 +41,23 @@ def archive_batch(events: DataFrame, batch_id: int, path: str, max_records: int
     optimizer merge small and split large partitions by size, so a busy day or zone does
     not end up in one task.
     """
-    routed = with_partitions(route_by_type(events))
-    sizes = routed.groupBy(F.col("zone").alias("_z")).agg(F.count("*").alias("_batch_size"))
-    # One row per zone.
-    stamped = routed.join(F.broadcast(sizes), F.col("zone") == F.col("_z")).drop("_z")
-    out = stamped.withColumns({"_archived_at": F.current_timestamp(), "batch": F.lit(batch_id)})
-    (
-        out.hint("rebalance", *[F.col(c) for c in PARTITIONS])
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .option("compression", "snappy")
-        .option("maxRecordsPerFile", max_records)
-        .partitionBy(*PARTITIONS, "batch")
-        .parquet(path)
-    )
+    routed = with_partitions(route_by_type(events)).persist()
+    try:
+        sizes = routed.groupBy(F.col("zone").alias("_z")).agg(F.count("*").alias("_batch_size"))
+        # One row per zone.
+        stamped = routed.join(F.broadcast(sizes), F.col("zone") == F.col("_z")).drop("_z")
+        out = stamped.withColumns({"_archived_at": F.current_timestamp(), "batch": F.lit(batch_id)})
+        (
+            out.hint("rebalance", *[F.col(c) for c in PARTITIONS])
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .option("compression", "snappy")
+            .option("maxRecordsPerFile", max_records)
+            .partitionBy(*PARTITIONS, "batch")
+            .parquet(path)
+        )
+    finally:
+        routed.unpersist()
 
 
 def read_lake(spark: SparkSession, path: str) -> DataFrame:

@@ -81,7 +81,7 @@ class FraudStream:
         baselines = baselines_of_counted(counts, self.amount_rule, state["baselines"], self.policy)
         judged = write_output(baselines, f"{self.root}/baselines", batch_id)
         write_output(alerts_of_baselines(judged, self.amount_rule), f"{self.root}/amounts", batch_id)
-        newest = judged.groupBy("seller_id").agg(F.max_by("baseline_after", "_pos").alias("baseline"))
+        newest = judged.groupBy("seller_id").agg(F.max_by("baseline_after", F.struct("at_us", "event_id")).alias("baseline"))
         old = state["baselines"].join(newest, "seller_id", "left_anti")
         self.tables.write(batch_id, "baselines", old.unionByName(newest))
         self.tables.forget(batch_id)

@@ -389,14 +389,15 @@ def scalar_date(spark, root):
 
 @query(
     "scalar_string",
-    """select doc_id, lower(substr(text, 1, 200)) as opening, length(trim(text, ' ')) as trimmed_length,
+    """select doc_id, md5(lower(text)) as lower_md5, substr(source, 2, 3) as part, length(trim(text, ' ')) as trimmed_length,
     replace(lang, 'e', '_') as replaced, concat_ws(' | ', lang, source) as label,
     regexp_matches(lower(text), 'bahut|accha|mila|bilkul|deta|hoon') as marked from documents""",
 )
 def scalar_string(spark, root):
     return B.table(spark, root, "documents").select(
         "doc_id",
-        F.lower(F.substring("text", 1, 200)).alias("opening"),
+        F.md5(F.lower("text").cast("binary")).alias("lower_md5"),
+        F.substring("source", 2, 3).alias("part"),
         F.length(F.trim("text")).alias("trimmed_length"),
         F.translate("lang", "e", "_").alias("replaced"),
         F.concat_ws(" | ", "lang", "source").alias("label"),
