@@ -143,3 +143,13 @@ def snapshot(counters: DataFrame, k_sellers: int = 10, k: int = 5) -> DataFrame:
 
 def live_dashboard(orders: DataFrame, as_of: str, k_sellers: int = 10, k: int = 5) -> DataFrame:
     return snapshot(materialize(dashboard_counters(orders, as_of)), k_sellers, k)
+
+
+def dashboard_lines(sections: DataFrame) -> DataFrame:
+    """One printable line per dashboard row, with a bar for shares."""
+    bar = F.expr("repeat('█', cast(floor(share_pct / 3) as int))")
+    share = F.concat(F.lit(" | "), F.format_string("%.1f", "share_pct"), F.lit("% "), bar)
+    orders = F.concat(F.lit(" | "), F.col("orders").cast("string"), F.lit(" orders"))
+    head = F.format_string("%s %d. %s: %.2f", "section", "place", "name", "value")
+    line = F.concat(head, F.coalesce(orders, F.lit("")), F.when(F.col("share_pct").isNull(), "").otherwise(share))
+    return sections.select("section", "place", line.alias("line"))

@@ -10,33 +10,45 @@ from pyspark.sql.streaming import StreamingQuery
 Handler = Callable[[DataFrame, int], None]
 
 
-def run_bounded(stream: DataFrame, handle: Handler, checkpoint: str, timeout: int | None = None) -> DataFrame:
-    """Process all input there is, then stop. Returns (batch_id, input_rows) of the run.
+def run_bounded(
+    stream: DataFrame, handle: Handler, checkpoint: str, mode: str = "append", timeout: int | None = None
+) -> DataFrame:
+    """Process all input there is, then stop. Returns (batch_id, input_rows, rows_per_second) of the run.
 
     Offsets are committed after ``handle`` returns, and a repeated batch has the same
     number, so a handler that replaces its own output makes the run exactly-once. How much
     one batch takes is set on the source.
     """
-    writer = stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
-    return _finish(writer.trigger(availableNow=True).start(), timeout)
+    writer = stream.writeStream.foreachBatch(handle).outputMode(mode).option("checkpointLocation", checkpoint)
+    return _finish(stream.sparkSession, writer.trigger(availableNow=True).start(), timeout)
 
 
 def run_to_files(stream: DataFrame, path: str, checkpoint: str, timeout: int | None = None) -> DataFrame:
     """Append a stream to parquet files until the input is drained."""
     writer = stream.writeStream.format("parquet").outputMode("append").option("path", path)
-    return _finish(writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start(), timeout)
+    query = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    return _finish(stream.sparkSession, query, timeout)
 
 
-def _finish(query: StreamingQuery, timeout: int | None) -> DataFrame:
+def to_console(stream: DataFrame, checkpoint: str, timeout: int | None = None) -> DataFrame:
+    """Print a stream until the input is drained."""
+    writer = stream.writeStream.format("console").option("truncate", False).option("checkpointLocation", checkpoint)
+    return _finish(stream.sparkSession, writer.trigger(availableNow=True).start(), timeout)
+
+
+def _finish(spark: SparkSession, query: StreamingQuery, timeout: int | None) -> DataFrame:
+    """Wait for a run; one that outlives its timeout is stopped and goes on from its checkpoint next time."""
     try:
         query.awaitTermination(timeout)
     finally:
         query.stop()
     if query.exception() is not None:
         raise query.exception()
-    spark = SparkSession.getActiveSession()
-    progress = [(int(p["batchId"]), int(p["numInputRows"])) for p in query.recentProgress]
-    return spark.createDataFrame(progress, "batch_id bigint, input_rows bigint")
+    progress = [
+        (int(p["batchId"]), int(p["numInputRows"]), float(p.get("processedRowsPerSecond") or 0.0))
+        for p in query.recentProgress
+    ]
+    return spark.createDataFrame(progress, "batch_id bigint, input_rows bigint, rows_per_second double")
 
 
 def drop_repeats(stream: DataFrame, keys: list[str], ts: str, delay: str) -> DataFrame:

@@ -1,9 +1,12 @@
 """S queries and the streaming forms of T, each fed from the given tables."""
 
-from pyspark.sql import functions as F
+from functools import reduce
+
+from pyspark.sql import DataFrame, functions as F
 
 from bazaarflow import bindings as B
 from bazaarflow.operators import alerts as Al, stock as St, windows as Wn
+from bazaarflow.plans.dashboard import dashboard_lines, live_dashboard
 from bazaarflow.plans.health import outputs_exist
 from bazaarflow.plans.run_daily import run_daily
 from bazaarflow.plans.category_trends import category_trends
@@ -17,7 +20,7 @@ from bazaarflow.streaming.metrics import LiveMetrics
 from bazaarflow.streaming.runner import drop_repeats, read_output, run_bounded, run_to_files
 
 from .base import SQL, big, day, dbl, query, stamp, using
-from .events import AMOUNT, RULES, dashboard_sql, flat
+from .events import AMOUNT, AS_OF, RULES, dashboard_sql, flat
 from .marts import M1_CORE, M2_FIRST, M3_SQL, M5_SQL, m4_sql
 
 # ---- feeding a stream from the event table --------------------------------------------
@@ -25,9 +28,12 @@ from .marts import M1_CORE, M2_FIRST, M3_SQL, M5_SQL, m4_sql
 CUTS = ("2024-01-11", "2024-01-21")
 
 
-def replay(spark, df, ts="ts"):
-    """Write events as JSON lines, in three files sets of ten days each, oldest first."""
-    path = scratch_path(spark, "topic")
+def replay(spark, df, run, ts="ts"):
+    """Publish events as JSON lines, ten days at a time, with one bounded run after each part.
+
+    ``run`` gets the folder; every run goes on from the checkpoint of the one before.
+    """
+    path, results = scratch_path(spark, "topic"), []
     edges = [None, *CUTS, None]
     for low, high in zip(edges, edges[1:]):
         part = df
@@ -35,13 +41,19 @@ def replay(spark, df, ts="ts"):
             part = part.filter(F.col(ts) >= F.to_timestamp(F.lit(low)))
         if high:
             part = part.filter(F.col(ts) < F.to_timestamp(F.lit(high)))
-        Ev.write_events(part.coalesce(1), Ev.JsonFiles(path))
-    return path
+        Ev.write_events(part, Ev.JsonFiles(path))
+        results.append(run(path))
+    return results
+
+
+def replay_events(spark, root, handle, label):
+    """Runs of a batch handler over the event stream; their progress."""
+    checkpoint = scratch_path(spark, f"{label}-checkpoint")
 
+    def run(path):
+        return run_bounded(Ev.read_events(spark, Ev.JsonFiles(path)).drop(Ev.BROKEN), handle, checkpoint)
 
-def event_stream(spark, root, files=1):
-    path = replay(spark, B.events_fact(spark, root))
-    return Ev.read_events(spark, Ev.JsonFiles(path, max_files_per_trigger=files))
+    return replay(spark, B.events_fact(spark, root), run)
 
 
 EVENT_COLUMNS = f"""event_id, event_type, order_id, seller_id, product_id, {dbl('amount_inr')} as amount_inr, quantity,
@@ -52,7 +64,11 @@ EVENT_COLUMNS = f"""event_id, event_type, order_id, seller_id, product_id, {dbl(
 @query("s1_read_events", using("events_fact", f"select {EVENT_COLUMNS} from events_fact"))
 def s1(spark, root):
     out, checkpoint = scratch_path(spark, "s1"), scratch_path(spark, "s1-checkpoint")
-    run_to_files(event_stream(spark, root).drop(Ev.BROKEN), out, checkpoint)
+
+    def run(path):
+        return run_to_files(Ev.read_events(spark, Ev.JsonFiles(path)).drop(Ev.BROKEN), out, checkpoint)
+
+    replay(spark, B.events_fact(spark, root), run)
     return spark.read.parquet(out)
 
 
@@ -90,11 +106,8 @@ def s4(spark, root):
 def archive(spark, root):
     path = scratch_path(spark, "bronze")
 
-    def handle(batch, batch_id):
-        Lk.archive_batch(batch.drop(Ev.BROKEN), batch_id, path)
-
-    progress = run_bounded(event_stream(spark, root), handle, scratch_path(spark, "bronze-checkpoint"))
-    return path, progress
+    replay_events(spark, root, lambda batch, batch_id: Lk.archive_batch(batch, batch_id, path), "bronze")
+    return path
 
 
 @query(
@@ -107,7 +120,7 @@ def archive(spark, root):
     ),
 )
 def s3(spark, root):
-    path, _ = archive(spark, root)
+    path = archive(spark, root)
     stamped = F.col("_archived_at").isNotNull().alias("stamped")
     return Lk.read_lake(spark, path).select("event_id", *Lk.PARTITIONS, "_batch_size", stamped)
 
@@ -115,7 +128,7 @@ def s3(spark, root):
 @query("s5_flush_all", using("events_fact", "select event_type, count(*) as events from events_fact group by 1"))
 def s5(spark, root):
     """Everything is archived after one bounded run, also the last, partial batch."""
-    path, _ = archive(spark, root)
+    path = archive(spark, root)
     return Lk.read_lake(spark, path).groupBy("event_type").agg(F.count("*").alias("events"))
 
 
@@ -124,7 +137,7 @@ def s5(spark, root):
     using("events_fact", f"select zone, count(*) as events_archived, true as has_files from ({ROUTED}) t group by 1"),
 )
 def s6(spark, root):
-    path, _ = archive(spark, root)
+    path = archive(spark, root)
     counters = Lk.archive_counters(Lk.lake_inventory(spark, path))
     has = (F.col("files_written") > 0) & (F.col("bytes") > 0)
     return counters.select("zone", "events_archived", has.alias("has_files"))
@@ -229,6 +242,17 @@ def s15(spark, root):
     return Ev.order_lines(B.orders_placed(spark, root))
 
 
+LINES = f"""select section, place, concat(section, ' ', place, '. ', name, ': ', printf('%.2f', value),
+  case when orders is null then '' else concat(' | ', orders, ' orders') end,
+  case when share_pct is null then '' else concat(' | ', printf('%.1f', share_pct), '% ',
+    repeat('█', cast(floor(share_pct / 3) as int))) end) as line from ({dashboard_sql(f"timestamp '{AS_OF}'")}) d"""
+
+
+@query("s15_dashboard_lines", LINES)
+def s15_dashboard(spark, root):
+    return dashboard_lines(live_dashboard(B.orders_placed(spark, root), AS_OF))
+
+
 @query(
     "s16_cached_input",
     using(
@@ -274,7 +298,7 @@ def q8(spark, root):
 
 def fraud_stream(spark, root):
     job = FraudStream(spark, scratch_path(spark, "fraud"), delay_seconds=3600, rules=RULES, amount_rule=AMOUNT)
-    run_bounded(event_stream(spark, root), job.handle, scratch_path(spark, "fraud-checkpoint"))
+    replay_events(spark, root, job.handle, "fraud")
     job.finish()
     return job
 
@@ -290,11 +314,14 @@ def t2_stream(spark, root):
 
 
 def inventory_stream(spark, root):
-    source = replay(spark, B.stock_events(spark, root).withColumn("ts", F.timestamp_micros("at_us")))
     schema = "product_id bigint, event_id bigint, order_id string, at_us bigint, action string, qty int"
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).json(source)
     job = InventoryStream(spark, scratch_path(spark, "stock"), B.stock_seed(spark, root), delay_seconds=3600)
-    run_bounded(stream, job.handle, scratch_path(spark, "stock-checkpoint"))
+    checkpoint = scratch_path(spark, "stock-checkpoint")
+
+    def run(path):
+        return run_bounded(spark.readStream.schema(schema).json(path), job.handle, checkpoint)
+
+    replay(spark, B.stock_events(spark, root).withColumn("ts", F.timestamp_micros("at_us")), run)
     job.finish()
     return job
 
@@ -313,7 +340,7 @@ def j3(spark, root):
 @query("t8_live_metrics", dashboard_sql("(select max(ts) from orders_placed)"))
 def t8(spark, root):
     job = LiveMetrics(spark, scratch_path(spark, "metrics"))
-    run_bounded(event_stream(spark, root), job.handle, scratch_path(spark, "metrics-checkpoint"))
+    replay_events(spark, root, job.handle, "metrics")
     return job.dashboard()
 
 
@@ -324,24 +351,25 @@ def t11(spark, root):
     def handle(batch, batch_id):
         batch.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
 
-    progress = run_bounded(event_stream(spark, root), handle, scratch_path(spark, "t11-checkpoint"))
+    progress = reduce(DataFrame.unionAll, replay_events(spark, root, handle, "t11"))
     batches = progress.filter("input_rows > 0").agg(F.count("*").alias("b")).scalar()
     return read_output(spark, out).agg(F.count("*").alias("events")).withColumn("batches", batches)
 
 
 @query("t12_stream_windows", SQL["t12_tumbling_windows"])
 def t12_stream(spark, root):
-    """Event-time windows behind a watermark; the last windows close with the table written beside them."""
-    stream = event_stream(spark, root).filter("event_type = 'order_placed'").withWatermark("ts", "1 hour")
-    out = scratch_path(spark, "t12")
-    counted = Wn.tumbling(stream, "ts", "6 hours", ["category"], "amount_inr")
+    """Event-time windows behind a watermark, updated as events come in."""
+    out, checkpoint = scratch_path(spark, "t12"), scratch_path(spark, "t12-checkpoint")
 
     def handle(batch, batch_id):
         batch.withColumn("seen_in", F.lit(batch_id)).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
 
-    writer = counted.writeStream.foreachBatch(handle).outputMode("update")
-    query_ = writer.option("checkpointLocation", scratch_path(spark, "t12-checkpoint")).trigger(availableNow=True).start()
-    query_.awaitTermination()
+    def run(path):
+        events = Ev.read_events(spark, Ev.JsonFiles(path)).filter("event_type = 'order_placed'")
+        counted = Wn.tumbling(events.withWatermark("ts", "1 hour"), "ts", "6 hours", ["category"], "amount_inr")
+        return run_bounded(counted, handle, checkpoint, mode="update")
+
+    replay(spark, B.events_fact(spark, root), run)
     # A window that got more events later appears again; its last state counts.
     rows = read_output(spark, out)
     newest = rows.groupBy("start", "end", "category").agg(F.max_by(F.struct("n", "total"), "seen_in").alias("s"))
@@ -352,8 +380,12 @@ def t12_stream(spark, root):
 def a9_stream(spark, root):
     """Every event sent twice, kept once."""
     events = B.events_fact(spark, root).select("event_id", "seller_id", "ts")
-    path = replay(spark, events.unionAll(events))
-    stream = spark.readStream.schema("event_id bigint, seller_id bigint, ts timestamp").option("maxFilesPerTrigger", 1).json(path)
-    out = scratch_path(spark, "a9")
-    run_to_files(drop_repeats(stream, ["event_id"], "ts", "31 days"), out, scratch_path(spark, "a9-checkpoint"))
+    schema = "event_id bigint, seller_id bigint, ts timestamp"
+    out, checkpoint = scratch_path(spark, "a9"), scratch_path(spark, "a9-checkpoint")
+
+    def run(path):
+        once = drop_repeats(spark.readStream.schema(schema).json(path), ["event_id"], "ts", "31 days")
+        return run_to_files(once, out, checkpoint)
+
+    replay(spark, events.unionAll(events), run)
     return spark.read.parquet(out).drop("ts")
