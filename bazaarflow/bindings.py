@@ -25,15 +25,22 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
 
 
 def orders_fact(spark: SparkSession, root: str) -> DataFrame:
-    """The 16-column order contract."""
+    """The 16-column order contract.
+
+    Places are joined to customers, those to orders, and only then come the lines, so the
+    largest table is shuffled for two joins at most.
+    """
     c = F.col
+    customers = (
+        table(spark, root, "customer")
+        .join(table(spark, root, "nation"), c("c_nationkey") == c("n_nationkey"))
+        .join(table(spark, root, "region"), c("n_regionkey") == c("r_regionkey"))
+    )
+    placed = table(spark, root, "orders").join(customers, c("o_custkey") == c("c_custkey"))
     joined = (
         spread(table(spark, root, "lineitem"), "l_orderkey", "l_partkey")
-        .join(table(spark, root, "orders"), c("l_orderkey") == c("o_orderkey"))
+        .join(placed, c("l_orderkey") == c("o_orderkey"))
         .join(table(spark, root, "part"), c("l_partkey") == c("p_partkey"))
-        .join(table(spark, root, "customer"), c("o_custkey") == c("c_custkey"))
-        .join(table(spark, root, "nation"), c("c_nationkey") == c("n_nationkey"))
-        .join(table(spark, root, "region"), c("n_regionkey") == c("r_regionkey"))
     )
     # Order priority -> payment method.
     payments = {

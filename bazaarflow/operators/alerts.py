@@ -6,8 +6,8 @@ import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions.dates import from_micros, micros, seconds_to_micros
 from ..functions.numeric import round_half_up
@@ -53,13 +53,15 @@ def alert_id(seller: str, event: str, rule: Column) -> Column:
     return F.concat(F.lit("ALERT-"), F.upper(F.substring(F.md5(text.cast("binary")), 1, 16)))
 
 
-def _timed(orders: DataFrame) -> DataFrame:
-    return orders.select("seller_id", "event_id", micros("ts").alias("at_us"), "amount_inr")
+def timed(orders: DataFrame) -> DataFrame:
+    """What the rules need of an order; a missing amount counts as zero."""
+    amount = F.coalesce(F.col("amount_inr"), F.lit(0).cast("decimal(18,2)"))
+    return orders.select("seller_id", "event_id", micros("ts").alias("at_us"), amount.alias("amount_inr"))
 
 
 def trailing_counts(orders: DataFrame, rules: tuple[VelocityRule, ...], policy: SkewPolicy = DEFAULT) -> DataFrame:
     windows = {r.name: seconds_to_micros(r.window_seconds) for r in rules}
-    return trailing_window(_timed(orders).drop("amount_inr"), ["seller_id"], "at_us", "event_id", windows, policy=policy)
+    return trailing_window(timed(orders).drop("amount_inr"), ["seller_id"], "at_us", "event_id", windows, policy=policy)
 
 
 def velocity_alerts(
@@ -130,7 +132,7 @@ def amount_baselines(
     orders just before it.
     """
     windows = {"recent": seconds_to_micros(rule.window_seconds)}
-    counted = trailing_window(_timed(orders), ["seller_id"], "at_us", "event_id", windows, "amount_inr", policy)
+    counted = trailing_window(timed(orders), ["seller_id"], "at_us", "event_id", windows, "amount_inr", policy)
     return baselines_of_counted(counted, rule, start, policy)
 
 
@@ -154,24 +156,26 @@ def baselines_of_counted(
     rows = spread.withColumn("_start", F.coalesce(begin, F.col("average"))).drop("average")
     placed = rows.repartition("seller_id", "_block").sortWithinPartitions("seller_id", "_block", "at_us", "event_id")
     keep, gain = rule.keep, rule.gain
+    names = ["seller_id", "event_id", "at_us", "amount"]
+    schema = T.StructType([*[placed.schema[n] for n in names], T.StructField("baseline", T.DoubleType())])
 
-    def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         run, level = None, 0.0
-        for pdf in batches:
+        for batch in batches:
             before = []
-            keys = zip(pdf["seller_id"].tolist(), pdf["_block"].tolist())
-            for key, x, start_at in zip(keys, pdf["amount"].tolist(), pdf["_start"].tolist()):
-                if key != run:
-                    run, level = key, start_at
+            columns = ("seller_id", "_block", "amount", "_start")
+            for seller, block, x, start_at in zip(*[batch.column(c).to_pylist() for c in columns]):
+                if (seller, block) != run:
+                    run, level = (seller, block), start_at
                 before.append(level)
                 level = keep * level + gain * x
-            pdf["baseline"] = before
-            yield pdf.loc[pdf["_own"], ["seller_id", "event_id", "at_us", "amount", "baseline"]]
+            out = pa.RecordBatch.from_arrays(
+                [*[batch.column(n) for n in names], pa.array(before, pa.float64())], names=[*names, "baseline"]
+            )
+            yield out.filter(batch.column("_own"))
 
-    ids = ", ".join(f"{c} {counted.schema[c].dataType.simpleString()}" for c in ("seller_id", "event_id"))
-    schema = f"{ids}, at_us bigint, amount double, baseline double"
     after = F.lit(keep) * F.col("baseline") + F.lit(gain) * F.col("amount")
-    return placed.mapInPandas(fold, schema).withColumn("baseline_after", after)
+    return placed.mapInArrow(fold, schema).withColumn("baseline_after", after)
 
 
 def amount_alerts(

@@ -10,10 +10,13 @@ A product with too many events is cut into chunks, whose starting states are fou
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import groupby
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+import pyarrow as pa
+from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from ..functions.numeric import floored_ratio, round_half_up
 from .ordered import CHUNK, DEFAULT, SkewPolicy, running_in_chunks, with_chunks
@@ -28,7 +31,7 @@ def _after(action: str, qty: int, stock: int, reserved: int) -> tuple[int, int]:
         return stock, reserved + qty if free > 0 and free >= qty else reserved
     if action == "sold":
         return max(0, stock - qty), max(0, reserved - qty)
-    return qty, reserved
+    return qty if action == "update" else stock, reserved
 
 
 def _seed_reserved(seed: DataFrame) -> list:
@@ -80,37 +83,40 @@ def _chunk_starts(heavy: DataFrame) -> DataFrame:
     amount never passes the highest stock level, which bounds the tables.
     """
     levelled = _levels(heavy)
-    top = levelled.groupBy("product_id").agg(
+    top = levelled.groupBy(F.col("product_id").alias("_p")).agg(
         F.greatest(F.max("stock_before"), F.max("stock_after"), F.max("_reserved0")).alias("_top")
     )
+    inputs = ["action", "qty", "stock_before", "_reserved0", "_top"]
     placed = (
         levelled.select("product_id", CHUNK, *ORDER, "action", "qty", "stock_before", "_reserved0")
-        .join(top, "product_id")
+        .join(top, F.col("product_id").eqNullSafe(F.col("_p")))
         .repartition("product_id", CHUNK)
         .sortWithinPartitions("product_id", CHUNK, *ORDER)
     )
 
-    def tables(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        run, table, stock, begin = None, None, 0, 0
+    key = heavy.schema["product_id"].dataType
+    schema = f"product_id {key.simpleString()}, {CHUNK} bigint, stock bigint, begin bigint, after array<bigint>"
+    arrow = to_arrow_schema(T.StructType.fromDDL(schema))
 
-        def done() -> pd.DataFrame:
-            row = {"product_id": [run[0]], CHUNK: [run[1]], "stock": [stock], "begin": [begin], "after": [table.tolist()]}
-            return pd.DataFrame(row)
+    def tables(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        run, table, first = None, None, (0, 0)
 
-        for pdf in batches:
-            for key, part in pdf.groupby(["product_id", CHUNK], sort=False):
-                if key != run:
+        def done() -> pa.RecordBatch:
+            return pa.RecordBatch.from_pylist([dict(zip(arrow.names, (*run, *first, table.tolist())))], schema=arrow)
+
+        for batch in batches:
+            rows = zip(*[batch.column(c).to_pylist() for c in ("product_id", CHUNK, *inputs)])
+            for now, group in groupby(rows, key=lambda r: r[:2]):
+                part = list(group)
+                if now != run:
                     if run is not None:
                         yield done()
-                    run, stock, begin = key, int(part["stock_before"].iloc[0]), int(part["_reserved0"].iloc[0])
-                    table = np.arange(int(part["_top"].iloc[0]) + 1)
-                columns = [part[c].tolist() for c in ("action", "qty", "stock_before")]
-                table = _transition(*columns, table)
+                    run, first, table = now, (part[0][4], part[0][5]), np.arange(part[0][6] + 1)
+                table = _transition(*[[r[i] for r in part] for i in (2, 3, 4)], table)
         if run is not None:
             yield done()
 
-    key = heavy.schema["product_id"].dataType.simpleString()
-    reduced = placed.mapInPandas(tables, f"product_id {key}, {CHUNK} bigint, stock bigint, begin bigint, after array<bigint>")
+    reduced = placed.mapInArrow(tables, schema)
 
     def chain(pdf: pd.DataFrame) -> pd.DataFrame:
         ordered = pdf.sort_values(CHUNK)
@@ -122,7 +128,7 @@ def _chunk_starts(heavy: DataFrame) -> DataFrame:
 
     # One row per chunk of the product, a bounded number.
     starts = reduced.groupBy("product_id").applyInPandas(
-        chain, f"product_id {key}, {CHUNK} bigint, stock bigint, reserved bigint"
+        chain, f"product_id {key.simpleString()}, {CHUNK} bigint, stock bigint, reserved bigint"
     )
     names = {"product_id": "_p", CHUNK: "_c", "stock": "_stock_c", "reserved": "_reserved_c"}
     return starts.withColumnsRenamed(names)
@@ -144,26 +150,26 @@ def stock_decisions(events: DataFrame, seed: DataFrame, policy: SkewPolicy = DEF
         known = {"_stock0": F.coalesce("_stock_c", "_stock0"), "_reserved0": F.coalesce("_reserved_c", "_reserved0")}
         rows = rows.join(starts, hit, "left").withColumns(known).drop("_p", "_c", "_stock_c", "_reserved_c")
     placed = rows.repartition("product_id", CHUNK).sortWithinPartitions("product_id", CHUNK, *ORDER)
-    kept = [f for f in whole.schema.fields]
-    names = [f.name for f in kept]
+    names = whole.columns
     states = ["stock_before", "reserved_before", "stock_after", "reserved_after"]
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in kept] + [f"{s} bigint" for s in states])
+    schema = T.StructType([*whole.schema.fields, *[T.StructField(s, T.LongType()) for s in states]])
 
-    def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         run, stock, reserved = None, 0, 0
-        for pdf in batches:
-            trail = []
-            keys = zip(pdf["product_id"].tolist(), pdf[CHUNK].tolist())
-            columns = [pdf[c].tolist() for c in ("action", "qty", "_stock0", "_reserved0")]
-            for key, action, qty, stock0, reserved0 in zip(keys, *columns):
-                if key != run:
-                    run, stock, reserved = key, stock0, reserved0
+        for batch in batches:
+            trail: tuple[list, ...] = ([], [], [], [])
+            columns = ("product_id", CHUNK, "action", "qty", "_stock0", "_reserved0")
+            for product, chunk, action, qty, stock0, reserved0 in zip(*[batch.column(c).to_pylist() for c in columns]):
+                if (product, chunk) != run:
+                    run, stock, reserved = (product, chunk), stock0, reserved0
                 after = _after(action, qty, stock, reserved)
-                trail.append((stock, reserved, *after))
+                for out, value in zip(trail, (stock, reserved, *after)):
+                    out.append(value)
                 stock, reserved = after
-            yield pdf[names].assign(**dict(zip(states, zip(*trail)))) if trail else pdf[names].assign(**{s: [] for s in states})
+            arrays = [batch.column(n) for n in names] + [pa.array(out, pa.int64()) for out in trail]
+            yield pa.RecordBatch.from_arrays(arrays, names=[*names, *states])
 
-    folded = placed.mapInPandas(fold, schema)
+    folded = placed.mapInArrow(fold, schema)
     free = F.greatest(F.lit(0), F.col("stock_before") - F.col("reserved_before"))
     reason = (
         F.when(F.col("action") != "order", F.lit(None))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..functions.dates import micros, seconds_to_micros
+from ..functions.dates import seconds_to_micros
 from ..operators.alerts import (
     AMOUNT_RULE,
     VELOCITY_RULES,
@@ -13,6 +13,7 @@ from ..operators.alerts import (
     alerts_of_baselines,
     alerts_of_counts,
     baselines_of_counted,
+    timed,
 )
 from ..operators.ordered import DEFAULT, SkewPolicy
 from ..operators.windows import trailing_window
@@ -49,10 +50,7 @@ class FraudStream:
         self.next_batch = 0
 
     def handle(self, batch: DataFrame, batch_id: int, final: bool = False) -> None:
-        orders = batch.filter("event_type = 'order_placed'").select(
-            "seller_id", "event_id", micros("ts").alias("at_us"), F.col("amount_inr").cast("decimal(18,2)")
-        )
-        orders = orders.persist()
+        orders = timed(batch.filter("event_type = 'order_placed'")).persist()
         try:
             self._step(orders, batch_id, final)
         finally:
@@ -61,8 +59,8 @@ class FraudStream:
 
     def finish(self) -> None:
         """Process what still waits for the watermark."""
-        empty = self.spark.createDataFrame([], f"event_type string, ts timestamp, {ORDER}")
-        self.handle(empty.drop("at_us"), self.next_batch, final=True)
+        empty = "event_type string, seller_id bigint, event_id bigint, ts timestamp, amount_inr decimal(18,2)"
+        self.handle(self.spark.createDataFrame([], empty), self.next_batch, final=True)
 
     def _step(self, orders: DataFrame, batch_id: int, final: bool) -> None:
         state = self.tables.read(batch_id)

@@ -20,7 +20,7 @@ START = -(1 << 62)
 
 @dataclass
 class Slice:
-    """Events between two watermarks, those still waiting, and those that came too late."""
+    """Events between two watermarks, those still waiting, and those too late or without a time."""
 
     ready: DataFrame
     waiting: DataFrame
@@ -41,7 +41,7 @@ def cut_slice(state: dict[str, DataFrame], batch: DataFrame, delay_us: int, fina
     return Slice(
         ready=everything.filter(at <= mark),
         waiting=everything.filter(at > mark),
-        late=batch.filter(at <= last_mark),
+        late=batch.filter(F.coalesce(at <= last_mark, F.lit(True))),
         last_mark=last_mark,
         mark=mark,
     )

@@ -117,8 +117,8 @@ def test_stock_equals_sequential_store(spark, policy):
     rnd = random.Random(11)
     events, seed = [], {p: rnd.randrange(0, 60) for p in range(6)}
     for i in range(1200):
-        p = 0 if i % 3 == 0 else rnd.randrange(0, 8)
-        action = rnd.choices(["order", "sold", "update"], [6, 3, 1])[0]
+        p = 0 if i % 3 == 0 else (None if i % 7 == 0 else rnd.randrange(0, 8))
+        action = rnd.choices(["order", "sold", "update", "other"], [6, 3, 1, 1])[0]
         qty = rnd.randrange(0, 80) if action == "update" else rnd.randrange(1, 7)
         events.append((p, i, f"O{i}", i // 2, action, qty))
     df = spark.createDataFrame(events, "product_id bigint, event_id bigint, order_id string, at_us bigint, action string, qty int")
@@ -134,7 +134,7 @@ def test_stock_equals_sequential_store(spark, policy):
                 reserved[p] = r + q
         elif action == "sold":
             stock[p], reserved[p] = max(0, s - q), max(0, r - q)
-        else:
+        elif action == "update":
             stock[p] = q
         want[i] = (reason, free, stock.get(p, 0), reserved.get(p, 0))
     decided = St.stock_decisions(df, seeds, policy)
@@ -144,6 +144,18 @@ def test_stock_equals_sequential_store(spark, policy):
     assert final == {p: (stock.get(p, 0), reserved.get(p, 0)) for p in set(stock) | {e[0] for e in events}}
 
 
+def test_baselines_with_missing_sellers_and_amounts(spark):
+    data = [(None if i % 2 else 9_007_199_254_740_993, i, i * 1_000, None if i == 20 else 10.0) for i in range(40)]
+    orders = spark.createDataFrame(data, "seller_id bigint, event_id bigint, us bigint, a double").select(
+        "seller_id", "event_id", F.timestamp_micros("us").alias("ts"), F.col("a").cast("decimal(18,2)").alias("amount_inr")
+    )
+    got = {r.event_id: (r.seller_id, r.baseline) for r in Al.amount_baselines(orders).collect()}
+    assert len(got) == 32
+    assert got[21] == (None, 10.0) and got[20] == (9_007_199_254_740_993, 10.0)
+    # The missing amount counts as zero.
+    assert got[22][1] == 9.0
+
+
 @pytest.mark.parametrize("policy", [PLAIN, CUT])
 def test_longest_streak(spark, policy):
     rnd = random.Random(5)
