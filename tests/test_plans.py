@@ -32,6 +32,23 @@ def test_filters_reach_the_scan(spark, root):
     assert "GreaterThan(n_chars,100)" in plan(B.table(spark, root, "documents").filter("n_chars > 100").select("doc_id"))
 
 
+def test_order_events_are_filtered_in_the_scan(spark, root):
+    pushed = re.search(r"PushedFilters: \[(.*)\]", plan(B.orders_placed(spark, root).select("event_id"))).group(1)
+    assert "Not(In(event_type" in pushed
+
+
+def test_largest_table_is_joined_last(spark, root):
+    """Lines meet orders that already carry their customer and place."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        tree = daily_revenue(B.orders_fact(spark, root))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    joins = re.findall(r"SortMergeJoin \[(\w+)#", tree)
+    assert joins == ["l_partkey", "l_orderkey", "o_custkey", "n_regionkey", "c_nationkey"]
+
+
 def test_lake_filters_prune_partitions(spark, root, tmp_path):
     from bazaarflow.sources import lake
 
