@@ -3,8 +3,9 @@
 Input events: product_id, event_id, order_id, at_us, action, qty with action one of
 'order' (check and reserve), 'sold' (confirm a sale), 'update' (set the level).
 
-Each product's events are folded in order: one shuffle, one sort, two numbers of state.
-A product with too many events is cut into chunks, whose starting states are found first.
+Each product's events are folded in order: one shuffle, one sort, two numbers of state. The
+seed travels with the events as each product's first one, so no join is needed. A product
+with too many events is cut into chunks, whose starting states are found first.
 """
 
 from __future__ import annotations
@@ -39,6 +40,14 @@ def _seed_reserved(seed: DataFrame) -> list:
     return [given.cast("bigint").alias("_reserved0")]
 
 
+def _with_seed(events: DataFrame, seed: DataFrame) -> DataFrame:
+    """Events and, before them as their time is null, one 'seed' row per seeded product."""
+    first = seed.select(
+        "product_id", F.lit("seed").alias("action"), F.col("initial_stock").cast("bigint").alias("qty"), *_seed_reserved(seed)
+    )
+    return events.unionByName(first, allowMissingColumns=True)
+
+
 def _levels(heavy: DataFrame) -> DataFrame:
     """Stock level before and after each event of the cut products, without a sequential step.
 
@@ -48,14 +57,14 @@ def _levels(heavy: DataFrame) -> DataFrame:
     key = ["product_id"]
     sold = F.when(F.col("action") == "sold", F.col("qty")).otherwise(F.lit(0))
     summed = running_in_chunks(heavy, True, key, ORDER, sums={"_sold": sold})
-    update = F.when(F.col("action") == "update", F.struct(F.col("qty").alias("level"), "_sold"))
+    update = F.when(F.col("action").isin("update", "seed"), F.struct(F.col("qty").alias("level"), "_sold"))
     known = running_in_chunks(summed, True, key, ORDER, latest={"_last": update})
     since = F.col("_sold") - F.coalesce(F.col("_last._sold"), F.lit(0))
-    level = F.coalesce(F.col("_last.level"), F.col("_stock0"))
+    level = F.coalesce(F.col("_last.level"), F.lit(0))
     after = F.when(since > 0, F.greatest(F.lit(0), level - since)).otherwise(level)
     levelled = known.withColumn("stock_after", after).drop("_sold", "_last")
     before = running_in_chunks(levelled, True, key, ORDER, previous={"_prev": "stock_after"})
-    return before.withColumn("stock_before", F.coalesce("_prev", "_stock0")).drop("_prev")
+    return before.withColumn("stock_before", F.coalesce("_prev", F.lit(0))).drop("_prev")
 
 
 def _transition(actions: list[str], qtys: list[int], stocks: list[int], states: np.ndarray) -> np.ndarray:
@@ -84,11 +93,12 @@ def _chunk_starts(heavy: DataFrame) -> DataFrame:
     """
     levelled = _levels(heavy)
     top = levelled.groupBy(F.col("product_id").alias("_p")).agg(
-        F.greatest(F.max("stock_before"), F.max("stock_after"), F.max("_reserved0")).alias("_top")
+        F.greatest(F.max("stock_before"), F.max("stock_after"), F.max("_reserved0"), F.lit(0)).alias("_top")
     )
     inputs = ["action", "qty", "stock_before", "_reserved0", "_top"]
     placed = (
         levelled.select("product_id", CHUNK, *ORDER, "action", "qty", "stock_before", "_reserved0")
+        .fillna(0, ["_reserved0"])
         .join(top, F.col("product_id").eqNullSafe(F.col("_p")))
         .repartition("product_id", CHUNK)
         .sortWithinPartitions("product_id", CHUNK, *ORDER)
@@ -140,36 +150,36 @@ def stock_decisions(events: DataFrame, seed: DataFrame, policy: SkewPolicy = DEF
     ``seed``: product_id, initial_stock and, to continue an earlier run, initial_reserved.
     Products without a seed start at zero.
     """
-    start = seed.select("product_id", F.col("initial_stock").cast("bigint").alias("_stock0"), *_seed_reserved(seed))
     whole = events.withColumn("qty", F.coalesce(F.col("qty"), F.lit(1)).cast("bigint"))
-    base = whole.join(start, "product_id", "left").fillna(0, ["_stock0", "_reserved0"])
-    rows, cut = with_chunks(base, ["product_id"], ORDER, policy)
+    rows, cut = with_chunks(_with_seed(whole, seed), ["product_id"], ORDER, policy)
+    rows = rows.withColumns({"_stock_c": F.lit(0).cast("bigint"), "_reserved_c": F.lit(0).cast("bigint")})
     if cut:
-        starts = _chunk_starts(rows.filter(F.col(CHUNK) >= 0))
+        starts = _chunk_starts(rows.filter(F.col(CHUNK) >= 0).drop("_stock_c", "_reserved_c"))
         hit = F.col("product_id").eqNullSafe(F.col("_p")) & (F.col(CHUNK) == F.col("_c"))
-        known = {"_stock0": F.coalesce("_stock_c", "_stock0"), "_reserved0": F.coalesce("_reserved_c", "_reserved0")}
-        rows = rows.join(starts, hit, "left").withColumns(known).drop("_p", "_c", "_stock_c", "_reserved_c")
+        rows = rows.drop("_stock_c", "_reserved_c").join(starts, hit, "left").drop("_p", "_c")
+    rows = rows.fillna(0, ["_stock_c", "_reserved_c", "_reserved0"])
     placed = rows.repartition("product_id", CHUNK).sortWithinPartitions("product_id", CHUNK, *ORDER)
     names = whole.columns
     states = ["stock_before", "reserved_before", "stock_after", "reserved_after"]
-    schema = T.StructType([*whole.schema.fields, *[T.StructField(s, T.LongType()) for s in states]])
+    kept = [T.StructField(f.name, f.dataType) for f in whole.schema.fields]
+    schema = T.StructType([*kept, *[T.StructField(s, T.LongType()) for s in states]])
 
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         run, stock, reserved = None, 0, 0
         for batch in batches:
             trail: tuple[list, ...] = ([], [], [], [])
-            columns = ("product_id", CHUNK, "action", "qty", "_stock0", "_reserved0")
-            for product, chunk, action, qty, stock0, reserved0 in zip(*[batch.column(c).to_pylist() for c in columns]):
+            columns = ("product_id", CHUNK, "action", "qty", "_reserved0", "_stock_c", "_reserved_c")
+            for product, chunk, action, qty, seeded, *start in zip(*[batch.column(c).to_pylist() for c in columns]):
                 if (product, chunk) != run:
-                    run, stock, reserved = (product, chunk), stock0, reserved0
-                after = _after(action, qty, stock, reserved)
+                    run, (stock, reserved) = (product, chunk), start
+                after = (qty, seeded) if action == "seed" else _after(action, qty, stock, reserved)
                 for out, value in zip(trail, (stock, reserved, *after)):
                     out.append(value)
                 stock, reserved = after
             arrays = [batch.column(n) for n in names] + [pa.array(out, pa.int64()) for out in trail]
             yield pa.RecordBatch.from_arrays(arrays, names=[*names, *states])
 
-    folded = placed.mapInArrow(fold, schema)
+    folded = placed.mapInArrow(fold, schema).filter(~F.col("action").eqNullSafe("seed"))
     free = F.greatest(F.lit(0), F.col("stock_before") - F.col("reserved_before"))
     reason = (
         F.when(F.col("action") != "order", F.lit(None))

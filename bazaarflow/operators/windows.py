@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F, Window as W
 
 from ..functions.numeric import round_half_up
-from .ordered import DEFAULT, SkewPolicy, running
+from .ordered import DEFAULT, SkewPolicy, running, running_in_chunks, with_chunks
 
 
 def trailing_window(
@@ -126,9 +126,11 @@ def sessions(
     busy key is cut like in every other running operator.
     """
     slim = df.select(key, at, tie, amount)
-    seen = running(slim, [key], [at, tie], previous={"_before": at}, policy=policy)
+    chunked, cut = with_chunks(slim, [key], [at, tie], policy)
+    seen = running_in_chunks(chunked, cut, [key], [at, tie], previous={"_before": at})
     begins = F.when(F.col("_before").isNull() | (F.col(at) - F.col("_before") >= gap_micros), 1).otherwise(0)
-    marked = running(seen.withColumn("_begin", begins), [key], [at, tie], sums={"session": F.col("_begin")}, policy=policy)
+    starts = seen.withColumn("_begin", begins)
+    marked = running_in_chunks(starts, cut, [key], [at, tie], sums={"session": F.col("_begin")})
     return marked.groupBy(key, "session").agg(
         F.min(at).alias("first_at"),
         F.max(at).alias("last_at"),
