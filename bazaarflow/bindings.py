@@ -38,7 +38,7 @@ def orders_fact(spark: SparkSession, root: str) -> DataFrame:
     )
     placed = table(spark, root, "orders").join(customers, c("o_custkey") == c("c_custkey"))
     joined = (
-        spread(table(spark, root, "lineitem"), "l_orderkey", "l_partkey")
+        spread(table(spark, root, "lineitem"), "l_orderkey")
         .join(placed, c("l_orderkey") == c("o_orderkey"))
         .join(table(spark, root, "part"), c("l_partkey") == c("p_partkey"))
     )
