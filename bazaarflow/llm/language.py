@@ -1,8 +1,9 @@
 """Language identification by compression.
 
-For each language a raw-content dictionary is put together from lines of training rows. A text is cut into blocks, every
-block is compressed with every dictionary, and the language whose dictionary gives the smallest total wins. The share by
-which it beats the next one is the margin; a narrow one is rejected.
+Texts are compared as lower-case words. For each language a raw-content dictionary is put together from training rows. A
+text is cut into blocks, every block is compressed with every dictionary, and the language whose dictionary gives the smallest
+total wins. The share by which it beats the next one is the margin; a narrow one is rejected. Blanks after each block keep the
+encoder from storing short blocks as they are, which would make all dictionaries equal.
 
 The dictionaries are fitted on a bounded sample: at most ``ROWS`` distinct texts per language, chosen by hash, and
 ``DICTIONARY`` bytes of them. Everything else reads whole texts.
@@ -24,11 +25,18 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 from .frames import held_out, texts
 
 ROWS = 200
-DICTIONARY = 48_000
-BLOCK = 8_000
-LEVEL = 3
+DICTIONARY = 8_000
+BLOCK = 4_000
+PAD = b" " * 200
+SETTINGS = {"strategy": zstandard.STRATEGY_GREEDY, "min_match": 3, "window_log": 17, "chain_log": 16, "hash_log": 16, "search_log": 4}
 MARGIN = 0.01
 LETTER = re.compile(r"[^\W\d_]")
+OTHER = re.compile(r"[\W\d_]+")
+
+
+def words(text: str) -> bytes:
+    """Lower-case words with one space between."""
+    return OTHER.sub(" ", text.lower()).strip().encode("utf-8", "replace")
 
 
 def learn(docs: DataFrame, id_col="doc_id", text_col="text", lang_col="lang", rows: int = ROWS, size: int = DICTIONARY) -> dict[str, bytes]:
@@ -48,9 +56,7 @@ def learn(docs: DataFrame, id_col="doc_id", text_col="text", lang_col="lang", ro
     sample = known.filter(F.col("h").isin(hashes)).groupBy("lang", "h").agg(F.min(F.left("text", F.lit(size))).alias("text"))
     out: dict[str, list[bytes]] = {}
     for r in sorted(sample.collect(), key=lambda r: (r.lang, r.h)):
-        # Distinct lines, the shorter ones first, so that a very long line does not take a text's whole share.
-        lines = sorted(set(r.text.split("\n")), key=lambda x: (len(x), x))
-        out.setdefault(r.lang, []).append("\n".join(lines).encode("utf-8", "replace"))
+        out.setdefault(r.lang, []).append(words(r.text))
     return {lang: joined(pieces, size) for lang, pieces in sorted(out.items())}
 
 
@@ -60,7 +66,7 @@ def joined(pieces: list[bytes], size: int) -> bytes:
     for k, p in enumerate(sorted(pieces, key=len)):
         share.append(p[: left // (len(pieces) - k)])
         left -= len(share[-1])
-    return b"\n".join(share)[:size]
+    return b" ".join(share)[:size]
 
 
 class Judge:
@@ -68,17 +74,18 @@ class Judge:
 
     def __init__(self, dictionaries: dict[str, bytes], margin: float = MARGIN):
         self.langs, self.margin, self.tools = list(dictionaries), margin, []
+        how = zstandard.ZstdCompressionParameters(write_content_size=False, write_dict_id=False, **SETTINGS)
         for raw in dictionaries.values():
             d = zstandard.ZstdCompressionDict(raw, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-            d.precompute_compress(level=LEVEL)
-            self.tools.append(zstandard.ZstdCompressor(level=LEVEL, dict_data=d, write_content_size=False, write_checksum=False, write_dict_id=False))
+            d.precompute_compress(compression_params=how)
+            self.tools.append(zstandard.ZstdCompressor(dict_data=d, compression_params=how))
 
     def __call__(self, text: str | None) -> tuple[str, float, bool]:
         """Language, score and whether the margin is too narrow."""
         if not self.langs or text is None or not LETTER.search(text):
             return "und", 0.0, True
-        raw = text.encode("utf-8", "replace")
-        blocks = [raw[i : i + BLOCK] for i in range(0, len(raw), BLOCK)]
+        raw = words(text)
+        blocks = [raw[i : i + BLOCK] + PAD for i in range(0, len(raw), BLOCK)]
         sizes = np.array([sum(len(t.compress(b)) for b in blocks) for t in self.tools], dtype=float)
         best = int(sizes.argmin())
         rest = np.delete(sizes, best)

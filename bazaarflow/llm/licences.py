@@ -82,7 +82,7 @@ RULES = [
 ]
 
 # Every known sentence holds one of these words.
-HINTS = "licen|copyright|warrant|redistrib|reserved|public domain|mpl|permission|liab"
+HINTS = "licen|copyright|warrant|redistrib|reserved|domain|mpl|permission|liab|cc0"
 BREAK = "([.!?;:])[\\x20\\x09-\\x0D]+"
 
 

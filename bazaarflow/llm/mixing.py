@@ -6,7 +6,8 @@ with unequal probabilities: documents are ranked by their random odds divided by
 order until the words left are used up. The random number is a hash of the document, so reruns agree.
 
 The cut in the ranking is found without sorting a source: words are summed by narrow bins of the rank, then only the bin
-that holds the cut is ranked, about a thousand documents for any size of source.
+that holds the cut is ranked, about a thousand documents for any size of source. The sample stops before it passes its size;
+the one document left whose words come nearest to what is missing is added if that brings the source nearer to its target.
 
 Defined cases: a null or empty text has size 0 and is never taken; null is a source of its own, the last one; documents
 that agree in id and text share one random number; extra columns are ignored.
@@ -108,10 +109,23 @@ def plan(ranked: DataFrame, share: float, most: float) -> DataFrame:
     near = drawn.select(*SOURCE, "bin", "rank", "size").join(edge, [*SOURCE, "bin"])
     upto = W.partitionBy(*SOURCE).orderBy("rank").rangeBetween(W.unboundedPreceding, 0)
     near = near.withColumn("upto", F.col("base") + F.sum("size").over(upto))
-    taken = near.filter(F.col("upto") - F.col("size") / 2 <= F.col("rest"))
-    first = edge.select(*SOURCE, ((F.col("bin")).cast("double")).alias("edge_bin"))
-    cuts = taken.groupBy(*SOURCE).agg(F.max("rank").alias("cut"))
-    return stored(rest.join(first, SOURCE, "left").join(cuts, SOURCE, "left"), "mix-plan")
+    taken = near.filter(F.col("upto") <= F.col("rest"))
+    first = edge.select(*SOURCE, F.col("bin").alias("edge_bin"), "base")
+    cuts = taken.groupBy(*SOURCE).agg(F.max("rank").alias("cut"), F.max("upto").alias("upto"))
+    cuts = rest.join(first, SOURCE, "left").join(cuts, SOURCE, "left")
+    cuts = stored(cuts.withColumn("missing", F.col("rest") - F.coalesce("upto", "base", F.lit(0))).drop("upto", "base"), "cuts")
+    spare = rank(ranked.join(cuts.drop("n_docs"), SOURCE), most).filter(F.col("rank").isNotNull() & ~sampled())
+    error = F.abs(F.col("size") - F.col("missing"))
+    spare = spare.filter(error < F.col("missing")).groupBy(*SOURCE).agg(F.min(F.struct(error.alias("error"), "rank")).alias("last"))
+    return stored(cuts.join(spare.select(*SOURCE, F.col("last.rank").alias("last")), SOURCE, "left"), "mix-plan")
+
+
+def sampled() -> Column:
+    """Whether a document is in the sample: below the bin of the cut, or in it and not after the cut."""
+    place = F.least(F.floor(F.col("rank") / (1 + F.col("rank")) * F.col("bins")), F.col("bins") - 1)
+    at = (place == F.col("edge_bin")) & F.coalesce(F.col("rank") <= F.col("cut"), F.lit(False))
+    # Without a bin of the cut all of the ranking fits.
+    return F.when(F.col("rest") <= 0, F.lit(False)).when(F.col("edge_bin").isNull(), F.lit(True)).otherwise((place < F.col("edge_bin")) | at)
 
 
 def rank(rated: DataFrame, most: float) -> DataFrame:
@@ -135,10 +149,7 @@ def mixed(
     lean_rows = stored(ranked.select(*SOURCE, "size", "odds", "lean"), "sizes")
     sources = plan(lean_rows, share, most_copies)
     drawn = rank(ranked.join(sources.drop("n_docs"), SOURCE), most_copies)
-    # Below the bin of the cut all are taken; without such a bin all of the ranking fits.
-    place = F.least(F.floor(F.col("rank") / (1 + F.col("rank")) * F.col("bins")), F.col("bins") - 1)
-    inside = F.when(F.col("rest") <= 0, F.lit(False)).when(F.col("edge_bin").isNull(), F.lit(True))
-    inside = inside.otherwise((place < F.col("edge_bin")) | ((place == F.col("edge_bin")) & F.coalesce(F.col("rank") <= F.col("cut"), F.lit(False))))
-    copies = F.col("whole") + F.when(F.col("rank").isNotNull() & inside, 1).otherwise(0)
+    extra = F.col("rank").isNotNull() & (sampled() | F.coalesce(F.col("rank") == F.col("last"), F.lit(False)))
+    copies = F.col("whole") + F.when(extra, 1).otherwise(0)
     own = [F.col(f"`{c}`") for c in docs.columns]
     return drawn.select(*own, "size", "source_size", "target", copies.cast("int").alias("copies"))
