@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -34,11 +36,32 @@ def build_session(app_name: str = "bazaarflow", master: str | None = None, **con
 
 
 def apply_rules(spark: SparkSession) -> SparkSession:
-    """Set the run-time rules on a session somebody else built."""
+    """Set the run-time rules on a session somebody else built, and give its executors this package."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    ship_package(spark)
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors once per application, so that functions of it run in their Python workers.
+
+    Nothing is sent where the package was itself given as an archive (``--py-files``).
+    """
+    context, home = spark.sparkContext, os.path.dirname(os.path.abspath(__file__))
+    if getattr(context, "_bazaarflow_shipped", False) or not os.path.isdir(home):
+        return
+    # The driver serves the archive; executors fetch it from there.
+    path = os.path.join(tempfile.mkdtemp(prefix="bazaarflow-"), "bazaarflow.zip")
+    with zipfile.ZipFile(path, "w") as archive:
+        for folder, _, names in os.walk(home):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    archive.write(full, os.path.relpath(full, os.path.dirname(home)))
+    context.addPyFile(path)
+    context._bazaarflow_shipped = True
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names; a temporary one only for an unset local session."""
     configured = spark.conf.get(CHECKPOINT_CONF, None)
