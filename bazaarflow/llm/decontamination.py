@@ -104,7 +104,10 @@ class Index:
         if not any(len(s) for s in docs):
             return out
         for d, items in self.candidates(docs).items():
+            # A window may also touch a document without shingles.
             whole = np.unique(docs[d])
+            if not len(whole):
+                continue
             for i in sorted(items):
                 own = self.shingles[i]
                 at = np.minimum(np.searchsorted(whole, own), len(whole) - 1)

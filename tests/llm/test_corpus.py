@@ -307,8 +307,9 @@ def test_items_inside_long_documents(spark):
         for j, body in enumerate((w, near, w[: len(w) // 2])):
             lead = [word() for _ in range(int(rng.integers(0, 3000)))]
             rows.append((10 * k + j, " ".join(lead + body + [word() for _ in range(1000)])))
+    rows = [x for r in rows for x in (r, (1000 + r[0], "a b c"))]
     rows += [(900, None), (901, ""), (902, "a b c")]
-    df = spark.createDataFrame(rows, "doc_id bigint, text string").withColumn("item_id", F.lit(5))
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1).withColumn("item_id", F.lit(5))
     bench = spark.createDataFrame([*items, (99, None)], "item_id bigint, text string")
     got = {(r.doc_id, r.item_id) for r in decontamination.contained(df, bench).collect()}
     assert got == brute_contained(rows, items)
