@@ -11,7 +11,8 @@ def _large_star(edges: DataFrame) -> DataFrame:
     """Every larger neighbour of a node is linked to the node's smallest neighbour (or itself)."""
     both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     low = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("low"))
-    moved = both.filter("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("low").alias("b"))
+    # As a table of its own, it lets the skew join split a node of many edges.
+    moved = both.filter("b > a").join(stored(low, "low"), "a").select(F.col("b").alias("a"), F.col("low").alias("b"))
     return moved.filter("a <> b").distinct()
 
 

@@ -54,7 +54,8 @@ def drop_bitmaps(
     first = first.filter("nth = 1")
     common = first.groupBy(*HASH).agg(F.count("*").alias("n"), F.min(F.struct(*KEY, "pos")).alias("first"))
     common = common.filter(F.col("n") >= min_docs).select(*HASH, *(["first"] if keep_first else []))
-    lost = occ.join(common, HASH)
+    # As a table of its own, it lets the skew join split a line that many documents share.
+    lost = occ.join(stored(common, "common-lines"), HASH)
     if keep_first:
         lost = lost.filter(F.struct(*KEY, "pos") != F.col("first"))
     bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("pos") % 64)

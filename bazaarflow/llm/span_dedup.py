@@ -102,10 +102,11 @@ def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     schema = f"doc_id {kind}, k1 bigint, k2 bigint, first int, many int, h bigint"
     found = rows.select("doc_id", "k1", "k2", "text").mapInArrow(_span_rows, schema)
     twice = found.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1").select("h")
-    places = stored(found.join(twice, "h"), "places")
+    # As tables of their own, the counted sides let the skew join split a span that many documents share.
+    places = stored(found.join(stored(twice, "twice"), "h"), "places")
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "k1", "k2", "first")
     first = places.groupBy("h").agg(F.min(order).alias("kept"))
-    later = places.join(first, "h").filter(order != F.col("kept"))
+    later = places.join(stored(first, "first-places"), "h").filter(order != F.col("kept"))
     return later.groupBy("k1", "k2").agg(F.sort_array(F.collect_set(F.struct("first", "many"))).alias("runs"))
 
 
