@@ -33,11 +33,19 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U(31))
 
 
+def lower_bytes(text: str | None) -> np.ndarray:
+    return np.frombuffer((text or "").lower().encode("utf-8", "surrogatepass"), dtype=np.uint8)
+
+
 def word_hashes(text: str | None) -> np.ndarray:
     """One number for each word, in order."""
-    raw = np.frombuffer((text or "").lower().encode("utf-8", "surrogatepass"), dtype=np.uint8)
+    return placed_words(lower_bytes(text))[1]
+
+
+def placed_words(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each word starts in the bytes of a lower-case text, and its number."""
     if not len(raw):
-        return np.empty(0, dtype=U)
+        return np.empty(0, dtype=np.int64), np.empty(0, dtype=U)
     inside = _WORD[raw]
     edge = np.diff(inside.astype(np.int8), prepend=0, append=0)
     starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
@@ -45,7 +53,7 @@ def word_hashes(text: str | None) -> np.ndarray:
     up, down = (_UP, _DOWN) if n <= len(_UP) else (_powers(_BASE, n), _powers(_INVERSE, n))
     sums = np.zeros(n + 1, dtype=U)
     np.cumsum((raw.astype(U) + U(1)) * up[:n], out=sums[1:])
-    return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(U))
+    return starts, mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(U))
 
 
 def shingle_hashes(text: str | None, words: int = WORDS, short: bool = True) -> np.ndarray:

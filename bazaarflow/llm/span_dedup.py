@@ -1,6 +1,7 @@
 """Substring dedup by sliding sentence spans.
 
-A text is cut into sentences. A span is a run of consecutive sentences: from each sentence the shortest run of at least
+A text is cut at newlines and at the first blank after a full stop, question or exclamation mark; pieces with a word are its
+sentences. A span is a run of consecutive sentences: from each sentence the shortest run of at least
 ``SENTENCES`` sentences and ``WORDS`` words, and to each sentence the shortest such run that ends there; a run of fewer
 sentences is a span if it has ``LONG`` words. Spans are hashed and joined over all documents. Of a span that repeats, the first
 place (smallest document id, then position) stays; sentences covered by any other place of it are removed.
@@ -14,7 +15,6 @@ a null id comes after all others; extra columns are ignored.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,60 +22,51 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .frames import keyed, stored, texts
-from .shingles import U, mix, word_hashes
+from .shingles import U, lower_bytes, mix, placed_words
 
 SENTENCES, WORDS, LONG = 3, 10, 40
-BREAK = re.compile(r"(?<=[.!?])[\x20\x09-\x0D]+|\n[\x20\x09-\x0D]*")
+_BASE = U(0x9E3779B97F4A7C15)
+_INVERSE = U(pow(int(_BASE), -1, 1 << 64))
 
 
-def sentences(text: str) -> tuple[list[int], list[int]]:
-    """Starts and ends of the sentences; the blanks between two belong to neither. Empty ones are left out."""
-    starts, ends, at = [], [], 0
-    for m in BREAK.finditer(text):
-        if m.start() > at:
-            starts.append(at)
-            ends.append(m.start())
-        at = m.end()
-    if at < len(text):
-        starts.append(at)
-        ends.append(len(text))
-    return starts, ends
+def breaks(codes: np.ndarray) -> np.ndarray:
+    """Which characters (or bytes) end a piece: newlines, and blanks right after a mark that ends a sentence."""
+    out = codes == 10
+    if len(codes) > 1:
+        before, here = codes[:-1], codes[1:]
+        marks = (before == 46) | (before == 33) | (before == 63)
+        out[1:] |= marks & ((here == 32) | ((here >= 9) & (here <= 13)))
+    return out
 
 
 def spans(text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """First sentence, number of sentences and hash of each span of a text."""
+    """First piece, last piece and hash of each span of a text."""
     none = np.empty(0, dtype=np.int64)
-    text = text or ""
-    starts, ends = sentences(text)
-    if not starts:
+    raw = lower_bytes(text)
+    starts, words = placed_words(raw)
+    if len(words) < WORDS:
         return none, none, none
-    pieces = [word_hashes(text[a:b]) for a, b in zip(starts, ends)]
-    n = len(pieces)
-    counts = np.array([len(p) for p in pieces])
-    words = np.concatenate(pieces)
+    piece, counts = np.unique(np.cumsum(breaks(raw))[starts], return_counts=True)
+    n = len(piece)
     upto = np.concatenate([[0], np.cumsum(counts)])
-    if upto[-1] < WORDS:
-        return none, none, none
     first = np.arange(n)
     # Shortest runs from each sentence: enough words, and either enough sentences or so many words that fewer do.
     end = np.maximum(np.searchsorted(upto, upto[:-1] + WORDS), first + SENTENCES)
     end = np.minimum(end, np.maximum(np.searchsorted(upto, upto[:-1] + LONG), first + 1))
     start = np.minimum(np.searchsorted(upto, upto[1:] - WORDS, side="right") - 1, first + 1 - SENTENCES)
     start = np.maximum(start, np.minimum(np.searchsorted(upto, upto[1:] - LONG, side="right") - 1, first))
-    runs = [(a, b) for a, b in zip(first, end) if b <= n] + [(a, b + 1) for a, b in zip(start, first) if a >= 0]
-    runs = sorted({(int(a), int(b)) for a, b in runs if upto[b] - upto[a] >= WORDS})
-    if not runs:
+    ahead, back = end <= n, start >= 0
+    runs = np.unique(np.concatenate([first[ahead] * (n + 1) + end[ahead], start[back] * (n + 1) + first[back] + 1]))
+    if not len(runs):
         return none, none, none
-    a, b = np.array(runs).T
-    # Prefix sums of word hashes times powers of an odd number give the hash of any run.
-    base = U(0x9E3779B97F4A7C15)
-    inverse = U(pow(int(base), -1, 1 << 64))
-    power, back = np.full(len(words) + 1, base, dtype=U), np.full(len(words) + 1, inverse, dtype=U)
-    power[0] = back[0] = 1
-    power, back = np.multiply.accumulate(power), np.multiply.accumulate(back)
+    a, b = runs // (n + 1), runs % (n + 1)
+    # Sums of word hashes times powers of an odd number give the hash of any run.
+    power, down = np.full(len(words) + 1, _BASE, dtype=U), np.full(len(words) + 1, _INVERSE, dtype=U)
+    power[0] = down[0] = 1
+    power, down = np.multiply.accumulate(power), np.multiply.accumulate(down)
     sums = np.concatenate([[U(0)], np.cumsum(words * power[:-1], dtype=U)])
-    hashes = mix((sums[upto[b]] - sums[upto[a]]) * back[upto[a]] + (upto[b] - upto[a]).astype(U))
-    return a, b - a, hashes.view(np.int64)
+    hashes = mix((sums[upto[b]] - sums[upto[a]]) * down[upto[a]] + (upto[b] - upto[a]).astype(U))
+    return piece[a], piece[b - 1], hashes.view(np.int64)
 
 
 def _span_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -88,59 +79,66 @@ def _span_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 found.append(own)
         if found:
             rows = pa.array(np.concatenate(at))
-            first, many, h = (np.concatenate([f[k] for f in found]) for k in range(3))
+            first, last, h = (np.concatenate([f[k] for f in found]) for k in range(3))
             yield pa.RecordBatch.from_arrays(
-                [*[b.column(k).take(rows) for k in range(3)], pa.array(first, pa.int32()), pa.array(many, pa.int32()), pa.array(h, pa.int64())],
-                names=["doc_id", "k1", "k2", "first", "many", "h"],
+                [*[b.column(k).take(rows) for k in range(3)], pa.array(first, pa.int32()), pa.array(last, pa.int32()), pa.array(h, pa.int64())],
+                names=["doc_id", "k1", "k2", "first", "last", "h"],
             )
 
 
 def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """k1, k2 and the runs (first sentence, number) of each document that repeat an earlier place."""
+    """k1, k2 and the runs (first and last piece) of each document that repeat an earlier place."""
     rows = keyed(docs, id_col, text_col)
     kind = rows.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, k1 bigint, k2 bigint, first int, many int, h bigint"
-    found = rows.select("doc_id", "k1", "k2", "text").mapInArrow(_span_rows, schema)
+    schema = f"doc_id {kind}, k1 bigint, k2 bigint, first int, last int, h bigint"
+    found = stored(rows.select("doc_id", "k1", "k2", "text").mapInArrow(_span_rows, schema), "spans")
     twice = found.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1").select("h")
     # As tables of their own, the counted sides let the skew join split a span that many documents share.
     places = stored(found.join(stored(twice, "twice"), "h"), "places")
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "k1", "k2", "first")
     first = places.groupBy("h").agg(F.min(order).alias("kept"))
     later = places.join(stored(first, "first-places"), "h").filter(order != F.col("kept"))
-    return later.groupBy("k1", "k2").agg(F.sort_array(F.collect_set(F.struct("first", "many"))).alias("runs"))
+    return later.groupBy("k1", "k2").agg(F.sort_array(F.collect_set(F.struct("first", "last"))).alias("runs"))
 
 
 def cut(text: str, runs: list[tuple[int, int]]) -> tuple[str, int, int, list[int]]:
-    """The text without the sentences of the runs, the numbers of sentences and of removed ones, and the removed places."""
-    starts, ends = sentences(text)
+    """The text without the pieces of the runs, the numbers of sentences and of removed ones, and the removed places."""
+    raw = lower_bytes(text)
+    has_words = np.unique(np.cumsum(breaks(raw))[placed_words(raw)[0]]) if len(raw) else np.empty(0, dtype=np.int64)
+    if not runs:
+        return text, len(has_words), 0, []
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    ends = np.append(np.flatnonzero(breaks(codes)), len(codes))
+    starts = np.concatenate([[0], ends[:-1] + 1])
     gone = np.zeros(len(starts) + 1, dtype=np.int64)
-    for first, many in runs:
+    for first, last in runs:
         gone[first] += 1
-        gone[first + many] -= 1
+        gone[last + 1] -= 1
     gone = np.cumsum(gone)[:-1] > 0
     kept, removed, at = [], [], 0
-    # A removed run takes the blanks after it along.
+    # A removed run takes the character that ends it along.
     edges = np.flatnonzero(np.diff(gone.astype(np.int8), prepend=0, append=0))
     for a, b in zip(edges[::2], edges[1::2]):
-        start, end = starts[a], starts[b] if b < len(starts) else len(text)
-        kept.append(text[at:start])
-        removed += [int(start), int(ends[b - 1])]
-        at = end
+        kept.append(text[at : starts[a]])
+        removed += [int(starts[a]), int(ends[b - 1])]
+        at = int(ends[b - 1]) + 1
     kept.append(text[at:])
-    return "".join(kept), len(starts), int(gone.sum()), removed
+    return "".join(kept), len(has_words), int(gone[has_words].sum()), removed
 
 
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, text without repeated spans, n_sentences, n_removed and removed_spans (start:end in code points) of each row."""
     runs = repeated(docs, id_col, text_col)
-    rows = keyed(docs, id_col, text_col).join(runs, ["k1", "k2"], "left").select("doc_id", "text", F.col("runs.first").alias("firsts"), F.col("runs.many").alias("many"))
+    # One plan for any size: the texts meet their runs in a merge join.
+    rows = keyed(docs, id_col, text_col).join(runs.hint("merge"), ["k1", "k2"], "left")
+    rows = rows.select("doc_id", "text", F.col("runs.first").alias("firsts"), F.col("runs.last").alias("lasts"))
     kind = rows.schema["doc_id"].dataType.simpleString()
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out = []
-            for text, firsts, many in zip(texts(b), b.column(2).to_pylist(), b.column(3).to_pylist()):
-                clean, n, gone, places = cut(text or "", list(zip(firsts or [], many or [])))
+            for text, firsts, lasts in zip(texts(b), b.column(2).to_pylist(), b.column(3).to_pylist()):
+                clean, n, gone, places = cut(text or "", list(zip(firsts or [], lasts or [])))
                 pairs = ",".join(f"{s}:{e}" for s, e in zip(places[::2], places[1::2]))
                 out.append((clean if text is not None else None, n, gone, pairs))
             kinds = (pa.string(), pa.int64(), pa.int64(), pa.string())

@@ -510,9 +510,10 @@ def test_span_dedup(spark):
 
 
 def brute_runs(text):
-    starts, ends = span_dedup.sentences(text or "")
-    counts = [len(words_of(text[a:b])) for a, b in zip(starts, ends)]
-    n, out = len(starts), set()
+    pieces = [p for p in re.split(r"\n|(?<=[.!?])[\x20\x09-\x0d]", text or "")]
+    pieces = [words_of(p) for p in pieces if words_of(p)]
+    counts = [len(p) for p in pieces]
+    n, out = len(pieces), set()
 
     def good(a, b):
         w = sum(counts[a:b])
@@ -526,7 +527,7 @@ def brute_runs(text):
         a = next((a for a in range(b - 1, -1, -1) if good(a, b)), None)
         if a is not None:
             out.add((a, b))
-    return {(a, b - a): tuple(words_of(" ".join(text[s:e] for s, e in zip(starts[a:b], ends[a:b])))) for a, b in out}
+    return {(a, b - a): tuple(sum(pieces[a:b], [])) for a, b in out}
 
 
 def test_span_dedup_of_all_documents(spark, root, rows):
