@@ -293,7 +293,8 @@ def linked(docs: DataFrame, id_col="doc_id", text_col="text", threshold: float =
     sizes = groups.groupBy("grp").agg(F.count("*").alias("n"))
     chosen = sketched.groupBy("cid").agg(F.min(F.struct("k1", "k2")).alias("k")).select("cid", "k.k1", "k.k2")
     chosen = stored(groups.join(sizes, "grp").join(chosen, "cid"), "members")
-    rows = keyed(docs, id_col, text_col).select("k1", "k2", "text").join(chosen, ["k1", "k2"]).dropDuplicates(["cid"])
+    # One plan for any size: the texts meet the members in a merge join.
+    rows = keyed(docs, id_col, text_col).select("k1", "k2", "text").join(chosen.hint("merge"), ["k1", "k2"]).dropDuplicates(["cid"])
     sets = rows.select("grp", "n", "cid", "text").mapInArrow(_shingle_rows, "grp bigint, n bigint, cid bigint, shingles binary")
     cells = _in_blocks(sets, "grp", "n", "cid").select("grp", "low", "high", F.col("_own").alias("own"), "cid", "shingles")
     cells = cells.repartition("grp", "low", "high").sortWithinPartitions("grp", "low", "high", "cid")
@@ -345,5 +346,5 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     first = ids.groupBy("root").agg(F.min(order).alias("first"))
     gone = ids.join(first, "root").filter(order != F.col("first")).select(F.col("k1").alias(names[0]), F.col("k2").alias(names[1])).distinct()
     rows = docs.select("*", *row_key(id_col, text_col, names))
-    single = rows.join(gone, list(names), "left_anti").dropDuplicates(list(names))
+    single = rows.join(gone.hint("merge"), list(names), "left_anti").dropDuplicates(list(names))
     return single.select(*[F.col(f"`{c}`") for c in docs.columns])

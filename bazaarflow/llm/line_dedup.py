@@ -82,7 +82,7 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         dense(F.col("words")).alias("dropped_bitmap"),
         F.aggregate("words", F.lit(0).cast("bigint"), lambda n, x: n + F.bit_count(x["bits"])).alias("_llm_n"),
     )
-    joined = docs.select("*", *row_key(id_col, text_col, names)).join(bitmaps, list(names), "left")
+    joined = docs.select("*", *row_key(id_col, text_col, names)).join(bitmaps.hint("merge"), list(names), "left")
     words, lines = F.col("dropped_bitmap"), lines_of(F.col(f"`{text_col}`"))
 
     def stays(_line: Column, i: Column) -> Column:
