@@ -15,15 +15,6 @@ def table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{root}/{name}.parquet")
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Use all cores on a table that comes in few splits.
-
-    Only small inputs are moved: a table of many splits, as any large one is, stays as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() * 2 > cores else df.repartition(cores, *keys)
-
-
 def orders_fact(spark: SparkSession, root: str) -> DataFrame:
     """The 16-column order contract.
 
@@ -38,7 +29,7 @@ def orders_fact(spark: SparkSession, root: str) -> DataFrame:
     )
     placed = table(spark, root, "orders").join(customers, c("o_custkey") == c("c_custkey"))
     joined = (
-        spread(table(spark, root, "lineitem"), "l_orderkey")
+        table(spark, root, "lineitem")
         .join(placed, c("l_orderkey") == c("o_orderkey"))
         .join(table(spark, root, "part"), c("l_partkey") == c("p_partkey"))
     )
@@ -76,7 +67,7 @@ def orders_fact(spark: SparkSession, root: str) -> DataFrame:
 
 def events_fact(spark: SparkSession, root: str) -> DataFrame:
     """Order, inventory and seller events in one table."""
-    return shape_events(spread(table(spark, root, "events"), "event_id"))
+    return shape_events(table(spark, root, "events"))
 
 
 # Raw event type -> event kind; all others are orders.
@@ -116,7 +107,7 @@ def orders_placed(spark: SparkSession, root: str) -> DataFrame:
     """Order events only; the filter is on the raw type, so it reaches the scan."""
     raw = F.col("event_type")
     orders = table(spark, root, "events").filter(raw.isNull() | ~raw.isin(*KINDS))
-    return shape_events(spread(orders, "event_id"))
+    return shape_events(orders)
 
 
 def stock_seed(spark: SparkSession, root: str) -> DataFrame:
@@ -144,7 +135,7 @@ def stock_events(spark: SparkSession, root: str) -> DataFrame:
 def reviews_fact(spark: SparkSession, root: str) -> DataFrame:
     """Reviews with their enrichment, over whole texts."""
     c = F.col
-    d = spread(table(spark, root, "documents"), "doc_id").select("doc_id", "text", "lang", "source")
+    d = table(spark, root, "documents").select("doc_id", "text", "lang", "source")
     r = d.join(table(spark, root, "labels"), "doc_id", "left")
     rating = (
         F.when(c("toxic") == 1, 1 + c("doc_id") % 2)
@@ -185,6 +176,7 @@ def reviews_fact(spark: SparkSession, root: str) -> DataFrame:
         F.element_at(categories, (c("doc_id") % 7 + 1).cast("int")).alias("primary_category"),
         (c("doc_id") % 3 == 0).alias("requires_action"),
         F.concat(F.lit("summary "), c("doc_id").cast("string")).alias("one_line_summary"),
+        F.concat(F.lit("action "), c("doc_id").cast("string")).alias("suggested_action"),
         (c("doc_id") % 10 != 0).alias("enrichment_success"),
     )
 

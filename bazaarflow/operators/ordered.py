@@ -90,8 +90,9 @@ def with_chunks(
 ) -> tuple[DataFrame, bool]:
     """Add the chunk column: -1 for light keys. Also tells whether anything was cut."""
     if cut_all:
+        # A chunk holds at most about a quarter of what a task may, whatever the number of rows.
         width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        chunks = max(2, min(policy.max_chunks, width))
+        chunks = max(2, width, -(-df.count() // max(1, policy.max_group_rows // 4)))
         return df.withColumn(CHUNK, _chunk_expr(df, order, chunks)[0]), True
     light = F.lit(-1).cast("bigint")
     hot = hot_keys(df, keys, policy)

@@ -6,7 +6,7 @@ cut into chunks and ranked with running sums.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from .ordered import DEFAULT, SkewPolicy, running
 
@@ -19,19 +19,22 @@ def global_percent_rank(
     ``key`` identifies a row. Nulls rank first. Read ``df`` is used more than once, so
     pass something cheap to recompute or materialized.
     """
-    pairs = [F.struct(F.lit(out).alias("metric"), F.col(src).cast("double").alias("value")) for out, src in metrics.items()]
+    kinds = [df.schema[src].dataType for src in metrics.values()]
+    exact = all(isinstance(k, (T.IntegralType, T.DecimalType)) for k in kinds)
+    one_type = "decimal(38,10)" if exact else "double"
+    pairs = [F.struct(F.lit(out).alias("metric"), F.col(src).cast(one_type).alias("value")) for out, src in metrics.items()]
     tall = df.select(key, F.explode(F.array(*pairs)).alias("p")).select(key, "p.metric", "p.value")
     distinct = tall.groupBy("metric", "value").agg(F.count("*").alias("rows"))
     upto = running(distinct, ["metric"], ["value"], sums={"upto": F.col("rows")}, policy=policy, cut_all=True)
     size = distinct.groupBy("metric").agg(F.sum("rows").alias("size"))
     ranked = upto.join(size, "metric").select(
-        F.col("metric").alias("m"),
-        F.col("value").alias("v"),
+        F.col("metric").alias("_metric"),
+        F.col("value").alias("_value"),
         F.when(F.col("size") <= 1, F.lit(0.0))
         .otherwise((F.col("upto") - F.col("rows")).cast("double") / (F.col("size") - 1).cast("double"))
         .alias("rank"),
     )
-    hit = (F.col("metric") == F.col("m")) & F.col("value").eqNullSafe(F.col("v"))
+    hit = (F.col("metric") == F.col("_metric")) & F.col("value").eqNullSafe(F.col("_value"))
     wide = tall.join(ranked, hit).groupBy(key)
     return wide.agg(*[F.max(F.when(F.col("metric") == out, F.col("rank"))).alias(out) for out in metrics])
 
@@ -39,8 +42,14 @@ def global_percent_rank(
 def global_dense_rank(
     df: DataFrame, column: str, name: str, descending: bool = False, policy: SkewPolicy = DEFAULT
 ) -> DataFrame:
-    """Add dense_rank of ``column`` over the whole table."""
-    signed = -F.col(column).cast("double") if descending else F.col(column).cast("double")
-    distinct = df.select(F.col(column).alias("_v"), signed.alias("_o")).distinct()
-    ranked = running(distinct, [], ["_o"], sums={name: F.lit(1)}, policy=policy, cut_all=True)
-    return df.join(ranked.select("_v", name), F.col(column).eqNullSafe(F.col("_v"))).drop("_v")
+    """Add dense_rank of ``column`` over the whole table, in the order of the column's own type.
+
+    Nulls come first, with ``descending`` last.
+    """
+    distinct = df.select(F.col(column).alias("_v")).distinct()
+    ranked = running(distinct, [], ["_v"], sums={name: F.lit(1)}, policy=policy, cut_all=True).select("_v", name)
+    if descending:
+        # Counted from the other end.
+        total = distinct.agg(F.count("*").alias("n")).scalar()
+        ranked = ranked.withColumn(name, total + 1 - F.col(name))
+    return df.join(ranked, F.col(column).eqNullSafe(F.col("_v"))).drop("_v")

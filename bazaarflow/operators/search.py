@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, Window as W
 
 from ..functions.numeric import round_half_up
-from ..session import broadcast_if_small
+from ..session import materialize
 from .reviews import sentiment_summary
 from .topk import urgent_reviews
 
@@ -102,11 +102,20 @@ def semantic_search(
     return best.select("query_id", "place", "review_id", round_half_up("score", 3).alias("similarity_score"))
 
 
-def assemble_context(hits: DataFrame, reviews: DataFrame, urgent: int = 3, shown: int = 200) -> DataFrame:
+# Fixed value: the text for a question that nothing is known about.
+NO_DATA = "No relevant data found in database."
+
+
+def assemble_context(
+    hits: DataFrame, reviews: DataFrame, urgent: int = 3, shown: int = 200, questions: DataFrame | None = None
+) -> DataFrame:
     """One text per question: its reviews, the sentiment distribution, the urgent issues.
 
-    ``hits`` come from ``semantic_search``; only they are joined to the review texts.
+    ``hits`` come from ``semantic_search``; only they are joined to the review texts. With ``questions``
+    (query_id) every one of them has a row, also without hits. Each section appears if it has lines.
     """
+    hits = materialize(hits)
+    asked = (hits if questions is None else questions).select("query_id").distinct()
     payload = reviews.select("review_id", "sentiment", "seller_id", "one_line_summary", "review_text")
     line = F.format_string(
         f"%d. [%s] Similarity: %.2f | Seller: %s | Summary: %s | Text: %s...",
@@ -117,11 +126,9 @@ def assemble_context(hits: DataFrame, reviews: DataFrame, urgent: int = 3, shown
         "one_line_summary",
         F.substring("review_text", 1, shown),
     )
-    lines = broadcast_if_small(hits).join(payload, "review_id").select("query_id", F.struct("place", line.alias("line")).alias("l"))
+    lines = hits.join(payload, "review_id").select("query_id", F.struct("place", line.alias("line")).alias("l"))
     # At most k lines for a question.
     found = lines.groupBy("query_id").agg(F.array_sort(F.collect_list("l"))["line"].alias("lines"))
-    head = F.concat(F.array(F.lit("RELEVANT REVIEWS FROM DATABASE:")), F.col("lines"))
-
     stat = F.format_string(
         "- %s: %d reviews (avg score: %s, avg rating: %s)",
         "sentiment",
@@ -146,6 +153,7 @@ def assemble_context(hits: DataFrame, reviews: DataFrame, urgent: int = 3, shown
         return F.when(F.size(body) > 0, F.concat(F.array(F.lit(title)), body)).otherwise(empty)
 
     everything = F.concat(
-        head, section("\nSENTIMENT DISTRIBUTION:", stat_lines), section("\nURGENT ISSUES REQUIRING ACTION:", issue_lines)
+        section("RELEVANT REVIEWS FROM DATABASE:", F.col("lines")), section("\nSENTIMENT DISTRIBUTION:", stat_lines), section("\nURGENT ISSUES REQUIRING ACTION:", issue_lines)
     )
-    return found.select("query_id", F.array_join(everything, "\n").alias("context"))
+    whole = F.when(F.size(everything) > 0, F.array_join(everything, "\n")).otherwise(NO_DATA)
+    return asked.join(found, "query_id", "left").select("query_id", whole.alias("context"))

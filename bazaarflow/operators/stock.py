@@ -150,7 +150,9 @@ def stock_decisions(events: DataFrame, seed: DataFrame, policy: SkewPolicy = DEF
     ``seed``: product_id, initial_stock and, to continue an earlier run, initial_reserved.
     Products without a seed start at zero.
     """
-    whole = events.withColumn("qty", F.coalesce(F.col("qty"), F.lit(1)).cast("bigint"))
+    # An update without a level sets 0, an order or sale without a quantity is for 1.
+    unsaid = F.when(F.col("action") == "update", 0).otherwise(1)
+    whole = events.withColumn("qty", F.coalesce(F.col("qty"), unsaid).cast("bigint"))
     rows, cut = with_chunks(_with_seed(whole, seed), ["product_id"], ORDER, policy)
     rows = rows.withColumns({"_stock_c": F.lit(0).cast("bigint"), "_reserved_c": F.lit(0).cast("bigint")})
     if cut:

@@ -44,9 +44,9 @@ def low_stock(df: DataFrame, available: str = "available_stock", threshold: int
 def urgent_reviews(reviews: DataFrame, limit: int = 10, when: str = "review_date") -> DataFrame:
     """Open urgent reviews: critical before high, newest first."""
     c = F.col
-    level = F.when(c("urgency_level") == "CRITICAL", 1).when(c("urgency_level") == "HIGH", 2).otherwise(3)
+    level = F.when(c("urgency_level") == "CRITICAL", 1).otherwise(2)
     open_ = reviews.filter(c("urgency_level").isin("HIGH", "CRITICAL") & c("requires_action"))
     best = open_.select(
-        "review_id", "seller_id", "city", "urgency_level", "primary_category", "one_line_summary", when
+        "review_id", "seller_id", "city", "urgency_level", "primary_category", "one_line_summary", "suggested_action", when
     ).orderBy(level, F.desc(when), "review_id")
     return best.limit(limit)

@@ -6,9 +6,14 @@ from pyspark.sql import DataFrame, functions as F
 
 
 def latest_per_key(delta: DataFrame, keys: list[str], order: str) -> DataFrame:
-    """The last version of each key; copies combine before the shuffle."""
+    """The last version of each key; copies combine before the shuffle.
+
+    A null version is older than any other. Of equal versions the one with the largest JSON text counts, so the choice does
+    not depend on the order of the rows.
+    """
     rest = [c for c in delta.columns if c not in keys]
-    last = delta.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.col(order)).alias("_row"))
+    place = F.struct(F.col(order).isNotNull(), F.col(order), F.to_json(F.struct(*rest)))
+    last = delta.groupBy(*keys).agg(F.max_by(F.struct(*rest), place).alias("_row"))
     return last.select(*keys, "_row.*").select(*delta.columns)
 
 

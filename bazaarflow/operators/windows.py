@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F, Window as W
+from pyspark.sql import DataFrame, functions as F, types as T, Window as W
 
 from ..functions.numeric import round_half_up
 from .ordered import DEFAULT, SkewPolicy, running, running_in_chunks, with_chunks
@@ -25,6 +25,7 @@ def trailing_window(
     time count in the order of ``tie``, as an arrival queue would.
     """
     payload = [c for c in df.columns if c not in {*keys, tie}]
+    inexact = value is not None and isinstance(df.schema[value].dataType, (T.DoubleType, T.FloatType))
 
     def step(shift: int, kind: int, deltas: dict[str, int]):
         return F.struct(
@@ -44,8 +45,12 @@ def trailing_window(
     )
     sums = {f"n_{name}": F.col(f"_d_{name}") for name in windows}
     if value:
-        sums |= {f"sum_{name}": F.col(f"_d_{name}") * F.col("_value") for name in windows}
+        # What enters and leaves must cancel, which doubles do not; they are summed to ten decimals.
+        amount = F.col("_value").cast("decimal(38,10)") if inexact else F.col("_value")
+        sums |= {f"sum_{name}": F.when(F.col(f"_d_{name}") < 0, -amount).when(F.col(f"_d_{name}") > 0, amount) for name in windows}
     out = running(moves, keys, ["_t", "_kind", tie], sums=sums, policy=policy)
+    if inexact:
+        out = out.withColumns({f"sum_{name}": F.col(f"sum_{name}").cast("double") for name in windows})
     return out.filter(F.col("_kind") == 0).select(*df.columns, *sums)
 
 

@@ -6,7 +6,7 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 
 from pyspark import StorageLevel
-from pyspark.errors import AnalysisException, PySparkException
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.text import clean_name
@@ -24,20 +24,42 @@ def save_mart(df: DataFrame, name: str, root: str) -> str:
     return path
 
 
-def _read(spark: SparkSession, path: str, kind: str) -> DataFrame | None:
-    reader = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", f"*.{kind}")
+# The error conditions for a path without files of a kind.
+ABSENT = {"PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"}
+
+
+def _files(spark: SparkSession, kind: str):
+    return spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", f"*.{kind}")
+
+
+def _csv_parts(spark: SparkSession, path: str) -> list[DataFrame]:
+    """One table for each different header; the first line of every file is its header."""
+    lines = _files(spark, "csv").text(path).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("nr"),
+        "value",
+    )
+    heads = lines.filter("start = 0").groupBy("file").agg(F.min_by("value", "nr").alias("head"))
+    grouped = heads.groupBy("head").agg(F.sort_array(F.collect_list("file")).alias("files")).orderBy("head").collect()
+    reader = spark.read.option("header", True).option("inferSchema", True)
+    return [reader.csv(list(r["files"])) for r in grouped]
+
+
+def _parts(spark: SparkSession, path: str, kind: str) -> list[DataFrame]:
     try:
         if kind == "csv":
-            found = reader.option("header", True).option("inferSchema", True).csv(path)
-            return found if found.columns else None
-        return reader.parquet(path)
-    except AnalysisException:
-        return None
+            return _csv_parts(spark, path)
+        return [_files(spark, kind).option("mergeSchema", True).parquet(path)]
+    except AnalysisException as e:
+        if e.getCondition() not in ABSENT:
+            raise
+        return []
 
 
 def read_mart(spark: SparkSession, path: str) -> DataFrame:
-    """All parquet and csv files under a mart, united by column name."""
-    parts = [df for kind in ("parquet", "csv") if (df := _read(spark, path, kind)) is not None]
+    """All parquet and csv files under a mart, united by column name; a column that a file lacks is null there."""
+    parts = [df for kind in ("parquet", "csv") for df in _parts(spark, path, kind) if df.columns]
     if not parts:
         raise MartNotFound(path)
     out = parts[0]
@@ -87,13 +109,13 @@ def load_warehouse(
         except MartNotFound:
             status.append((table, "SKIPPED"))
             continue
-        except (PySparkException, ValueError) as e:
+        except Exception as e:  # whatever is wrong with one mart, the others are loaded
             status.append((table, f"ERROR: {str(e)[:50]}"))
             continue
         try:
             _write_table(df, table, root, mode)
             status.append((table, "SUCCESS"))
-        except PySparkException:
+        except Exception:
             status.append((table, "FAILED"))
     return spark.createDataFrame(status, "table string, status string")
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 Handler = Callable[[DataFrame, int], None]
 
@@ -13,42 +13,60 @@ Handler = Callable[[DataFrame, int], None]
 def run_bounded(
     stream: DataFrame, handle: Handler, checkpoint: str, mode: str = "append", timeout: int | None = None
 ) -> DataFrame:
-    """Process all input there is, then stop. Returns (batch_id, input_rows, rows_per_second) of the run.
+    """Process all input there is, then stop. Returns (batch_id, input_rows, rows_per_second, drained) of the run.
+
+    ``drained`` tells whether all input was processed; a run that was stopped by its timeout has false in every row.
 
     Offsets are committed after ``handle`` returns, and a repeated batch has the same
     number, so a handler that replaces its own output makes the run exactly-once. How much
     one batch takes is set on the source.
     """
     writer = stream.writeStream.foreachBatch(handle).outputMode(mode).option("checkpointLocation", checkpoint)
-    return _finish(stream.sparkSession, writer.trigger(availableNow=True).start(), timeout)
+    return _drain(stream.sparkSession, writer, timeout)
 
 
 def run_to_files(stream: DataFrame, path: str, checkpoint: str, timeout: int | None = None) -> DataFrame:
     """Append a stream to parquet files until the input is drained."""
     writer = stream.writeStream.format("parquet").outputMode("append").option("path", path)
-    query = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    return _finish(stream.sparkSession, query, timeout)
+    writer = writer.option("checkpointLocation", checkpoint)
+    return _drain(stream.sparkSession, writer, timeout)
 
 
 def to_console(stream: DataFrame, checkpoint: str, timeout: int | None = None) -> DataFrame:
     """Print a stream until the input is drained."""
     writer = stream.writeStream.format("console").option("truncate", False).option("checkpointLocation", checkpoint)
-    return _finish(stream.sparkSession, writer.trigger(availableNow=True).start(), timeout)
+    return _drain(stream.sparkSession, writer, timeout)
+
+
+# Spark keeps the reports of the last batches only; a run needs those of all of them.
+KEPT_REPORTS = "spark.sql.streaming.numRecentProgressUpdates"
+
+
+def _drain(spark: SparkSession, writer: DataStreamWriter, timeout: int | None) -> DataFrame:
+    """A bounded run with the report of every batch; the session's own setting is put back after it."""
+    before = spark.conf.get(KEPT_REPORTS)
+    spark.conf.set(KEPT_REPORTS, str(2**31 - 1))
+    try:
+        return _finish(spark, writer.trigger(availableNow=True).start(), timeout)
+    finally:
+        spark.conf.set(KEPT_REPORTS, before)
 
 
 def _finish(spark: SparkSession, query: StreamingQuery, timeout: int | None) -> DataFrame:
     """Wait for a run; one that outlives its timeout is stopped and goes on from its checkpoint next time."""
+    drained = True
     try:
-        query.awaitTermination(timeout)
+        ended = query.awaitTermination(timeout)
+        drained = timeout is None or bool(ended)
     finally:
         query.stop()
     if query.exception() is not None:
         raise query.exception()
     progress = [
-        (int(p["batchId"]), int(p["numInputRows"]), float(p.get("processedRowsPerSecond") or 0.0))
+        (int(p["batchId"]), int(p["numInputRows"]), float(p.get("processedRowsPerSecond") or 0.0), drained)
         for p in query.recentProgress
     ]
-    return spark.createDataFrame(progress, "batch_id bigint, input_rows bigint, rows_per_second double")
+    return spark.createDataFrame(progress, "batch_id bigint, input_rows bigint, rows_per_second double, drained boolean")
 
 
 def drop_repeats(stream: DataFrame, keys: list[str], ts: str, delay: str) -> DataFrame:

@@ -118,7 +118,7 @@ INPUTS: dict[str, tuple[list[str], str]] = {
       ['LOW','MEDIUM','HIGH','CRITICAL'][d.doc_id % 4 + 1] as urgency_level,
       ['PRODUCT_QUALITY','DELIVERY','PRICING','FRAUD_SUSPICION','CUSTOMER_SERVICE','RETURN_REFUND',
         'GENERAL_FEEDBACK'][d.doc_id % 7 + 1] as primary_category,
-      d.doc_id % 3 = 0 as requires_action, concat('summary ', d.doc_id) as one_line_summary,
+      d.doc_id % 3 = 0 as requires_action, concat('summary ', d.doc_id) as one_line_summary, concat('action ', d.doc_id) as suggested_action,
       d.doc_id % 10 <> 0 as enrichment_success
     from documents d left join labels l on d.doc_id = l.doc_id""",
     ),

@@ -163,9 +163,10 @@ def k1(spark, root):
     return joined.orderBy("n_regionkey", F.desc("c_acctbal"), "c_custkey")
 
 
-K2 = """select review_id, seller_id, city, urgency_level, primary_category, one_line_summary, {when} as review_date
+K2 = """select review_id, seller_id, city, urgency_level, primary_category, one_line_summary, suggested_action,
+    {when} as review_date
   from reviews_fact where urgency_level in ('HIGH', 'CRITICAL') and requires_action
-  order by case urgency_level when 'CRITICAL' then 1 when 'HIGH' then 2 else 3 end, review_date desc, review_id
+  order by urgency_level = 'HIGH', review_date desc, review_id
   limit {n}"""
 
 

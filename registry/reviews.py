@@ -417,8 +417,9 @@ CONTEXT = {
     ),
 )
 def v8(spark, root):
-    hits = S.semantic_search(B.search_queries(spark, root), B.vectors(spark, root))
-    return S.assemble_context(hits, B.reviews_fact(spark, root))
+    questions = B.search_queries(spark, root)
+    hits = S.semantic_search(questions, B.vectors(spark, root))
+    return S.assemble_context(hits, B.reviews_fact(spark, root), questions=questions)
 
 
 # ---- upserts --------------------------------------------------------------------------
