@@ -11,7 +11,8 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions.dates import from_micros, micros, seconds_to_micros
 from ..functions.numeric import round_half_up
-from .ordered import DEFAULT, SkewPolicy, hot_keys, position
+from ..session import materialize
+from .ordered import DEFAULT, SkewPolicy, position
 from .windows import trailing_window
 
 
@@ -43,6 +44,13 @@ class AmountRule:
     severity: str = "MEDIUM"
     action: str = "MANUAL_REVIEW"
 
+    def __post_init__(self) -> None:
+        if not 0 < self.keep < 1:
+            raise ValueError("keep must lie between 0 and 1")
+
+
+# Orders of a seller that are folded in one go.
+BLOCK = 65_536
 
 AMOUNT_RULE = AmountRule()
 
@@ -110,12 +118,11 @@ def _warm_up(rule: AmountRule) -> int:
 def _blocks(judged: DataFrame, rule: AmountRule, policy: SkewPolicy) -> DataFrame:
     """Add the block of each order and whether the block owns it or only starts with it.
 
-    Without a heavy seller everybody has one block, and positions are not needed.
+    Blocks lie at fixed positions of a seller, whatever the policy, so that the policy never shows in a result.
     """
-    if not hot_keys(judged, ["seller_id"], policy):
-        return judged.withColumns({"_block": F.lit(0).cast("bigint"), "_own": F.lit(True)})
-    numbered = position(judged, ["seller_id"], ["at_us", "event_id"], "_pos", policy)
-    lead, block = _warm_up(rule), max(policy.max_group_rows, 2 * _warm_up(rule))
+    numbered = position(materialize(judged), ["seller_id"], ["at_us", "event_id"], "_pos", policy)
+    lead = _warm_up(rule)
+    block = max(BLOCK, 4 * lead)
     first, last = F.floor(F.col("_pos") / block), F.floor((F.col("_pos") + lead) / block)
     spread = numbered.withColumn("_block", F.explode(F.sequence(first, last)))
     return spread.withColumn("_own", F.col("_block") == first).drop("_pos")
@@ -128,8 +135,8 @@ def amount_baselines(
 
     The first baseline of a seller is the average in the window, or the one given in
     ``start`` (seller_id, baseline). Later ones are a moving average, which forgets where
-    it started; a long run of orders is therefore cut into blocks, each led in by the
-    orders just before it.
+    it started; every ``BLOCK`` orders of a seller it is therefore started anew, led in by the
+    orders just before.
     """
     windows = {"recent": seconds_to_micros(rule.window_seconds)}
     counted = trailing_window(timed(orders), ["seller_id"], "at_us", "event_id", windows, "amount_inr", policy)

@@ -1,88 +1,63 @@
 """Running values along an order, without holding a heavy key in one task.
 
-A plain window puts all rows of a key into one task. Here the heaviest keys are cut into
-chunks along the order; each chunk runs its own window and receives what came before it
-from a table of chunk totals. Light keys keep the plain window, so they pay nothing.
+A plain window puts all rows of a key into one task. Here every key above a number of rows is cut into chunks along the
+order; each chunk runs its own window and receives what came before it from a table of chunk totals. Light keys keep the
+plain window, so they pay nothing.
 
-Chunk bounds come from quantiles. Any bounds give the same result; they only balance work.
+Heavy keys are found by a join, whatever their number. Their rows are range-partitioned and sorted by key and order, and a
+chunk is a fixed number of neighbouring rows of a partition, so its size follows neither the data nor the cluster. Any cut
+gives the same result; it only balances work.
 """
 
 from __future__ import annotations
 
-from collections import Counter
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Row, functions as F, types as T, Window as W
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
+
+from ..session import materialize
 
 CHUNK = "_chunk"
+# Rows for which another task pays, and rows that one task sorts at most.
+TASK_ROWS, SORTED_ROWS = 50_000, 10_000_000
 
 
 @dataclass(frozen=True)
 class SkewPolicy:
     """When and how finely to cut a key.
 
-    Only keys above ``max_group_rows`` are cut. The ``max_hot_keys`` heaviest are looked
-    at, so any other key holds at most 1/(max_hot_keys+1) of all rows; that also bounds
-    what reaches the driver and what is broadcast. A chunk holds about
-    ``max_group_rows`` / 4 rows until ``max_chunks`` is reached.
+    Every key above ``max_group_rows`` is cut, and a chunk holds at most a quarter of that. Up to ``max_chunks`` tasks sort
+    the rows of cut keys; beyond ``SORTED_ROWS`` rows a task there are more.
     """
 
     max_group_rows: int = 1_000_000
     max_chunks: int = 4096
-    max_hot_keys: int = 4096
 
 
 DEFAULT = SkewPolicy()
 
 
-def hot_keys(df: DataFrame, keys: list[str], policy: SkewPolicy = DEFAULT) -> list[Row]:
-    """The keys with too many rows for one task, with their count; at most ``max_hot_keys`` of them."""
-    counts = df.groupBy(*keys).count().filter(F.col("count") > policy.max_group_rows)
-    return counts.orderBy(F.desc("count")).limit(policy.max_hot_keys).collect()
-
-
-def _quantiles(df: DataFrame, column: str, chunks: int) -> list[float]:
-    probs = [i / chunks for i in range(1, chunks)]
-    return df.select(F.col(column).cast("double").alias("q")).approxQuantile("q", probs, 0.25 / chunks)
-
-
-def _bucket(column: str, bounds: list[float]) -> Column:
-    """How many of the sorted bounds are at or below the value; nulls, which sort first, get 0."""
-    if not bounds:
-        return F.lit(0)
-    value = F.col(column).cast("double")
-
-    def literal(values: list[float]) -> Column:
-        return F.split(F.lit(",".join(map(repr, values))), ",").cast("array<double>")
-
-    def at_or_below(values: Column) -> Column:
-        return F.size(F.filter(values, lambda b: b <= value))
+def same(left: list[str], right: list[str]) -> Column:
+    """Equality of keys in which null equals null."""
+    cond = F.lit(True)
+    for a, b in zip(left, right):
+        cond = cond & F.col(a).eqNullSafe(F.col(b))
+    return cond
 
-    block = 64
-    if len(bounds) <= block:
-        return at_or_below(literal(bounds))
-    # First the block, then the place inside it.
-    start = F.greatest(at_or_below(literal(bounds[::block])) - 1, F.lit(0)) * block
-    return start + at_or_below(F.slice(literal(bounds), start + 1, F.lit(block)))
 
+def hot_keys(df: DataFrame, keys: list[str], policy: SkewPolicy = DEFAULT) -> DataFrame:
+    """The keys with too many rows for one task, with their count; a stored table."""
+    return materialize(df.groupBy(*keys).count().filter(F.col("count") > policy.max_group_rows))
 
-def _chunk_expr(heavy: DataFrame, order: list[str], chunks: int) -> tuple[Column, int]:
-    """Chunk number, non-decreasing along the order, and how many numbers there can be.
 
-    A value that is a bound more than once fills whole chunks by itself; its rows are cut
-    again along the next order column.
-    """
-    bounds = _quantiles(heavy, order[0], chunks)
-    distinct = sorted(set(bounds))
-    major = _bucket(order[0], distinct).cast("bigint")
-    repeated = sorted({b for b, n in Counter(bounds).items() if n > 1})
-    numeric = len(order) > 1 and isinstance(heavy.schema[order[1]].dataType, T.NumericType)
-    if not repeated or not numeric:
-        return major, len(distinct) + 1
-    tied = F.col(order[0]).cast("double").isin(repeated)
-    minor, span = _chunk_expr(heavy.filter(tied), order[1:], chunks)
-    # Rows of a bucket beyond its tied value come after all of that value's chunks.
-    return major * (span + 1) + F.when(tied, minor).otherwise(F.lit(span)), (len(distinct) + 1) * (span + 1)
+def _cut(df: DataFrame, keys: list[str], order: list[str], rows: int, policy: SkewPolicy) -> DataFrame:
+    """Add the chunk number, non-decreasing along keys and order."""
+    tasks = max(2, min(policy.max_chunks, -(-rows // TASK_ROWS)), -(-rows // SORTED_ROWS))
+    ranged = df.repartitionByRange(tasks, *keys, *order).sortWithinPartitions(*keys, *order)
+    # The id counts the rows of a partition; numbers of different partitions are far apart.
+    number = F.floor(F.monotonically_increasing_id() / F.lit(max(1, policy.max_group_rows // 4)))
+    # Stored, as bounds of ranges are drawn anew when a lost task runs again.
+    return materialize(ranged.withColumn(CHUNK, number))
 
 
 def with_chunks(
@@ -90,26 +65,16 @@ def with_chunks(
 ) -> tuple[DataFrame, bool]:
     """Add the chunk column: -1 for light keys. Also tells whether anything was cut."""
     if cut_all:
-        # A chunk holds at most about a quarter of what a task may, whatever the number of rows.
-        width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        chunks = max(2, width, -(-df.count() // max(1, policy.max_group_rows // 4)))
-        return df.withColumn(CHUNK, _chunk_expr(df, order, chunks)[0]), True
+        return _cut(df, keys, order, df.count(), policy), True
     light = F.lit(-1).cast("bigint")
     hot = hot_keys(df, keys, policy)
-    if not hot:
+    rows = hot.agg(F.sum("count")).first()[0]
+    if not rows:
         return df.withColumn(CHUNK, light), False
-    rows = sum(r["count"] for r in hot)
-    chunks = max(2, min(policy.max_chunks, -(-4 * rows // policy.max_group_rows)))
-    schema = T.StructType([df.schema[k] for k in keys])
-    found = df.sparkSession.createDataFrame([tuple(r[k] for k in keys) for r in hot], schema)
-    marked = found.select(*[F.col(k).alias(f"_hot_{k}") for k in keys], F.lit(True).alias("_hot"))
-    cond = F.lit(True)
-    for k in keys:
-        cond = cond & F.col(k).eqNullSafe(F.col(f"_hot_{k}"))
-    # At most max_hot_keys rows, so the broadcast is bounded.
-    flagged = df.join(F.broadcast(marked), cond, "left").drop(*[f"_hot_{k}" for k in keys])
-    expr, _ = _chunk_expr(flagged.filter("_hot"), order, chunks)
-    return flagged.withColumn(CHUNK, F.when(F.col("_hot"), expr).otherwise(light)).drop("_hot"), True
+    marks = [f"_hot_{k}" for k in keys]
+    marked = hot.select(*[F.col(k).alias(m) for k, m in zip(keys, marks)])
+    heavy = _cut(df.join(marked, same(keys, marks), "left_semi"), keys, order, rows, policy)
+    return df.join(marked, same(keys, marks), "left_anti").withColumn(CHUNK, light).unionByName(heavy), True
 
 
 def running(
@@ -126,7 +91,7 @@ def running(
 
     ``sums``: running sum, current row included. ``previous``: a column's value in the row
     before. ``latest``: the newest non-null value so far, current row included.
-    ``order`` must be a total order within a key, its first column numeric.
+    ``order`` must be a total order within a key.
     """
     chunked, cut = with_chunks(df, keys, order, policy, cut_all)
     return running_in_chunks(chunked, cut, keys, order, sums, previous, latest).drop(CHUNK)
@@ -193,9 +158,7 @@ def _carry(
         *[F.lag(f"_t_{name}").over(by_chunk).alias(f"_c_{name}") for name in previous],
         *[F.last(f"_t_{name}", ignorenulls=True).over(before).alias(f"_c_{name}") for name in latest],
     )
-    cond = F.lit(True)
-    for k in [*keys, CHUNK]:
-        cond = cond & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+    cond = same([*keys, CHUNK], [f"_k_{k}" for k in [*keys, CHUNK]])
     added = {name: F.col(name) + F.coalesce(F.col(f"_c_{name}"), F.lit(0)) for name in sums}
     added |= {name: F.coalesce(F.col(name), F.col(f"_c_{name}")) for name in [*previous, *latest]}
     joined = out.join(carry, cond, "left").withColumns(added)

@@ -6,11 +6,11 @@ import pytest
 from pyspark.sql import Window as W, functions as F
 
 from bazaarflow.operators import alerts as Al, stock as St, windows as Wn
-from bazaarflow.operators.ordered import CHUNK, SkewPolicy, _bucket, hot_keys, position, running, with_chunks
+from bazaarflow.operators.ordered import CHUNK, SkewPolicy, hot_keys, position, running, with_chunks
 from bazaarflow.operators.ranks import global_dense_rank, global_percent_rank
 from bazaarflow.plans.fraud_patterns import geo_impossible
 
-CUT = SkewPolicy(max_group_rows=20, max_chunks=7, max_hot_keys=2)
+CUT = SkewPolicy(max_group_rows=20, max_chunks=7)
 PLAIN = SkewPolicy()
 
 
@@ -30,13 +30,16 @@ def skewed(spark):
     return spark.createDataFrame(data, "key bigint, at_us bigint, id bigint, city string, v bigint").persist()
 
 
-def test_hot_keys_are_the_heaviest_and_few(skewed):
-    found = [r.key for r in hot_keys(skewed, ["key"], CUT)]
-    assert 1 in found and len(found) <= 2
-    assert hot_keys(skewed, ["key"], PLAIN) == []
+def test_all_hot_keys_are_found_and_cut(skewed):
+    heavy = rows(skewed.groupBy("key").count().filter("count > 20"))
+    assert rows(hot_keys(skewed, ["key"], CUT)) == heavy and len(heavy) > 10
+    assert hot_keys(skewed, ["key"], PLAIN).isEmpty()
+    chunked, _ = with_chunks(skewed, ["key"], ["at_us", "id"], CUT)
+    assert chunked.filter(f"{CHUNK} >= 0").groupBy("key", CHUNK).count().agg(F.max("count")).first()[0] <= 5
+    assert {r[0] for r in rows(chunked.filter(f"{CHUNK} < 0").select("key").distinct())}.isdisjoint(k for k, _ in heavy)
 
 
-@pytest.mark.parametrize("policy", [PLAIN, CUT, SkewPolicy(1, 3, 100)])
+@pytest.mark.parametrize("policy", [PLAIN, CUT, SkewPolicy(1, 3)])
 def test_running_equals_window(skewed, policy):
     order = ["at_us", "id"]
     w = W.partitionBy("key").orderBy(*order)
@@ -55,7 +58,7 @@ def test_running_equals_window(skewed, policy):
 def test_no_chunk_holds_the_heavy_key(skewed, order):
     """Also when many rows, or all, are equal in the first order columns."""
     df = skewed.withColumns({"one": F.lit(1), "two": F.lit(2)})
-    chunked, cut = with_chunks(df, ["key"], order, SkewPolicy(max_group_rows=300, max_hot_keys=1))
+    chunked, cut = with_chunks(df, ["key"], order, SkewPolicy(max_group_rows=300))
     sizes = chunked.filter("key = 1").groupBy(CHUNK).agg(F.count("*").alias("n"), F.min(F.struct(*order)).alias("a"))
     assert cut
     # 500 rows in 7 chunks of about 75.
@@ -64,13 +67,6 @@ def test_no_chunk_holds_the_heavy_key(skewed, order):
     assert firsts == sorted(firsts)
 
 
-def test_buckets_in_two_steps(spark):
-    bounds = [float(i) for i in range(0, 1000, 3)]
-    df = spark.createDataFrame([(float(v) / 2,) for v in range(-10, 2100)] + [(None,)], "v double")
-    for r in df.select("v", _bucket("v", bounds).alias("b")).collect():
-        assert r.b == (0 if r.v is None else sum(b <= r.v for b in bounds))
-
-
 def test_global_position(skewed):
     got = position(skewed, [], ["at_us", "id"], cut_all=True).orderBy("at_us", "id").select("pos").collect()
     assert [r.pos for r in got] == list(range(1500))
@@ -107,11 +103,37 @@ def test_amount_baselines_do_not_depend_on_blocks(spark):
     rule = Al.AmountRule()
     cols = ["event_id", "amount", "baseline"]
     plain = rows(Al.amount_baselines(orders, rule).select(cols))
-    cut = rows(Al.amount_baselines(orders, rule, policy=SkewPolicy(1200, 5, 4)).select(cols))
+    cut = rows(Al.amount_baselines(orders, rule, policy=SkewPolicy(1200, 5)).select(cols))
     assert len(plain) == 5992
     assert cut == plain
 
 
+@pytest.mark.parametrize("price", [100.0, 349.0, 99.9, 12.34])
+def test_constant_prices_give_one_baseline_under_any_policy(spark, price):
+    """A constant price has several fixed points in double arithmetic."""
+    data = [(1, i, i * 1_000, 5000.0 if i < 20 else price) for i in range(6000)]
+    orders = spark.createDataFrame(data, "seller_id bigint, event_id bigint, us bigint, a double").select(
+        "seller_id", "event_id", F.timestamp_micros("us").alias("ts"), F.col("a").cast("decimal(18,2)").alias("amount_inr")
+    )
+    rule = Al.AmountRule(window_seconds=1)
+    plain = rows(Al.amount_baselines(orders, rule).select("event_id", "baseline"))
+    assert rows(Al.amount_baselines(orders, rule, policy=SkewPolicy(1200, 5)).select("event_id", "baseline")) == plain
+    level, want = None, []
+    for i in range(6000):
+        amount = data[i][3]
+        if i >= 4:
+            level = sum(d[3] for d in data[: i + 1]) / (i + 1) if level is None else level
+            want.append((i, level))
+            level = rule.keep * level + rule.gain * amount
+    assert plain == sorted(want, key=repr)
+
+
+@pytest.mark.parametrize("keep", [0.0, 1.0, -0.5])
+def test_a_baseline_must_forget(keep):
+    with pytest.raises(ValueError):
+        Al.AmountRule(keep=keep)
+
+
 @pytest.mark.parametrize("policy", [PLAIN, CUT])
 def test_stock_equals_sequential_store(spark, policy):
     rnd = random.Random(11)
@@ -202,7 +224,7 @@ def test_global_ranks_with_ties_and_nulls(spark, width):
     rnd = random.Random(width)
     data = [(i, None if i % 17 == 0 else rnd.randrange(0, 12) / 4) for i in range(200)]
     df = spark.createDataFrame(data, "id bigint, v double")
-    policy = SkewPolicy(max_chunks=width)
+    policy = SkewPolicy(max_group_rows=4 * width, max_chunks=width)
     plain = Wn.W.orderBy(F.col("v").asc_nulls_first())
     want = rows(df.select("id", F.percent_rank().over(plain)))
     assert rows(global_percent_rank(df, "id", {"r": "v"}, policy).select("id", "r")) == want
