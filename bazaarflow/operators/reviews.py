@@ -296,36 +296,38 @@ def call_model(
     A failing batch is tried again with doubled waits; after the last try its answers are
     null, which later lands in the dead letters.
     """
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            replies: list[str | None] = [None] * len(pdf)
+    @F.pandas_udf("string")
+    def replies_to(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for prompts in batches:
+            replies: list[str | None] = [None] * len(prompts)
             for attempt in range(retries):
                 try:
-                    replies = list(answer(pdf[prompt].tolist()))
+                    replies = list(answer(prompts.tolist()))
                     break
                 except Exception:  # any failure of the outside model counts as one try
                     if attempt < retries - 1:
                         time.sleep(wait_seconds * 2**attempt)
-            yield pdf.assign(**{name: replies})
+            yield pd.Series(replies, dtype="object")
 
-    return df.mapInPandas(run, f"{fields}, `{name}` string")
+    # Only the prompt travels to Python; a call of a model is never repeated by the optimizer.
+    return df.withColumn(name, replies_to.asNondeterministic()(F.col(prompt)))
 
 
 def embed(
     df: DataFrame, text: str, model: Callable[[list[str]], list[list[float]]], name: str = "embedding"
 ) -> DataFrame:
     """Add the unit-length vector a user-given model makes of a text."""
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            if not len(pdf):
+    @F.pandas_udf("array<double>")
+    def unit_vectors(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            if not len(texts):
+                yield pd.Series([], dtype="object")
                 continue
-            vectors = np.asarray(model(pdf[text].tolist()), dtype="float64")
+            vectors = np.asarray(model(texts.tolist()), dtype="float64")
             norms = np.sqrt((vectors * vectors).sum(axis=1, keepdims=True))
             norms[norms == 0] = 1.0
-            yield pdf.assign(**{name: list(vectors / norms)})
+            yield pd.Series(list(vectors / norms), dtype="object")
 
-    return df.mapInPandas(run, f"{fields}, `{name}` array<double>")
+    return df.withColumn(name, unit_vectors.asNondeterministic()(F.col(text)))
