@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from bazaarflow import bindings as B
-from bazaarflow.operators import topk
+from bazaarflow.operators import reviews, topk
 from bazaarflow.operators.ordered import position
 from bazaarflow.plans.cohort_retention import cohort_retention
 from bazaarflow.plans.daily_revenue import daily_revenue
@@ -118,3 +118,15 @@ def test_results_do_not_depend_on_shuffle_width(spark, root, partitions):
 
 
 SUMS = {"m2_cohort_retention": {}, "w2_dense_rank": {}, "t3_allocate_stock": {}, "v2_semantic_search": {}}
+
+
+def test_model_hooks_move_only_their_text(spark):
+    df = spark.range(5).selectExpr("id", "concat('a', id) as p", "array(struct(id, 'x' as x)) as rest")
+    out = reviews.embed(reviews.call_model(df, "p", lambda ps: [p.upper() for p in ps]), "p", lambda ts: [[3.0, 4.0] for _ in ts])
+    found = plan(out)
+    assert "ArrowEvalPython" in found and "MapInPandas" not in found
+    rows = out.orderBy("id").collect()
+    assert [r.raw_response for r in rows] == [f"A{k}" for k in range(5)]
+    assert [r.embedding for r in rows] == [[0.6, 0.8]] * 5
+    assert [r.rest[0].id for r in rows] == list(range(5))
+    assert reviews.embed(df.filter("id < 0"), "p", lambda ts: [[1.0] for _ in ts]).count() == 0
