@@ -1,8 +1,10 @@
 """Licence scans by sentence rules.
 
-A text is cut into sentences, each is normalised, and known licence sentences become identifiers. A licence rule is an
-ordered list of identifiers; it matches where the identifiers of a text, in order and without the unknown sentences
-between them, hold that list in one piece. A rule inside a longer rule that also matches is not reported.
+A text is cut into pieces at line ends and after marks followed by a blank, and normalised. A run of neighbouring pieces that
+reads as a known licence sentence becomes its identifier, the longest run first, so wrapped lines, comment marks and the
+colons and semicolons inside a sentence do not matter; a blank line ends a run. A licence rule is an ordered list of
+identifiers; it matches where the identifiers of a text, in order and without the unknown sentences between them, hold that
+list in one piece. A rule inside a longer rule that also matches is not reported.
 
 Defined cases: null and empty texts have no sentences; repeated sentences repeat their identifier; extra columns are
 ignored.
@@ -83,29 +85,41 @@ RULES = [
 
 # Every known sentence holds one of these words.
 HINTS = "licen|copyright|warrant|redistrib|reserved|domain|mpl|permission|liab|cc0"
-BREAK = "([.!?;:])[\\x20\\x09-\\x0D]+"
+BLANK = "[\\x20\\x09\\x0B-\\x0D]"
+# What becomes what, in this order, on the way from a lower-case text to its pieces, one on a line.
+PIECES = [
+    (f"(?<!{BLANK}){BLANK}++\n", "\n"),
+    ("(^|\n)([^a-z0-9\n]*+[a-z0-9]{1,3}[.)])[\\x20\\x09]+", "$1$2\n"),  # list marks
+    (f"([.!?;:]){BLANK}++(?!\n)", "$1\n"),
+    ("https://", "http://"),
+    ("[^a-z0-9\n]+", " "),
+    (" ?\n ?", "\n"),
+]
 
 
 def known() -> dict[str, str]:
     return {s: i for i, group in SENTENCES.items() for s in group}
 
 
-def normalised(sentence: Column) -> Column:
-    lower = F.translate(sentence, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    return F.trim(F.regexp_replace(lower, "[^a-z0-9]+", " "))
+def pieces(text: Column) -> Column:
+    """The normalised pieces of a text, each between two newlines; a blank line is an empty piece."""
+    out = F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    out = F.concat(F.lit("\n"), out, F.lit("\n"))
+    for pattern, by in PIECES:
+        out = F.regexp_replace(out, pattern, by)
+    return out
 
 
 def sentence_ids(text: Column) -> Column:
     """Identifiers of the known sentences of a text, in order.
 
-    Lines that hold no hint are passed over before any cutting, as no known sentence is without one.
+    Texts that hold no hint are passed over before any cutting, as no known sentence is without one.
     """
     table = F.create_map(*[F.lit(x) for pair in known().items() for x in pair])
-    hinted = F.filter(F.split(F.coalesce(text, F.lit("")), "\n"), lambda x: F.lower(x).rlike(HINTS))
-    parts = F.split(F.regexp_replace(F.array_join(hinted, "\n"), BREAK, "$1\n"), "\n")
-    parts = F.filter(parts, lambda x: F.lower(x).rlike(HINTS))
-    ids = F.transform(parts, lambda x: F.element_at(table, normalised(x)))
-    return F.filter(ids, lambda x: x.isNotNull())
+    any_of = "|".join(s.replace(" ", "[ \n]") for s in sorted(known(), key=len, reverse=True))
+    found = F.regexp_extract_all(pieces(text), F.lit(f"(?<=\n)(?:{any_of})(?=\n)"), F.lit(0))
+    ids = F.transform(found, lambda x: F.element_at(table, F.translate(x, "\n", " ")))
+    return F.when(F.lower(text).rlike(HINTS), ids).otherwise(F.array().cast("array<string>"))
 
 
 def matched_rules(ids: Column) -> Column:

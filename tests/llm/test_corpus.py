@@ -565,6 +565,94 @@ def test_every_known_sentence_holds_a_hint():
     assert len(licences.known()) == sum(len(g) for g in licences.SENTENCES.values())
 
 
+CANONICAL = {
+    "mit-text": """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
+OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE
+SOFTWARE.""",
+    "apache-header": """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License.""",
+    "gpl3-notice": """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details.
+
+You should have received a copy of the GNU General Public License
+along with this program.  If not, see <https://www.gnu.org/licenses/>.""",
+    "bsd3-text": """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2) Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+
+(c) Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.""",
+    "mpl2-notice": """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at https://mozilla.org/MPL/2.0/.""",
+    "isc-text": """Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.""",
+    "mit-short": "SPDX-License-Identifier: MIT",
+    "apache-short": "SPDX-License-Identifier: Apache-2.0",
+    "gpl2-short": "SPDX-License-Identifier: GPL-2.0-only",
+}
+CANONICAL["gpl2-notice"] = CANONICAL["gpl3-notice"].replace("software:", "software;").replace("version 3", "version 2")
+
+
+def test_canonical_licences_in_any_wrapping(spark):
+    """Wrapped lines, the same in comments and with line ends of two characters, and all of a paragraph on one line."""
+    forms = [
+        lambda t: t,
+        lambda t: "import x\n\n/*\n" + "".join(f" * {x}".rstrip() + "\n" for x in t.split("\n")) + " */\nint x;",
+        lambda t: "# words before\r\n#\r\n" + t.replace("\n", "\r\n") + "\r\n",
+        lambda t: re.sub("(?<=[^\n])\n(?=[^\n]) *", " ", t),
+        lambda t: re.sub("(?<=\\S) +", " \t\n", t),
+    ]
+    cases = [(name, f(text)) for name, text in CANONICAL.items() for f in forms]
+    df = spark.createDataFrame([(k, t) for k, (_, t) in enumerate(cases)], "doc_id bigint, text string")
+    got = {r.doc_id: r.rules for r in licences.scanned(df).collect()}
+    assert {k: got[k] for k in got if got[k] != [cases[k][0]]} == {}
+
+
+def test_a_sentence_does_not_go_on_after_a_blank_line_or_inside_another(spark):
+    texts = ["Licensed under\n\nthe MIT License.", "It is not licensed under the MIT License.", "the\nMIT\nLicense x", " " * 200000 + ";" * 200000 + " licence"]
+    got = licences.scanned(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")).collect()
+    assert all(r.sentence_ids == [] for r in got)
+
+
 # Pipeline
 
 
