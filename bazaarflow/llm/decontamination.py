@@ -1,12 +1,14 @@
 """Benchmark decontamination: containment search for short items inside long documents.
 
-A document is cut into blocks of shingles; the minima of ``HASHES`` hash functions over blocks of 8 give, joined in pairs
-again and again, those of windows of 16, 32, 64 and so on. Items are partitioned by size, and a partition of items of up to
+Items of up to ``FINEST`` different shingles are looked up by each of them, so none is missed. For longer ones a document is
+cut into blocks of shingles; the minima of ``HASHES`` hash functions over blocks of 8 give, joined in pairs
+again and again, those of windows of 32, 64 and so on. These items are partitioned by size, and a partition of items of up to
 m shingles is looked up in windows of 2 m shingles laid every m, so an item that a document holds in one piece makes
 up at least a quarter of some window. A window with any minimum in common with an item of its partition makes the document
 and the item a candidate; a candidate counts if at least ``threshold`` of the item's different shingles are in the document.
 
-Items travel with the tasks in passes of ``PASS`` items, whatever their number; documents are never shuffled.
+Items travel with the tasks in passes of ``PASS`` items, whatever their number. What one pass finds is written before the next
+one is collected, so the driver holds one pass; documents are not shuffled, but for one join with their hits after several passes.
 
 Defined cases: a document or an item of fewer than five words has no shingles and is never part of a match; equal items
 are reported each under its own id; null and empty texts match nothing; extra columns are ignored.
@@ -22,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from .frames import texts
+from .frames import row_key, stored, texts
 from .shingles import U, mix, shingle_hashes
 
 HASHES = 48
@@ -73,18 +75,28 @@ class Index:
         self.ids: list[int] = []
         self.shingles: list[np.ndarray] = []
         parts: dict[int, Partition] = {}
+        short: list[int] = []
         for item, text in items:
             s = np.unique(shingle_hashes(text, short=False))
             if not len(s):
                 continue
-            size = FINEST
-            while size < len(s):
-                size *= 2
-            part = parts.setdefault(size, Partition(size))
-            part.items.append(len(self.ids))
-            part.minima.append(np.array([hashed(s, k).min() for k in range(HASHES)], dtype=np.uint32))
+            if len(s) <= FINEST:
+                short.append(len(self.ids))
+            else:
+                size = 2 * FINEST
+                while size < len(s):
+                    size *= 2
+                part = parts.setdefault(size, Partition(size))
+                part.items.append(len(self.ids))
+                part.minima.append(np.array([hashed(s, k).min() for k in range(HASHES)], dtype=np.uint32))
             self.ids.append(item)
             self.shingles.append(s)
+        # Shingles of short items in order, and the item of each.
+        probes = np.concatenate([np.empty(0, dtype=U), *[self.shingles[i] for i in short]])
+        order = np.argsort(probes, kind="stable")
+        self.probes, self.probed = probes[order], np.repeat(short, [len(self.shingles[i]) for i in short]).astype(np.int64)[order]
+        self.table = np.zeros(1 << 16, dtype=bool)
+        self.table[probes & U(0xFFFF)] = True
         self.parts = [parts[k] for k in sorted(parts)]
         for p in self.parts:
             p.finish()
@@ -93,7 +105,7 @@ class Index:
         """For each text the (item id, its shingles, those in the text) of the items it contains."""
         held: list[np.ndarray] = []
         for text in batch:
-            held.append(shingle_hashes(text, short=False) if self.parts else np.empty(0, dtype=U))
+            held.append(shingle_hashes(text, short=False) if self.ids else np.empty(0, dtype=U))
             if sum(map(len, held)) > MANY or len(held) >= 2000:
                 yield from self.search_shingles(held)
                 held = []
@@ -125,7 +137,13 @@ class Index:
         starts = np.repeat(np.cumsum(sizes) - sizes, blocks) + inside * FINEST
         s = np.concatenate(docs)
         found: dict[int, set[int]] = {}
-        for k in range(HASHES):
+        if len(self.probes):
+            at = np.flatnonzero(self.table[s & U(0xFFFF)])
+            left, right = (np.searchsorted(self.probes, s[at], side=side) for side in ("left", "right"))
+            at, left, right = (x[right > left] for x in (at, left, right))
+            for d, a, b in zip(np.searchsorted(np.cumsum(sizes), at, side="right"), left, right):
+                found.setdefault(int(d), set()).update(self.probed[a:b].tolist())
+        for k in range(HASHES if self.parts else 0):
             low, size = np.minimum.reduceat(hashed(s, k), starts), FINEST
             for p in self.parts:
                 while size < p.size:
@@ -146,14 +164,18 @@ def _next(even: np.ndarray, odd: np.ndarray) -> np.ndarray:
     return odd if len(odd) == len(even) else np.append(odd, even[-1])
 
 
-def indexes(items: DataFrame, id_col: str, text_col: str, threshold: float) -> Iterator[Index]:
-    """The items in passes of at most ``PASS``, so that what travels with the tasks has a bound."""
+def _passes(items: DataFrame, id_col: str, text_col: str, threshold: float) -> tuple[int, Iterator[Index]]:
+    """The number of passes and the items of one after the other, so that what travels with the tasks has a bound."""
     own = items.select(F.col(f"`{id_col}`").cast("bigint").alias("item"), F.col(f"`{text_col}`").cast("string").alias("text"))
     passes = max(1, -(-own.count() // PASS))
-    for p in range(passes):
-        # Half a pass on average, so that an uneven deal stays within the bound.
-        part = own if passes == 1 else own.filter(F.pmod(F.xxhash64("item", "text"), F.lit(2 * passes)).isin(2 * p, 2 * p + 1))
-        yield Index([(r["item"], r["text"]) for r in part.collect()], threshold)
+
+    def indexes() -> Iterator[Index]:
+        for p in range(passes):
+            # Half a pass on average, so that an uneven deal stays within the bound.
+            part = own if passes == 1 else own.filter(F.pmod(F.xxhash64("item", "text"), F.lit(2 * passes)).isin(2 * p, 2 * p + 1))
+            yield Index([(r["item"], r["text"]) for r in part.collect()], threshold)
+
+    return passes, indexes()
 
 
 def contained(
@@ -183,18 +205,27 @@ def contained(
 
         return rows.mapInArrow(run, schema)
 
-    found = reduce(DataFrame.unionByName, [one_pass(i) for i in indexes(items, item_col, item_text_col, threshold)])
+    passes, indexes = _passes(items, item_col, item_text_col, threshold)
+    found = one_pass(next(indexes)) if passes == 1 else reduce(DataFrame.unionByName, [stored(one_pass(i), "hits") for i in indexes])
     return found.withColumn("containment", F.col("n_common") / F.col("n_shingles"))
 
 
 def clean(docs: DataFrame, items: DataFrame, text_col: str = "text", item_col="item_id", item_text_col="text", threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` that hold no item, all columns as they are."""
-    out = docs
-    for index in indexes(items, item_col, item_text_col, threshold):
+    passes, indexes = _passes(items, item_col, item_text_col, threshold)
 
-        def run(batches: Iterator[pa.RecordBatch], index: Index = index) -> Iterator[pa.RecordBatch]:
+    def searched(rows: DataFrame, index: Index, hit: bool) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
-                yield b.filter(pa.array([not hits for hits in index.search(texts(b, text_col))], pa.bool_()))
-
-        out = out.mapInArrow(run, T.StructType(docs.schema.fields))
-    return out
+                yield b.filter(pa.array([bool(hits) == hit for hits in index.search(texts(b, text_col))], pa.bool_()))
+
+        return rows.mapInArrow(run, T.StructType(rows.schema.fields))
+
+    if passes == 1:
+        return searched(docs, next(indexes), hit=False)
+    # Whether a row goes depends on its text alone.
+    keys = ("_text_key_1", "_text_key_2")
+    keyed = docs.select("*", *row_key(text_col, text_col, keys))
+    hits = [stored(searched(keyed.select(*keys, f"`{text_col}`"), i, hit=True).select(*keys), "hits") for i in indexes]
+    gone = reduce(DataFrame.unionByName, hits).distinct()
+    return keyed.join(gone.hint("merge"), list(keys), "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

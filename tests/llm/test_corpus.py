@@ -318,6 +318,33 @@ def test_items_inside_long_documents(spark):
     assert decontamination.contained(df, bench.limit(0)).count() == 0
 
 
+def test_no_place_of_a_short_item_is_missed(spark):
+    """Items of one to eight shingles, each at thousands of places; windows of 16 shingles missed some of the shortest."""
+    rng = np.random.default_rng(4)
+    word = lambda: "".join(chr(97 + c) for c in rng.integers(0, 26, 5))
+    items = [(k, " ".join(word() for _ in range(n))) for k, n in enumerate([5, 6, 7, 12])]
+    rows = []
+    for j in range(8000):
+        lead = [word() for _ in range(int(rng.integers(10, 30)))]
+        rows.append((j, " ".join([*lead, items[j % 4][1], *[word() for _ in range(20)]])))
+    df, bench = spark.createDataFrame(rows, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string")
+    got = {(r.doc_id, r.item_id) for r in decontamination.contained(df, bench).collect()}
+    assert got == {(j, j % 4) for j in range(8000)}
+    assert decontamination.clean(df, bench).count() == 0
+
+
+def test_passes_are_written_one_by_one(spark, root, monkeypatch):
+    docs, bench = (spark.read.parquet(f"{root}/{t}.parquet") for t in ("documents", "benchmark"))
+    docs = docs.unionByName(docs.limit(20)).withColumn("k1", F.lit(1))
+    whole = sorted(r.doc_id for r in decontamination.clean(docs, bench).collect())
+    writes = []
+    monkeypatch.setattr(decontamination, "PASS", 15)
+    monkeypatch.setattr(decontamination, "stored", lambda df, label, put=decontamination.stored: writes.append(label) or put(df, label))
+    left = decontamination.clean(docs, bench)
+    assert left.schema == docs.schema and len(writes) == -(-bench.count() // 15) > 1
+    assert sorted(r.doc_id for r in left.collect()) == whole
+
+
 def test_passes_find_the_same(spark, root, monkeypatch):
     docs, bench = (spark.read.parquet(f"{root}/{t}.parquet") for t in ("documents", "benchmark"))
     whole = {(r.doc_id, r.item_id) for r in decontamination.contained(docs, bench).collect()}
