@@ -1,7 +1,7 @@
 """Substring dedup by sliding sentence spans.
 
-A text is cut at newlines and at the first blank after a full stop, question or exclamation mark; pieces with a word are its
-sentences. A span is a run of consecutive sentences: from each sentence the shortest run of at least
+A text is cut at newlines, at the first blank (also a no-break or wide one) after a full stop, question or exclamation mark, and
+at the full-width forms of these marks; pieces with a word are its sentences. A span is a run of consecutive sentences: from each sentence the shortest run of at least
 ``SENTENCES`` sentences and ``WORDS`` words, and to each sentence the shortest such run that ends there; a run of fewer
 sentences is a span if it has ``LONG`` words. Spans are hashed and joined over all documents. Of a span that repeats, the first
 place (smallest document id, then position) stays; sentences covered by any other place of it are removed.
@@ -22,20 +22,40 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .frames import keyed, stored, texts
-from .shingles import U, lower_bytes, mix, placed_words
+from .shingles import U, code_points, lower_bytes, mix, placed_words
 
 SENTENCES, WORDS, LONG = 3, 10, 40
 _BASE = U(0x9E3779B97F4A7C15)
 _INVERSE = U(pow(int(_BASE), -1, 1 << 64))
 
 
+# Marks that end a sentence without a blank, and blanks beyond ASCII.
+WIDE_MARKS = (0x3002, 0xFF01, 0xFF0E, 0xFF1F, 0xFF61)
+WIDE_BLANKS = (0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)
+
+
 def breaks(codes: np.ndarray) -> np.ndarray:
-    """Which characters (or bytes) end a piece: newlines, and blanks right after a mark that ends a sentence."""
+    """Which characters end a piece: newlines, full-width marks, and blanks right after a mark that ends a sentence."""
     out = codes == 10
     if len(codes) > 1:
         before, here = codes[:-1], codes[1:]
         marks = (before == 46) | (before == 33) | (before == 63)
         out[1:] |= marks & ((here == 32) | ((here >= 9) & (here <= 13)))
+    wide = np.flatnonzero(codes >= 0x80)
+    if len(wide):
+        out[wide] |= np.isin(codes[wide], WIDE_MARKS)
+        after = wide[wide > 0]
+        out[after] |= np.isin(codes[after], WIDE_BLANKS) & np.isin(codes[after - 1], (46, 33, 63))
+    return out
+
+
+def byte_breaks(raw: np.ndarray) -> np.ndarray:
+    """The same for the bytes of a text; a character stands at its first byte."""
+    if not len(raw) or raw.max() < 0x80:
+        return breaks(raw)
+    codes, lead = code_points(raw)
+    out = np.zeros(len(raw), dtype=bool)
+    out[lead] = breaks(codes)
     return out
 
 
@@ -46,7 +66,7 @@ def spans(text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     starts, words = placed_words(raw)
     if len(words) < WORDS:
         return none, none, none
-    piece, counts = np.unique(np.cumsum(breaks(raw))[starts], return_counts=True)
+    piece, counts = np.unique(np.cumsum(byte_breaks(raw))[starts], return_counts=True)
     n = len(piece)
     upto = np.concatenate([[0], np.cumsum(counts)])
     first = np.arange(n)
@@ -104,7 +124,7 @@ def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 def cut(text: str, runs: list[tuple[int, int]]) -> tuple[str, int, int, list[int]]:
     """The text without the pieces of the runs, the numbers of sentences and of removed ones, and the removed places."""
     raw = lower_bytes(text)
-    has_words = np.unique(np.cumsum(breaks(raw))[placed_words(raw)[0]]) if len(raw) else np.empty(0, dtype=np.int64)
+    has_words = np.unique(np.cumsum(byte_breaks(raw))[placed_words(raw)[0]]) if len(raw) else np.empty(0, dtype=np.int64)
     if not runs:
         return text, len(has_words), 0, []
     codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
