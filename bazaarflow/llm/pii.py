@@ -4,7 +4,7 @@ Everything is column expressions. A pattern cuts the text into what lies between
 their lengths, added up, give the places of all matches in one pass. Patterns start only where a run of their characters
 starts (or where the last match ended) and never give characters back, so they stay linear on texts of one long run.
 
-Kinds: email, ip, card (Luhn), phone, and iban (mod 97). Places count code points, the end is exclusive.
+Kinds: email, ip, card (Luhn), phone, and iban (length of its country, mod 97). Places count code points, the end is exclusive.
 Defined cases: a null text is empty; matches that fail their check are dropped and not tried again.
 """
 
@@ -12,13 +12,31 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+# The countries of account numbers by the length of the number.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST",
+    26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA",
+    30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+
+
+def iban_form() -> str:
+    """Account numbers of their country's length, all in upper or all in lower case; a blank or hyphen may stand between any two characters after the check digits."""
+    forms = []
+    for case, letters in ((str.upper, "A-Z"), (str.lower, "a-z")):
+        for length, countries in IBAN_LENGTHS.items():
+            forms.append(f"(?:{'|'.join(case(countries).split())})[0-9]{{2}}(?:[\\x20-]?[{letters}0-9]){{{length - 4}}}")
+    return f"(?<![A-Za-z0-9])(?=[A-Za-z]{{2}}[0-9]{{2}})(?:{'|'.join(forms)})(?![A-Za-z0-9])"
+
+
 # The proposed form of each kind, in the order of kinds, and what a text must hold to have one.
 KINDS = {
     "email": (r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++", "@"),
     "ip": (r"(?:\G|(?<![0-9]))[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++", "."),
     "card": (r"[0-9](?:[\x20-]?[0-9])++", None),
     "phone": (r"\+[0-9][\x20().0-9-]+[0-9]", "+"),
-    "iban": (r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}+(?![A-Za-z0-9])", None),
+    "iban": (iban_form(), None),
 }
 BASE = ("email", "ip", "card", "phone")
 
@@ -60,7 +78,7 @@ def confirmed(kind: str, match: Column) -> Column:
     if kind == "phone":
         return F.length(digits).between(9, 15)
     if kind == "iban":
-        return mod97(match)
+        return mod97(F.upper(F.regexp_replace(match, "[\\x20-]", "")))
     return F.lit(True)
 
 
