@@ -15,6 +15,7 @@ from . import (
     mixing,
     permutation_index,
     pii,
+    sharding,
     span_dedup,
     toxicity,
 )
@@ -89,6 +90,10 @@ def op10_licences(spark: SparkSession, root: str) -> DataFrame:
     return found.select("doc_id", *[F.array_join(c, ",").alias(c) for c in ("sentence_ids", "rules", "licences")])
 
 
+def op13_sharding(spark: SparkSession, root: str) -> DataFrame:
+    return sharding.placed(table(prepared(spark), root, "documents"), shards=24)
+
+
 QUERIES = {f.__name__: f for f in list(globals().values()) if getattr(f, "__name__", "").startswith("op")}
 
 SQL: dict[str, str] = {}
@@ -139,3 +144,41 @@ from documents d left join lines using (doc_id) left join named using (doc_id) l
 
 
 SQL["op10_licences"] = _licence_sql()
+
+
+# The checksum of bytes by its table of 256 remainders; {0} is a text.
+CRC_TABLE = """crc_table(t) as (
+  select list(v order by i) from (
+    select i, list_reduce(range(0, 8), lambda v, k: case when v % 2 = 1 then xor(v // 2, 3988292384) else v // 2 end, i) as v
+    from range(0, 256) r(i)) s)"""
+
+
+def _crc_sql(text: str) -> str:
+    size = f"octet_length(encode({text}))"
+    return f"""xor(list_reduce(list_transform(range(0, {size}), lambda i: ('0x' || substr(hex(encode({text})), 2 * i + 1, 2))::bigint),
+      lambda a, b: xor(a // 256, t[xor(a % 256, b) + 1]), 4294967295::bigint), 4294967295)"""
+
+
+def _sharding_sql(shards: int = 24, copies: int = sharding.COPIES) -> str:
+    draw = lambda text: f"('0x' || substr(md5({text}), 1, {sharding.DIGITS}))::bigint"
+    return f"""
+with {CRC_TABLE},
+sized as (
+  select doc_id, octet_length(encode(coalesce(text, ''))) + {sharding.ROW_BYTES} as size, {_crc_sql("coalesce(text, '')")} as text_crc32,
+    coalesce(length(doc_id::varchar) || ':' || doc_id, '-') as key
+  from documents, crc_table),
+draws as (
+  select doc_id, key, i, {draw("key || '@' || i")} as draw
+  from (select distinct doc_id, key from sized) k, range(0, {shards + 1}) r(i)),
+won as (
+  select key, arg_max(i, (draw, -i)) filter (i < {shards}) as shard, arg_max(i, (draw, -i)) as grown_shard from draws group by key),
+pieces as (
+  select *, (row_number() over (partition by key, size, text_crc32) - 1) // {copies} as piece from sized),
+placed as (select *, {draw("key || '/' || size || '/' || text_crc32 || '/' || piece")} as place from pieces join won using (key))
+select doc_id, size, text_crc32, '{sharding.LAW}' as law, shard::int as shard,
+  row_number() over (partition by shard order by place, doc_id nulls first, size, text_crc32, piece) - 1 as slot,
+  grown_shard::int as grown_shard
+from placed"""
+
+
+SQL["op13_sharding"] = _sharding_sql()
