@@ -15,11 +15,12 @@ from . import (
     mixing,
     permutation_index,
     pii,
+    radix_trie,
     sharding,
     span_dedup,
     toxicity,
 )
-from .frames import held_out, table
+from .frames import held_out, stored, table
 
 TOXIC_FROM = 0.3
 
@@ -90,6 +91,11 @@ def op10_licences(spark: SparkSession, root: str) -> DataFrame:
     return found.select("doc_id", *[F.array_join(c, ",").alias(c) for c in ("sentence_ids", "rules", "licences")])
 
 
+def op11_prefix_trie(spark: SparkSession, root: str) -> DataFrame:
+    turns = radix_trie.sequences(table(prepared(spark), root, "conversations"))
+    return radix_trie.prefix_trie(radix_trie.rebuilt(stored(turns, "conversations")))
+
+
 def op13_sharding(spark: SparkSession, root: str) -> DataFrame:
     return sharding.placed(table(prepared(spark), root, "documents"), shards=24)
 
@@ -182,3 +188,36 @@ from placed"""
 
 
 SQL["op13_sharding"] = _sharding_sql()
+
+SQL["op11_prefix_trie"] = f"""
+with {CRC_TABLE},
+turns as (
+  select conv_id, turn, coalesce(text, '') as text, md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) as id
+  from conversations where conv_id is not null),
+convs as (
+  select conv_id, list(id order by turn nulls first, id) as ids, list(octet_length(encode(text)) order by turn nulls first, id) as lens
+  from turns group by conv_id),
+cuts as (select *, conv_id - ((conv_id % 5) + 5) % 5 as donor, {_crc_sql("conv_id::varchar")} % 9 as h from convs, crc_table),
+rebuilt as (
+  select c.conv_id, list_concat(coalesce(d.ids[1:c.h], []), c.ids[c.h + 1:]) as ids, list_concat(coalesce(d.lens[1:c.h], []), c.lens[c.h + 1:]) as lens
+  from cuts c left join convs d on d.conv_id = c.donor),
+prefixes as (
+  select conv_id, depth, md5(array_to_string(ids[1:depth], ',')) as path, case when depth > 0 then lens[depth] else 0 end as bytes,
+    depth = len(ids) as ends
+  from (select *, unnest(range(0, len(ids) + 1)) as depth from rebuilt) r),
+nodes as (
+  select depth, path, min(conv_id) as conv_id, count(*) as n_convs, max(bytes) as bytes,
+    sha256(coalesce(string_agg(conv_id::varchar, ',' order by conv_id) filter (ends), '')) as ends_sha256
+  from prefixes group by depth, path),
+linked as (
+  select n.*, u.path as up_path, m.conv_id as parent_conv_id from nodes n
+  left join prefixes u on u.conv_id = n.conv_id and u.depth = n.depth - 1
+  left join nodes m on m.depth = u.depth and m.path = u.path),
+counted as (
+  select l.*, coalesce(k.n, 0) as n_children from linked l
+  left join (select depth, up_path, count(*) as n from linked group by depth, up_path) k on k.depth = l.depth + 1 and k.up_path = l.path),
+below as (
+  select p.depth, p.path, sum((v.n_convs - 1) * v.bytes) as saved_tokens, count(*) filter (v.n_children = 0) as n_leaves
+  from counted v join prefixes p on p.conv_id = v.conv_id and p.depth <= v.depth group by p.depth, p.path)
+select conv_id, depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens::bigint as saved_tokens, ends_sha256
+from counted join below using (depth, path)"""
