@@ -18,6 +18,7 @@ from . import (
     radix_trie,
     sharding,
     span_dedup,
+    structure,
     toxicity,
 )
 from .frames import held_out, stored, table
@@ -96,6 +97,11 @@ def op11_prefix_trie(spark: SparkSession, root: str) -> DataFrame:
     return radix_trie.prefix_trie(radix_trie.rebuilt(stored(turns, "conversations")))
 
 
+def op12_structure_repair(spark: SparkSession, root: str) -> DataFrame:
+    turns = structure.damaged(table(prepared(spark), root, "conversations"))
+    return structure.repair_report(turns, held=F.col("held"))
+
+
 def op13_sharding(spark: SparkSession, root: str) -> DataFrame:
     return sharding.placed(table(prepared(spark), root, "documents"), shards=24)
 
@@ -221,3 +227,77 @@ below as (
   from counted v join prefixes p on p.conv_id = v.conv_id and p.depth <= v.depth group by p.depth, p.path)
 select conv_id, depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens::bigint as saved_tokens, ends_sha256
 from counted join below using (depth, path)"""
+
+
+def _repair_sql() -> str:
+    """The same least edits by recursion over turns, with the whole list of edits at each place; then the edits carried out."""
+    insert, bad = structure.INSERT, "{c: 1000000000, w: ''}"
+    more = lambda s, cost, letters: f"{{c: {s}.c + {cost}, w: {s}.w || '{letters}'}}"
+    least = lambda *options: f"list_min([{', '.join(options)}])"
+    when = lambda test, option: f"case when {test} then {option} else {bad} end"
+    keep = lambda s: more(s, "late", "K")
+    rerole = lambda s: when("not must_go", more(s, f"late + {structure.REROLE}", "R"))
+    delete = lambda s: more(s, structure.DELETE, "D")
+    asks = ("p0", "p1", "b3")
+    blank = "[^\\x20\\x09-\\x0D]"
+    return f"""
+with recursive {CRC_TABLE},
+cases as (
+  select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
+    {_crc_sql("coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' ')")} % 20 as damage
+  from conversations, crc_table),
+damaged as (
+  select conv_id, turn, case damage when 4 then 'user' else role end as role,
+    case damage when 1 then '' when 2 then regexp_replace(text, '[.!?]', '', 'g') else text end as text,
+    unnest(case damage when 3 then [0, 1] else [0] end) as copy
+  from cases where damage <> 0),
+ordered as (
+  select *, row_number() over (partition by conv_id order by turn nulls first, role, text) as i from damaged),
+seen as (select *, row_number() over (partition by conv_id, role, text order by i) as again from ordered),
+marked as (
+  select *, left(role, 1) as initial, lag(left(role, 1)) over (partition by conv_id order by i) as before,
+    not regexp_matches(text, '{blank}') as blank,
+    regexp_matches(text, '{blank}') and again > 1 as duplicate,
+    regexp_matches(text, '{blank}') and again = 1 and not regexp_matches(text, '[.!?][\\x20\\x09-\\x0D]*$') as truncated
+  from seen),
+turns as (select *, blank or duplicate as must_go, case when truncated then {structure.TRUNCATED} else 0 end as late from marked),
+best(conv_id, i, p0, p1, p2, p3) as (
+  select distinct conv_id, 0::bigint, {{c: 0, w: ''}}, {bad}, {bad}, {bad} from conversations
+  union all
+  select b.conv_id, t.i,
+    {delete("p0")},
+    {least(when("not must_go and initial = 's'", keep("p0")), delete("p1"))},
+    {least(*[when("not must_go and initial = 'u'", keep(s)) for s in asks], *[rerole(s) for s in asks], delete("b2"))},
+    {least(when("not must_go and initial = 'a'", keep("b2")), rerole("b2"), delete("b3"))}
+  from (
+    select *, {least("p2", more("p0", insert, "I"), more("p1", insert, "I"), more("p3", insert, "I"))} as b2,
+      {least("p3", more("p2", insert, "I"), more("p0", 2 * insert, "II"), more("p1", 2 * insert, "II"))} as b3
+    from best) b
+  join turns t on t.conv_id is not distinct from b.conv_id and t.i = b.i + 1),
+lists as (
+  select conv_id, i as n, {least("p0", "p3", more("p2", insert, "I"), more("p1", 2 * insert, "II"))} as won
+  from (select *, row_number() over (partition by conv_id order by i desc) as back from best) b where back = 1),
+edits(conv_id, k, i, place, lines) as (
+  select conv_id, 0::bigint, 0::bigint, '', []::varchar[] from lists
+  union all
+  select e.conv_id, e.k + 1, e.i + (letter <> 'I')::int,
+    case letter when 'D' then place when 'K' then t.initial else asked end,
+    case letter when 'D' then lines when 'K' then list_append(lines, t.role || ':' || t.text)
+      else list_append(lines, (case asked when 'u' then 'user' else 'assistant' end) || ':' || case letter when 'R' then t.text else '' end) end
+  from (
+    select e.*, won.w[k + 1] as letter, case place when 'u' then 'a' else 'u' end as asked
+    from edits e join lists l on l.conv_id is not distinct from e.conv_id where k < length(won.w)) e
+  left join turns t on t.conv_id is not distinct from e.conv_id and t.i = e.i + 1 and letter <> 'I'),
+repaired as (
+  select e.conv_id, lines from edits e join lists l on l.conv_id is not distinct from e.conv_id where k = length(won.w)),
+counted as (
+  select conv_id, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps, count(*) filter (blank) as blank,
+    count(*) filter (duplicate) as duplicate, count(*) filter (truncated) as truncated,
+    count(*) filter (before is not null and before || initial not in ('su', 'ua', 'au')) as illegal
+  from turns group by conv_id)
+select l.conv_id, coalesce(gaps, 0) as gaps, coalesce(blank, 0) as blank, coalesce(duplicate, 0) as duplicate, coalesce(truncated, 0) as truncated,
+  coalesce(illegal, 0) as illegal, won.c::bigint as cost, won.w as audit, sha256(array_to_string(lines, chr(10))) as repaired_sha256
+from lists l left join counted c on c.conv_id is not distinct from l.conv_id join repaired r on r.conv_id is not distinct from l.conv_id"""
+
+
+SQL["op12_structure_repair"] = _repair_sql()
