@@ -10,22 +10,29 @@ with too many events is cut into chunks, whose starting states are found first.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import groupby
 
-import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from ..functions.numeric import floored_ratio, round_half_up
-from .ordered import CHUNK, DEFAULT, SkewPolicy, running_in_chunks, with_chunks
+from ..session import materialize
+from .ordered import CHUNK, DEFAULT, SkewPolicy, with_chunks
 
 ORDER = ["at_us", "event_id"]
+# Below every level that a sum of quantities can reach.
+LOWEST = -(1 << 62)
 
 
-def _after(action: str, qty: int, stock: int, reserved: int) -> tuple[int, int]:
+def quantity() -> Column:
+    """The quantity of an event. An update without a level sets 0, an order or sale without one is for 1."""
+    unsaid = F.when(F.col("action") == "update", 0).otherwise(1)
+    return F.coalesce(F.col("qty"), unsaid).cast("bigint")
+
+
+def after_event(action: str, qty: int, stock: int, reserved: int) -> tuple[int, int]:
     """Stock and reserved amount after one event."""
     if action == "order":
         free = stock - reserved
@@ -48,100 +55,137 @@ def _with_seed(events: DataFrame, seed: DataFrame) -> DataFrame:
     return events.unionByName(first, allowMissingColumns=True)
 
 
-def _levels(heavy: DataFrame) -> DataFrame:
-    """Stock level before and after each event of the cut products, without a sequential step.
-
-    Sales only lower the level down to zero, so after the last update it is that update
-    less everything sold since.
-    """
-    key = ["product_id"]
-    sold = F.when(F.col("action") == "sold", F.col("qty")).otherwise(F.lit(0))
-    summed = running_in_chunks(heavy, True, key, ORDER, sums={"_sold": sold})
-    update = F.when(F.col("action").isin("update", "seed"), F.struct(F.col("qty").alias("level"), "_sold"))
-    known = running_in_chunks(summed, True, key, ORDER, latest={"_last": update})
-    since = F.col("_sold") - F.coalesce(F.col("_last._sold"), F.lit(0))
-    level = F.coalesce(F.col("_last.level"), F.lit(0))
-    after = F.when(since > 0, F.greatest(F.lit(0), level - since)).otherwise(level)
-    levelled = known.withColumn("stock_after", after).drop("_sold", "_last")
-    before = running_in_chunks(levelled, True, key, ORDER, previous={"_prev": "stock_after"})
-    return before.withColumn("stock_before", F.coalesce("_prev", F.lit(0))).drop("_prev")
-
-
-def _transition(actions: list[str], qtys: list[int], stocks: list[int], states: np.ndarray) -> np.ndarray:
-    """Reserved amounts after a run of events, for many amounts before it at once."""
-    merge_every = 512
-    values, index = states, np.arange(len(states))
-    for i, (action, qty, stock) in enumerate(zip(actions, qtys, stocks)):
-        if action == "order":
-            free = stock - values
-            values = np.where((free > 0) & (free >= qty), values + qty, values)
-        elif action == "sold":
-            values = np.maximum(0, values - qty)
-        if i % merge_every == 0:
-            values, inverse = np.unique(values, return_inverse=True)
-            index = inverse[index]
-    return values[index]
-
+# ---- products that are cut -------------------------------------------------------------
+#
+# The level after a run of events is a function of the level before it, max(base, level + add) or a fixed number, whatever
+# the run; so chunks are reduced to two numbers in parallel and the levels follow along the chunks of a product.
+#
+# The reserved amount after a chunk is a step function of the amount before it: between two breakpoints it is the amount plus a shift,
+# or a fixed number where a sale empties it. A run of a chunk from one amount gives the whole piece around that amount, as
+# every decision tells how far the amount could move without changing it. Chunks run in parallel from supposed amounts; then
+# the pieces are followed from the first chunk on, and only chunks entered outside their known pieces run again. Starts
+# soon agree, as full stock and empty reserves forget the amount before, and each round settles one chunk at least.
 
-def _chunk_starts(heavy: DataFrame) -> DataFrame:
-    """Stock and reserved amount at the start of every chunk of the cut products.
 
-    Levels follow from running sums. The reserved amount depends on every decision before;
-    each chunk is reduced, in parallel, to a table from the amount before it to the amount
-    after it, and the tables of a product are applied one after the other. A reserved
-    amount never passes the highest stock level, which bounds the tables.
-    """
-    levelled = _levels(heavy)
-    top = levelled.groupBy(F.col("product_id").alias("_p")).agg(
-        F.greatest(F.max("stock_before"), F.max("stock_after"), F.max("_reserved0"), F.lit(0)).alias("_top")
-    )
-    inputs = ["action", "qty", "stock_before", "_reserved0", "_top"]
-    placed = (
-        levelled.select("product_id", CHUNK, *ORDER, "action", "qty", "stock_before", "_reserved0")
-        .fillna(0, ["_reserved0"])
-        .join(top, F.col("product_id").eqNullSafe(F.col("_p")))
-        .repartition("product_id", CHUNK)
-        .sortWithinPartitions("product_id", CHUNK, *ORDER)
-    )
-
-    key = heavy.schema["product_id"].dataType
-    schema = f"product_id {key.simpleString()}, {CHUNK} bigint, stock bigint, begin bigint, after array<bigint>"
+def _stream(rows: DataFrame, schema: str, run: Callable[[Iterator[tuple]], Iterator[tuple]], inputs: list[str]) -> DataFrame:
+    """``run`` over the tuples of a sorted partition, as they come."""
     arrow = to_arrow_schema(T.StructType.fromDDL(schema))
 
-    def tables(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        run, table, first = None, None, (0, 0)
+    def batches(given: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tuples = (row for b in given for row in zip(*[b.column(b.schema.get_field_index(c)).to_pylist() for c in inputs]))
+        out: list[tuple] = []
+        for row in run(tuples):
+            out.append(row)
+            if len(out) == 10_000:
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), arrow)], schema=arrow)
+                out = []
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), arrow)], schema=arrow)
+
+    return rows.mapInArrow(batches, schema)
+
+
+def _level_of_chunks(rows: Iterator[tuple]) -> Iterator[tuple]:
+    """(product, chunk, base, add, fixed) of each run of (product, chunk, action, qty)."""
+    for (product, chunk), events in groupby(rows, key=lambda r: r[:2]):
+        base, add, fixed = LOWEST, 0, False
+        for _, _, action, qty in events:
+            if action in ("update", "seed"):
+                base, add, fixed = qty, 0, True
+            elif action == "sold":
+                base, add = max(0, base - qty) if fixed or base > LOWEST else 0, add - qty
+        yield product, chunk, base, add, fixed
+
+
+def _level_at_starts(rows: Iterator[tuple]) -> Iterator[tuple]:
+    """(product, chunk, level at its start, whether it is the first) along the chunks of each product."""
+    for product, chunks in groupby(rows, key=lambda r: r[0]):
+        level, first = 0, True
+        for _, chunk, base, add, fixed in chunks:
+            yield product, chunk, level, first
+            level, first = base if fixed else max(base, level + add), False
+
+
+def _trial(rows: Iterator[tuple]) -> Iterator[tuple]:
+    """(product, chunk, low, high, flat, start, value): the piece around ``start`` of the chunk's step function.
+
+    Amounts from ``low`` to ``high`` end at ``value``, moved as far from it as the amount lies from ``start`` unless ``flat``.
+    """
+    for (product, chunk), events in groupby(rows, key=lambda r: r[:2]):
+        stock = reserved = start = None
+        down, up, flat = LOWEST, -LOWEST, False
+        for _, _, action, qty, seeded, level, supposed in events:
+            if start is None:
+                stock, reserved, start = level, supposed, supposed
+            if action == "seed":
+                stock, reserved, flat = qty, seeded, True
+                continue
+            if not flat and action == "order":
+                most = stock - max(qty, 1)  # the largest amount at which the order is approved
+                if reserved <= most:
+                    up = min(up, most - reserved)
+                else:
+                    down = max(down, most + 1 - reserved)
+            elif not flat and action == "sold":
+                if reserved > qty:
+                    down = max(down, qty - reserved)
+                else:
+                    up, flat = min(up, qty - reserved), True
+            stock, reserved = after_event(action, qty, stock, reserved)
+        yield product, chunk, max(LOWEST, start + down), min(-LOWEST, start + up), flat, start, reserved
+
+
+def _followed(rows: Iterator[tuple]) -> Iterator[tuple]:
+    """(product, chunk, level, amount, known) along the pieces of each product's chunks, sorted by chunk.
+
+    Behind a chunk that is entered outside its pieces the amounts are supposed ones.
+    """
+    for product, of_product in groupby(rows, key=lambda r: r[0]):
+        amount = 0
+        for chunk, pieces in groupby(of_product, key=lambda r: r[1]):
+            near, hit, level = None, None, 0
+            for _, _, level, low, high, flat, start, value in pieces:
+                if near is None or abs(start - amount) < abs(near[0] - amount):
+                    near = start, value
+                if low <= amount <= high:
+                    hit = value if flat else value + amount - start
+            yield product, chunk, level, amount, hit is not None
+            amount = near[1] if hit is None else hit
 
-        def done() -> pa.RecordBatch:
-            return pa.RecordBatch.from_pylist([dict(zip(arrow.names, (*run, *first, table.tolist())))], schema=arrow)
 
-        for batch in batches:
-            rows = zip(*[batch.column(c).to_pylist() for c in ("product_id", CHUNK, *inputs)])
-            for now, group in groupby(rows, key=lambda r: r[:2]):
-                part = list(group)
-                if now != run:
-                    if run is not None:
-                        yield done()
-                    run, first, table = now, (part[0][4], part[0][5]), np.arange(part[0][6] + 1)
-                table = _transition(*[[r[i] for r in part] for i in (2, 3, 4)], table)
-        if run is not None:
-            yield done()
-
-    reduced = placed.mapInArrow(tables, schema)
-
-    def chain(pdf: pd.DataFrame) -> pd.DataFrame:
-        ordered = pdf.sort_values(CHUNK)
-        state, starts = int(ordered["begin"].iloc[0]), []
-        for after in ordered["after"]:
-            starts.append(state)
-            state = int(after[state])
-        return ordered[["product_id", CHUNK, "stock"]].assign(reserved=starts)
-
-    # One row per chunk of the product, a bounded number.
-    starts = reduced.groupBy("product_id").applyInPandas(
-        chain, f"product_id {key.simpleString()}, {CHUNK} bigint, stock bigint, reserved bigint"
-    )
-    names = {"product_id": "_p", CHUNK: "_c", "stock": "_stock_c", "reserved": "_reserved_c"}
-    return starts.withColumnsRenamed(names)
+def _chunk_starts(heavy: DataFrame) -> DataFrame:
+    """Stock and reserved amount at the start of every chunk of the cut products."""
+    key = f"product_id {heavy.schema['product_id'].dataType.simpleString()}, {CHUNK} bigint"
+    here = F.col("product_id").eqNullSafe(F.col("_p")) & (F.col(CHUNK) == F.col("_c"))
+    slim = heavy.select("product_id", CHUNK, *ORDER, "action", "qty", F.coalesce("_reserved0", F.lit(0)).alias("_reserved0"))
+
+    def in_order(df: DataFrame) -> DataFrame:
+        return df.repartition("product_id", CHUNK).sortWithinPartitions("product_id", CHUNK, *ORDER)
+
+    def along(df: DataFrame) -> DataFrame:
+        return df.repartition("product_id").sortWithinPartitions("product_id", CHUNK)
+
+    maps = _stream(in_order(slim), f"{key}, base bigint, add bigint, fixed boolean", _level_of_chunks, ["product_id", CHUNK, "action", "qty"])
+    levels = _stream(along(maps), f"{key}, level bigint, first boolean", _level_at_starts, ["product_id", CHUNK, "base", "add", "fixed"])
+    levels = materialize(levels)
+    # The first chunk starts with nothing reserved; a full stock is as good as any other start for the rest.
+    wanted = levels.select("product_id", CHUNK, "level", F.when(F.col("first"), 0).otherwise(F.greatest(F.lit(0), F.col("level"))).cast("bigint").alias("amount"))
+    pieces = None
+    while True:
+        asked = wanted.select(F.col("product_id").alias("_p"), F.col(CHUNK).alias("_c"), "level", "amount")
+        rows = in_order(slim.join(asked, here).drop("_p", "_c"))
+        inputs = ["product_id", CHUNK, "action", "qty", "_reserved0", "level", "amount"]
+        found = _stream(rows, f"{key}, low bigint, high bigint, flat boolean, start bigint, value bigint", _trial, inputs)
+        at = levels.select(F.col("product_id").alias("_p"), F.col(CHUNK).alias("_c"), "level")
+        found = found.join(at, here).drop("_p", "_c")
+        pieces = materialize(found if pieces is None else pieces.unionByName(found))
+        inputs = ["product_id", CHUNK, "level", "low", "high", "flat", "start", "value"]
+        starts = _stream(along(pieces), f"{key}, level bigint, amount bigint, known boolean", _followed, inputs)
+        starts = materialize(starts)
+        wanted = starts.filter("not known")
+        if wanted.isEmpty():
+            names = {"product_id": "_p", CHUNK: "_c", "level": "_stock_c", "amount": "_reserved_c"}
+            return starts.drop("known").withColumnsRenamed(names)
 
 
 def stock_decisions(events: DataFrame, seed: DataFrame, policy: SkewPolicy = DEFAULT) -> DataFrame:
@@ -150,9 +194,7 @@ def stock_decisions(events: DataFrame, seed: DataFrame, policy: SkewPolicy = DEF
     ``seed``: product_id, initial_stock and, to continue an earlier run, initial_reserved.
     Products without a seed start at zero.
     """
-    # An update without a level sets 0, an order or sale without a quantity is for 1.
-    unsaid = F.when(F.col("action") == "update", 0).otherwise(1)
-    whole = events.withColumn("qty", F.coalesce(F.col("qty"), unsaid).cast("bigint"))
+    whole = events.withColumn("qty", quantity())
     rows, cut = with_chunks(_with_seed(whole, seed), ["product_id"], ORDER, policy)
     rows = rows.withColumns({"_stock_c": F.lit(0).cast("bigint"), "_reserved_c": F.lit(0).cast("bigint")})
     if cut:
@@ -174,14 +216,18 @@ def stock_decisions(events: DataFrame, seed: DataFrame, policy: SkewPolicy = DEF
             for product, chunk, action, qty, seeded, *start in zip(*[batch.column(c).to_pylist() for c in columns]):
                 if (product, chunk) != run:
                     run, (stock, reserved) = (product, chunk), start
-                after = (qty, seeded) if action == "seed" else _after(action, qty, stock, reserved)
+                after = (qty, seeded) if action == "seed" else after_event(action, qty, stock, reserved)
                 for out, value in zip(trail, (stock, reserved, *after)):
                     out.append(value)
                 stock, reserved = after
             arrays = [batch.column(n) for n in names] + [pa.array(out, pa.int64()) for out in trail]
             yield pa.RecordBatch.from_arrays(arrays, names=[*names, *states])
 
-    folded = placed.mapInArrow(fold, schema).filter(~F.col("action").eqNullSafe("seed"))
+    return judged(placed.mapInArrow(fold, schema).filter(~F.col("action").eqNullSafe("seed")))
+
+
+def judged(folded: DataFrame) -> DataFrame:
+    """Events with their states, and what that means for an order: available and reason."""
     free = F.greatest(F.lit(0), F.col("stock_before") - F.col("reserved_before"))
     reason = (
         F.when(F.col("action") != "order", F.lit(None))

@@ -10,6 +10,9 @@ from ..schemas import EVENTS
 
 BROKEN = "_broken"
 
+# An event of this time ends a stream and is no event itself.
+END_TIME = "2200-01-01"
+
 # Event times keep their microseconds on the way through JSON.
 TIME_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 
@@ -83,6 +86,11 @@ def write_events(df: DataFrame, sink: Topics | JsonFiles, key: str | None = None
         to_messages(df).write.mode("append").text(sink.path)
 
 
+def end_stream(spark: SparkSession, sink: Topics | JsonFiles, ts: str = "ts") -> None:
+    """Publish one event that only ends a stream: its time moves every watermark past all other events."""
+    write_events(spark.sql(f"select to_timestamp('{END_TIME}') as {ts}"), sink)
+
+
 def order_lines(orders: DataFrame) -> DataFrame:
     """One printable line per order, for a console sink."""
     line = F.format_string(

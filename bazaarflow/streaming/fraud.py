@@ -1,30 +1,66 @@
-"""Fraud rules over a stream of orders."""
+"""Fraud rules over a stream of orders, on Spark's keyed state."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from functools import partial
+
+import numpy as np
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.dates import seconds_to_micros
-from ..operators.alerts import (
-    AMOUNT_RULE,
-    VELOCITY_RULES,
-    AmountRule,
-    VelocityRule,
-    alerts_of_baselines,
-    alerts_of_counts,
-    baselines_of_counted,
-    timed,
-)
-from ..operators.ordered import DEFAULT, SkewPolicy
-from ..operators.windows import trailing_window
-from .ordered import cut_slice, keep_slice
-from .runner import BatchTables, read_output, write_output
-
-ORDER = "seller_id bigint, event_id bigint, at_us bigint, amount_inr decimal(18,2)"
+from ..operators.alerts import AMOUNT_RULE, VELOCITY_RULES, AmountRule, VelocityRule, alerts_of_baselines, alerts_of_counts
+from .keyed import Columns, Fold, in_event_order, known, unknown, watermarked
+from .runner import read_output, run_bounded, write_output
+
+
+def _counts(carry: Columns | None, rows: Columns, widths: dict[str, int], sums: bool) -> tuple[Columns, Columns]:
+    """Trailing counts, and sums if asked for, of every row; the carry is what later windows still see."""
+    if carry is not None:
+        joined = {n: np.concatenate([carry[n], rows[n]]) for n in ("at_us", "cents")}
+    else:
+        joined = {n: rows[n] for n in ("at_us", "cents")}
+    at, first = joined["at_us"], len(joined["at_us"]) - len(rows["at_us"])
+    if sums:  # whole numbers of any size, so that sums are exact
+        total = np.concatenate([[0], np.cumsum(joined["cents"].astype(object))])
+    place = np.arange(first, len(at))
+    made = {}
+    for name, width in widths.items():
+        low = np.searchsorted(at, at[place] - width, "left")
+        made[f"n_{name}"] = place + 1 - low
+        if sums:
+            made[f"sum_{name}"] = total[place + 1] - total[low]
+    recent = at >= at[-1] - max(widths.values())
+    return {n: v[recent] for n, v in joined.items()}, made
+
+
+def _velocity(key: tuple, carry: Columns | None, rows: Columns, widths: dict[str, int]) -> tuple[Columns, Columns]:
+    carry, made = _counts(carry, rows, widths, False)
+    own = rows["slice"] == key[1]
+    return carry, {n: rows[n][own] for n in ("event_id", "at_us", "slice")} | {n: v[own] for n, v in made.items()}
+
+
+def _amounts(key: tuple, carry: tuple | None, rows: Columns, rule: AmountRule) -> tuple[tuple, Columns]:
+    """Baselines before each order that has enough recent ones; the carry is the window and the baseline."""
+    window, level = carry if carry is not None else (None, None)
+    window, made = _counts(window, rows, {"recent": seconds_to_micros(rule.window_seconds)}, True)
+    judged = made["n_recent"] >= rule.min_orders
+    out, picked = [], {n: rows[n][judged] for n in ("event_id", "at_us")}
+    amounts = [int(c) / 100 for c in rows["cents"][judged]]
+    for x, total, n in zip(amounts, made["sum_recent"][judged], made["n_recent"][judged]):
+        if level is None:
+            level = int(total) / 100 / int(n)
+        out.append(level)
+        level = rule.keep * level + rule.gain * x
+    return (window, level), picked | {"amount": np.array(amounts), "baseline": np.array(out)}
 
 
 class FraudStream:
-    """Velocity and amount alerts; the same rules and results as the batch operators."""
+    """Velocity and amount alerts; the same rules and results as the batch operators.
+
+    The velocity rules are keyed by seller and time slice. An order goes to its own slice and, if a window reaches that far, to
+    the next one; so a busy seller spreads over tasks, and a slice's state ends with the slice. A moving baseline depends on all
+    orders of a seller: the amount rule is keyed by seller, and its state holds one window and one number.
+    """
 
     def __init__(
         self,
@@ -33,62 +69,61 @@ class FraudStream:
         delay_seconds: float = 60,
         rules: tuple[VelocityRule, ...] = VELOCITY_RULES,
         amount_rule: AmountRule = AMOUNT_RULE,
-        policy: SkewPolicy = DEFAULT,
+        slice_seconds: float | None = None,
     ):
-        self.spark, self.root, self.policy = spark, root.rstrip("/"), policy
-        self.delay_us = seconds_to_micros(delay_seconds)
+        self.spark, self.root, self.delay = spark, root.rstrip("/"), delay_seconds
         self.rules, self.amount_rule = rules, amount_rule
-        counts = [f"n_{r.name} bigint, sum_{r.name} decimal(38,2)" for r in rules]
-        schemas = {
-            "waiting": ORDER,
-            "mark": "mark bigint",
-            "recent": ORDER,
-            "counts": ", ".join([ORDER, *counts, "n_recent bigint, sum_recent decimal(38,2)"]),
-            "baselines": "seller_id bigint, baseline double",
-        }
-        self.tables = BatchTables(spark, f"{self.root}/state", schemas)
-        self.next_batch = 0
-
-    def handle(self, batch: DataFrame, batch_id: int, final: bool = False) -> None:
-        orders = timed(batch.filter("event_type = 'order_placed'")).persist()
-        try:
-            self._step(orders, batch_id, final)
-        finally:
-            orders.unpersist()
-        self.next_batch = batch_id + 1
-
-    def finish(self) -> None:
-        """Process what still waits for the watermark."""
-        empty = "event_type string, seller_id bigint, event_id bigint, ts timestamp, amount_inr decimal(18,2)"
-        self.handle(self.spark.createDataFrame([], empty), self.next_batch, final=True)
-
-    def _step(self, orders: DataFrame, batch_id: int, final: bool) -> None:
-        state = self.tables.read(batch_id)
-        part = cut_slice(state, orders, self.delay_us, final)
-        write_output(part.late, f"{self.root}/late", batch_id)
-        keep_slice(self.tables, batch_id, part)
-        widths = {r.name: seconds_to_micros(r.window_seconds) for r in self.rules}
-        widths["recent"] = seconds_to_micros(self.amount_rule.window_seconds)
-        context = state["recent"].unionByName(part.ready)
-        still_seen = F.col("at_us") > part.mark - max(widths.values()) - 1
-        self.tables.write(batch_id, "recent", context.filter(still_seen))
-        counted = trailing_window(context, ["seller_id"], "at_us", "event_id", widths, "amount_inr", self.policy)
-        # Counted once; both rules read it from there.
-        counts = self.tables.write(batch_id, "counts", counted.filter(F.col("at_us") > part.last_mark))
-        write_output(alerts_of_counts(counts, self.rules), f"{self.root}/velocity", batch_id)
-        baselines = baselines_of_counted(counts, self.amount_rule, state["baselines"], self.policy)
-        judged = write_output(baselines, f"{self.root}/baselines", batch_id)
-        write_output(alerts_of_baselines(judged, self.amount_rule), f"{self.root}/amounts", batch_id)
-        newest = judged.groupBy("seller_id").agg(F.max_by("baseline_after", F.struct("at_us", "event_id")).alias("baseline"))
-        old = state["baselines"].join(newest, "seller_id", "left_anti")
-        self.tables.write(batch_id, "baselines", old.unionByName(newest))
-        self.tables.forget(batch_id)
+        self.widths = {r.name: seconds_to_micros(r.window_seconds) for r in rules}
+        widest = max(self.widths.values())
+        self.slice_us = 8 * widest if slice_seconds is None else seconds_to_micros(slice_seconds)
+        if self.slice_us < widest:
+            raise ValueError("a slice must be as long as the longest window")
+
+    def _orders(self, events: DataFrame) -> DataFrame:
+        cents = (F.coalesce(F.col("amount_inr"), F.lit(0)).cast("decimal(18,2)") * 100).cast("bigint")
+        slim = events.select("seller_id", known(F.col("event_id")).alias("event_id"), "ts", cents.alias("cents"), "event_type")
+        return watermarked(slim, "ts", self.delay, F.col("event_type") == "order_placed")
+
+    def run_velocity(self, events: DataFrame, timeout: int | None = None) -> DataFrame:
+        """Count all orders there are, then stop; goes on from the run before."""
+        slice_ = F.floor(F.col("at_us") / self.slice_us)
+        reaches = F.floor((F.col("at_us") + max(self.widths.values())) / self.slice_us)
+        # Orders without a time have no slice; they are late at once, in many groups.
+        slices = F.when(unknown(F.col("at_us")).isNull(), F.array(-1 - F.pmod("event_id", F.lit(64)))).otherwise(F.sequence(slice_, reaches))
+        copies = self._orders(events).select("ts", "seller_id", "event_id", "at_us", "cents", slice_.alias("slice"), F.explode(slices).alias("part"))
+        names = ", ".join(f"n_{r.name} bigint" for r in self.rules)
+        slice_us = self.slice_us
+        fold = Fold(partial(_velocity, widths=self.widths), lambda key: (key[1] + 1) * slice_us)
+        out = f"event_id bigint, at_us bigint, {names}, slice bigint"
+        found = in_event_order(copies, "ts", ["seller_id", "part"], ["event_id", "at_us", "cents", "slice"], fold, f"seller_id bigint, part bigint, {out}")
+        return run_bounded(found, self._keep("counts"), f"{self.root}/velocity-checkpoint", timeout=timeout)
+
+    def run_amounts(self, events: DataFrame, timeout: int | None = None) -> DataFrame:
+        fold = Fold(partial(_amounts, rule=self.amount_rule))
+        out = "seller_id bigint, event_id bigint, at_us bigint, amount double, baseline double"
+        found = in_event_order(self._orders(events), "ts", ["seller_id"], ["event_id", "at_us", "cents"], fold, out)
+        return run_bounded(found, self._keep("baselines"), f"{self.root}/amounts-checkpoint", timeout=timeout)
+
+    def _keep(self, name: str):
+        def handle(batch: DataFrame, batch_id: int) -> None:
+            write_output(batch, f"{self.root}/{name}", batch_id)
+
+        return handle
+
+    def _read(self, name: str, late: Column) -> DataFrame:
+        return read_output(self.spark, f"{self.root}/{name}").filter(late)
 
     def velocity(self) -> DataFrame:
-        return read_output(self.spark, f"{self.root}/velocity")
+        return alerts_of_counts(self._read("counts", ~F.col("late")), self.rules)
 
     def amounts(self) -> DataFrame:
-        return read_output(self.spark, f"{self.root}/amounts")
+        after = F.lit(self.amount_rule.keep) * F.col("baseline") + F.lit(self.amount_rule.gain) * F.col("amount")
+        return alerts_of_baselines(self._read("baselines", ~F.col("late")).withColumn("baseline_after", after), self.amount_rule)
 
-    def late(self) -> DataFrame:
-        return read_output(self.spark, f"{self.root}/late")
+    def late(self, name: str = "counts") -> DataFrame:
+        """Late orders and those without a time."""
+        rows = self._read(name, F.col("late"))
+        if name == "counts":
+            # Of the copies of an order its own slice's.
+            rows = rows.filter((F.col("part") == F.col("slice")) | unknown(F.col("at_us")).isNull())
+        return rows.select("seller_id", unknown(F.col("event_id")).alias("event_id"), unknown(F.col("at_us")).alias("at_us"))

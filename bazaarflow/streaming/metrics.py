@@ -2,48 +2,58 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..plans.dashboard import add_recent, all_time_counters, snapshot, with_defaults
-from .runner import BatchTables
+from ..plans.dashboard import DIMENSIONS, add_recent, snapshot, with_defaults
+from .runner import LatestRows, run_bounded
 
 MONEY = "decimal(28,2)"
+BUCKET_SECONDS = 300
 
 
 class LiveMetrics:
     """Running counters per dimension value, and the orders of the last five minutes.
 
-    A batch adds its own counters to those before, so its cost follows the batch and the
-    number of distinct sellers, not the history.
+    The counters are a streaming aggregation in update mode: Spark's state holds them, and a micro-batch gives out the
+    values that it changed. Recent orders go to files by five-minute bucket, of which a snapshot reads the last two.
     """
 
     def __init__(self, spark: SparkSession, root: str):
-        schemas = {
-            "counters": f"dimension string, name string, orders bigint, revenue {MONEY}",
-            "recent": "ts timestamp, amount_inr decimal(18,2)",
-        }
-        self.spark = spark
-        self.tables = BatchTables(spark, root, schemas)
-        self.last_batch = -1
-
-    def handle(self, batch: DataFrame, batch_id: int) -> None:
-        orders = with_defaults(batch.filter("event_type = 'order_placed'")).persist()
-        try:
-            state = self.tables.read(batch_id)
-            added = all_time_counters(orders).withColumn("revenue", F.col("revenue").cast(MONEY))
-            merged = state["counters"].unionByName(added).groupBy("dimension", "name")
-            summed = merged.agg(F.sum("orders").alias("orders"), F.sum("revenue").cast(MONEY).alias("revenue"))
-            self.tables.write(batch_id, "counters", summed)
-            tail = state["recent"].unionByName(orders.select("ts", "amount_inr"))
-            newest = tail.agg(F.max("ts").alias("t")).scalar()
-            kept = tail.filter(F.col("ts") >= newest - F.make_dt_interval(mins=F.lit(5)))
-            self.tables.write(batch_id, "recent", kept)
-            self.tables.forget(batch_id)
-        finally:
-            orders.unpersist()
-        self.last_batch = batch_id
+        self.spark, self.root = spark, root.rstrip("/")
+        schema = f"dimension string, name string, orders bigint, revenue {MONEY}"
+        self.counters = LatestRows(spark, f"{self.root}/counters", ["dimension", "name"], schema)
+
+    @staticmethod
+    def _values() -> Column:
+        """Every dimension value an order counts under, and the total."""
+        of = lambda d, name: F.struct(F.lit(d).alias("dimension"), name.alias("name"))
+        return F.explode(F.array(of("all", F.lit("*")), *[of(d, F.col(d)) for d in DIMENSIONS]))
+
+    def run(self, events: DataFrame, timeout: int | None = None) -> DataFrame:
+        """Count all orders there are, then stop; goes on from the run before. Returns the progress of the counters."""
+        orders = with_defaults(events.filter("event_type = 'order_placed'"))
+        spread = orders.select(self._values().alias("v"), "amount_inr").select("v.*", "amount_inr")
+        counted = spread.groupBy("dimension", "name").agg(F.count("*").alias("orders"), F.sum("amount_inr").cast(MONEY).alias("revenue"))
+        progress = run_bounded(counted, self.counters.write, f"{self.root}/counters-checkpoint", "update", timeout)
+        run_bounded(orders.select("ts", "amount_inr"), self._keep_recent, f"{self.root}/recent-checkpoint", timeout=timeout)
+        return progress
+
+    def _keep_recent(self, batch: DataFrame, batch_id: int) -> None:
+        """This batch's orders by bucket; a repeated batch replaces its own files."""
+        bucket = F.floor(F.unix_seconds(F.col("ts").cast("timestamp")) / BUCKET_SECONDS)
+        rows = batch.filter("ts is not null").withColumns({"bucket": bucket, "batch": F.lit(batch_id)})
+        # Only the last bucket of a batch and the one before it can still be recent.
+        newest = rows.agg(F.max("bucket").alias("b")).scalar()
+        rows = rows.filter(F.col("bucket") >= newest - 1)
+        path = f"{self.root}/recent"
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket", "batch").parquet(path)
+
+    def _recent(self) -> DataFrame:
+        schema = "ts timestamp, amount_inr decimal(18,2), bucket bigint, batch bigint"
+        rows = self.spark.read.schema(schema).parquet(f"{self.root}/recent")
+        newest = rows.select("bucket").agg(F.max("bucket")).first()[0]
+        return rows.filter(F.col("bucket") >= (newest or 0) - 1).select("ts", "amount_inr")
 
     def dashboard(self) -> DataFrame:
         """Snapshot as of the newest order seen."""
-        now = self.tables.read(self.last_batch + 1)
-        return snapshot(add_recent(now["counters"], now["recent"]))
+        return snapshot(add_recent(self.counters.read(), self._recent()))

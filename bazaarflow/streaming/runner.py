@@ -74,36 +74,51 @@ def drop_repeats(stream: DataFrame, keys: list[str], ts: str, delay: str) -> Dat
     return stream.withWatermark(ts, delay).dropDuplicatesWithinWatermark(keys)
 
 
-class BatchTables:
-    """Named tables, one version per micro-batch, in the shared folder.
+class LatestRows:
+    """A keyed sink for update mode: every micro-batch adds the rows that it changed, a reader sees the newest of each key.
 
-    Batch n reads version n-1 and writes version n, so a repeated batch starts from the
-    same state and replaces its own version. Versions before n-1 are removed.
+    A batch is written once under its number, so its cost follows its own rows and a repeated batch replaces itself. Every
+    ``merge_every`` batches the newest rows are merged into one table, which bounds what a reader has to look through.
     """
 
-    def __init__(self, spark: SparkSession, root: str, schemas: dict[str, str]):
-        self.spark, self.root, self.schemas = spark, root.rstrip("/"), schemas
-
-    def path(self, name: str, batch_id: int) -> str:
-        return f"{self.root}/version={batch_id}/{name}"
-
-    def read(self, batch_id: int, first: dict[str, DataFrame] | None = None) -> dict[str, DataFrame]:
-        """Tables as the batch before left them; ``first`` gives those of the first batch."""
-        if batch_id > 0:
-            return {n: self.spark.read.schema(s).parquet(self.path(n, batch_id - 1)) for n, s in self.schemas.items()}
-        first = first or {}
-        return {n: first.get(n, self.spark.createDataFrame([], s)) for n, s in self.schemas.items()}
-
-    def write(self, batch_id: int, name: str, df: DataFrame) -> DataFrame:
-        path, schema = self.path(name, batch_id), T.StructType.fromDDL(self.schemas[name])
-        df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields]).write.mode("overwrite").parquet(path)
-        return self.spark.read.schema(schema).parquet(path)
-
-    def forget(self, batch_id: int) -> None:
-        """Remove the version two batches back; the one before may still be needed for a repeat."""
-        context = self.spark.sparkContext
-        old = context._jvm.org.apache.hadoop.fs.Path(f"{self.root}/version={batch_id - 2}")
-        old.getFileSystem(context._jsc.hadoopConfiguration()).delete(old, True)
+    def __init__(self, spark: SparkSession, root: str, keys: list[str], schema: str, merge_every: int = 100):
+        self.spark, self.root, self.keys, self.merge_every = spark, root.rstrip("/"), keys, merge_every
+        self.schema = T.StructType.fromDDL(schema)
+
+    def _batch(self, batch_id: int) -> str:
+        return f"{self.root}/part={batch_id // self.merge_every}/batch={batch_id}"
+
+    def write(self, batch: DataFrame, batch_id: int) -> None:
+        if batch_id and batch_id % self.merge_every == 0:
+            # What the parts before hold, as of their last batch; the same however often this batch is repeated.
+            part = batch_id // self.merge_every
+            self._newest(part - 1).write.mode("overwrite").parquet(f"{self.root}/merged={part}")
+        batch.select(*[F.col(f.name).cast(f.dataType) for f in self.schema]).write.mode("overwrite").parquet(self._batch(batch_id))
+
+    def _newest(self, part: int) -> DataFrame:
+        """Newest rows of a part and of the merged table before it."""
+        full = T.StructType([*self.schema.fields, T.StructField("batch", T.LongType())])
+        rows = self.spark.read.schema(full).option("basePath", f"{self.root}/part={part}").parquet(f"{self.root}/part={part}")
+        if part:
+            before = self.spark.read.schema(self.schema).parquet(f"{self.root}/merged={part}")
+            rows = rows.unionByName(before.withColumn("batch", F.lit(-1).cast("bigint")))
+        values = [f.name for f in self.schema if f.name not in self.keys]
+        newest = rows.groupBy(*self.keys).agg(F.max_by(F.struct(*values), "batch").alias("v"))
+        return newest.select(*[F.col(k) if k in self.keys else F.col(f"v.{k}") for k in self.schema.names])
+
+    def read(self) -> DataFrame:
+        parts = [name for name in _folders(self.spark, self.root) if name.startswith("part=")]
+        if not parts:
+            return self.spark.createDataFrame([], self.schema)
+        return self._newest(max(int(p.split("=")[1]) for p in parts))
+
+
+def _folders(spark: SparkSession, path: str) -> list[str]:
+    """Names below a folder of the shared store."""
+    context = spark.sparkContext
+    place = context._jvm.org.apache.hadoop.fs.Path(path)
+    store = place.getFileSystem(context._jsc.hadoopConfiguration())
+    return [s.getPath().getName() for s in store.listStatus(place)] if store.exists(place) else []
 
 
 def write_output(df: DataFrame, root: str, batch_id: int) -> DataFrame:

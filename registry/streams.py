@@ -16,8 +16,9 @@ from bazaarflow.session import scratch_path
 from bazaarflow.sources import events as Ev, lake as Lk, warehouse as Wh
 from bazaarflow.streaming.fraud import FraudStream
 from bazaarflow.streaming.inventory import InventoryStream
+from bazaarflow.streaming.keyed import late_rows
 from bazaarflow.streaming.metrics import LiveMetrics
-from bazaarflow.streaming.runner import drop_repeats, read_output, run_bounded, run_to_files
+from bazaarflow.streaming.runner import drop_repeats, read_output, run_bounded, run_to_files, write_output
 
 from .base import SQL, big, day, dbl, query, stamp, using
 from .events import AMOUNT, AS_OF, RULES, dashboard_sql, flat
@@ -31,14 +32,15 @@ CUTS = ("2024-01-11", "2024-01-21")
 def replay(spark, df, run, ts="ts"):
     """Publish events as JSON lines, ten days at a time, with one bounded run after each part.
 
-    ``run`` gets the folder; every run goes on from the checkpoint of the one before.
+    ``run`` gets the folder; every run goes on from the checkpoint of the one before. Events without a time come last.
     """
     path, results = scratch_path(spark, "topic"), []
     edges = [None, *CUTS, None]
     for low, high in zip(edges, edges[1:]):
         part = df
         if low:
-            part = part.filter(F.col(ts) >= F.to_timestamp(F.lit(low)))
+            after = F.col(ts) >= F.to_timestamp(F.lit(low))
+            part = part.filter(after if high else after | F.col(ts).isNull())
         if high:
             part = part.filter(F.col(ts) < F.to_timestamp(F.lit(high)))
         Ev.write_events(part, Ev.JsonFiles(path))
@@ -56,6 +58,19 @@ def replay_events(spark, root, handle, label):
     return replay(spark, B.events_fact(spark, root), run)
 
 
+def replay_to_end(spark, df, run, stream):
+    """As ``replay``, then the end of the stream, with which everything that waits is done."""
+    last = []
+
+    def step(path):
+        last[:] = [path]
+        return run(stream(path))
+
+    replay(spark, df, step)
+    Ev.end_stream(spark, Ev.JsonFiles(last[0]))
+    run(stream(last[0]))
+
+
 EVENT_COLUMNS = f"""event_id, event_type, order_id, seller_id, product_id, {dbl('amount_inr')} as amount_inr, quantity,
   updated_stock, category, city, city_tier, payment_method, orders_last_minute,
   array_to_string(risk_signals, ',') as risk_signals, {stamp('ts')} as ts"""
@@ -296,33 +311,33 @@ def q8(spark, root):
 # ---- streaming forms ------------------------------------------------------------------
 
 
-def fraud_stream(spark, root):
-    job = FraudStream(spark, scratch_path(spark, "fraud"), delay_seconds=3600, rules=RULES, amount_rule=AMOUNT)
-    replay_events(spark, root, job.handle, "fraud")
-    job.finish()
-    return job
+def event_stream(spark):
+    return lambda path: Ev.read_events(spark, Ev.JsonFiles(path)).drop(Ev.BROKEN)
+
+
+def fraud_stream(spark):
+    return FraudStream(spark, scratch_path(spark, "fraud"), delay_seconds=3600, rules=RULES, amount_rule=AMOUNT)
 
 
 @query("t1_stream_velocity", SQL["t1_velocity_alerts"])
 def t1_stream(spark, root):
-    return flat(fraud_stream(spark, root).velocity())
+    job = fraud_stream(spark)
+    replay_to_end(spark, B.events_fact(spark, root), job.run_velocity, event_stream(spark))
+    return flat(job.velocity())
 
 
 @query("t2_stream_amounts", SQL["t2_amount_anomaly"])
 def t2_stream(spark, root):
-    return flat(fraud_stream(spark, root).amounts())
+    job = fraud_stream(spark)
+    replay_to_end(spark, B.events_fact(spark, root), job.run_amounts, event_stream(spark))
+    return flat(job.amounts())
 
 
 def inventory_stream(spark, root):
-    schema = "product_id bigint, event_id bigint, order_id string, at_us bigint, action string, qty int"
+    schema = "product_id bigint, event_id bigint, order_id string, ts timestamp, action string, qty int"
     job = InventoryStream(spark, scratch_path(spark, "stock"), B.stock_seed(spark, root), delay_seconds=3600)
-    checkpoint = scratch_path(spark, "stock-checkpoint")
-
-    def run(path):
-        return run_bounded(spark.readStream.schema(schema).json(path), job.handle, checkpoint)
-
-    replay(spark, B.stock_events(spark, root).withColumn("ts", F.timestamp_micros("at_us")), run)
-    job.finish()
+    events = B.stock_events(spark, root).withColumn("ts", F.timestamp_micros("at_us")).drop("at_us")
+    replay_to_end(spark, events, job.run, lambda path: spark.readStream.schema(schema).json(path))
     return job
 
 
@@ -331,16 +346,16 @@ def t3_stream(spark, root):
     return St.allocations(inventory_stream(spark, root).decisions())
 
 
-@query("j3_stream_stock_join", SQL["t3_allocate_stock"])
+@query("j3_stream_stock_join", SQL["t7_change_log"])
 def j3(spark, root):
-    """Orders of a stream meet the keyed stock state."""
-    return St.allocations(inventory_stream(spark, root).decisions())
+    """Orders of a stream meet the keyed stock state; what it reserves and sells."""
+    return St.change_log(inventory_stream(spark, root).decisions())
 
 
 @query("t8_live_metrics", dashboard_sql("(select max(ts) from orders_placed)"))
 def t8(spark, root):
-    job = LiveMetrics(spark, scratch_path(spark, "metrics"))
-    replay_events(spark, root, job.handle, "metrics")
+    job, stream = LiveMetrics(spark, scratch_path(spark, "metrics")), event_stream(spark)
+    replay(spark, B.events_fact(spark, root), lambda path: job.run(stream(path)))
     return job.dashboard()
 
 
@@ -376,6 +391,40 @@ def t12_stream(spark, root):
     return newest.select("start", "end", "category", "s.n", "s.total")
 
 
+LATE = """select event_id, category, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') as ts, mark // 1000 as watermark_ms from (
+    select *, max(epoch_us(ts) // 1000 * 1000) filter (part < 1) over () - 3600000000 as mark_1,
+      max(epoch_us(ts) // 1000 * 1000) filter (part < 2) over () - 3600000000 as mark_2,
+      case part when 1 then mark_1 when 2 then mark_2 end as mark
+    from (select *, least(2, case when ts < timestamp '2024-01-11' then 0 when ts < timestamp '2024-01-21' then 1 else 2 end
+        + case when event_id % 40 = 0 then 1 else 0 end) as part from orders_placed) p) q
+  where ts is null or epoch_us(ts) <= mark"""
+
+
+def late_parts(df):
+    """Every fortieth event comes one part late; ``sent`` stands for the time of sending."""
+    number = F.when(F.col("ts") < F.lit("2024-01-11").cast("timestamp"), 0).when(F.col("ts") < F.lit("2024-01-21").cast("timestamp"), 1).otherwise(2)
+    part = F.least(F.lit(2), number + F.when(F.col("event_id") % 40 == 0, 1).otherwise(0))
+    return df.withColumn("sent", F.element_at(F.array(*[F.to_timestamp(F.lit(d)) for d in ("2024-01-01", *CUTS)]), part + 1))
+
+
+@query("t12_late_rows", using("orders_placed", LATE))
+def t12_late(spark, root):
+    """Rows that windows behind a watermark leave out, kept with the watermark that they met."""
+    out, checkpoint = scratch_path(spark, "late"), scratch_path(spark, "late-checkpoint")
+    schema = B.orders_placed(spark, root).schema
+
+    def handle(batch, batch_id):
+        write_output(batch.filter("late"), out, batch_id)
+
+    def run(path):
+        events = spark.readStream.schema(schema).json(path)
+        return run_bounded(late_rows(events, "ts", 3600, ["event_id", "category"], F.col("event_id")), handle, checkpoint)
+
+    replay(spark, late_parts(B.orders_placed(spark, root)), run, ts="sent")
+    found = read_output(spark, out)
+    return found.select("event_id", "category", F.timestamp_micros("at_us").alias("ts"), F.expr("watermark_us div 1000").alias("watermark_ms"))
+
+
 @query("a9_stream_drop_repeats", using("events_fact", "select event_id, seller_id from events_fact"))
 def a9_stream(spark, root):
     """Every event sent twice, kept once."""

@@ -1,16 +1,21 @@
-"""Streams against their batch forms: late data, repeated batches, restarts."""
+"""Streams against their batch forms: order, late data, rows without a time, repeated batches, restarts."""
 
 import datetime as dt
+import os
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from bazaarflow import bindings as B
 from bazaarflow.operators import alerts as Al, stock as St
 from bazaarflow.plans.dashboard import live_dashboard
+from bazaarflow.sources import events as Ev
+from bazaarflow.streaming import fraud, keyed
 from bazaarflow.streaming.fraud import FraudStream
 from bazaarflow.streaming.inventory import InventoryStream
 from bazaarflow.streaming.metrics import LiveMetrics
+from bazaarflow.streaming.runner import LatestRows, read_output, run_bounded, write_output
 from registry.events import AMOUNT, RULES
 
 SHAPE = "event_type string, seller_id bigint, event_id bigint, ts timestamp, amount_inr decimal(18,2)"
@@ -29,59 +34,106 @@ def days(df, low, high):
     return df.filter((F.dayofmonth("ts") >= low) & (F.dayofmonth("ts") < high))
 
 
-def test_fraud_stream_equals_batch_even_when_out_of_order(spark, orders, tmp_path):
-    """Two batches overlap in time; a delay of two days keeps the order."""
-    job = FraudStream(spark, str(tmp_path), delay_seconds=2 * 86_400, rules=RULES, amount_rule=AMOUNT)
+def feed(spark, path, run, *parts, end=True, schema=SHAPE):
+    """One bounded run after each part of the input, and one after the end of the stream."""
+    source = Ev.JsonFiles(str(path / "topic"))
+    for part in parts:
+        Ev.write_events(part, source)
+        run(spark.readStream.schema(schema).json(source.path))
+    if end:
+        Ev.end_stream(spark, source)
+        run(spark.readStream.schema(schema).json(source.path))
+
+
+def job_of(spark, path, **given):
+    return FraudStream(spark, str(path / "job"), **({"rules": RULES, "amount_rule": AMOUNT} | given))
+
+
+ALERT = ["alert_id", "seller_id", "event_id", "alert_type", "evidence"]
+
+
+def test_velocity_equals_batch_even_when_out_of_order(spark, orders, tmp_path):
+    """Two parts overlap in time; a delay of two days keeps the order. Narrow slices change nothing."""
+    job = job_of(spark, tmp_path, delay_seconds=2 * 86_400, slice_seconds=259_200)
     odd = F.col("event_id") % 2 == 1
-    early, middle, late = days(orders, 1, 10), days(orders, 10, 12), days(orders, 12, 32)
-    job.handle(early.unionAll(middle.filter(odd)), 0)
-    job.handle(middle.filter(~odd), 1)
-    job.handle(late, 2)
-    # The same batch again, as after a failure before its commit.
-    job.handle(late, 2)
-    job.finish()
-    cols = ["alert_id", "seller_id", "event_id", "alert_type"]
-    assert rows(job.velocity().select(cols)) == rows(Al.velocity_alerts(orders, RULES).select(cols))
-    assert rows(job.amounts().select(cols)) == rows(Al.amount_alerts(orders, AMOUNT).select(cols))
+    middle = days(orders, 10, 12)
+    feed(spark, tmp_path, job.run_velocity, days(orders, 1, 10).unionAll(middle.filter(odd)), middle.filter(~odd), days(orders, 12, 32))
+    assert rows(job.velocity().select(ALERT)) == rows(Al.velocity_alerts(orders, RULES).select(ALERT))
     assert job.late().count() == 0
 
 
-def test_late_orders_are_set_aside(spark, orders, tmp_path):
-    job = FraudStream(spark, str(tmp_path), delay_seconds=60, rules=RULES, amount_rule=AMOUNT)
-    job.handle(days(orders, 10, 20), 0)
-    job.handle(days(orders, 1, 5), 1)
-    job.finish()
-    assert job.late().count() == days(orders, 1, 5).count()
-    cols = ["alert_id"]
-    assert rows(job.velocity().select(cols)) == rows(Al.velocity_alerts(days(orders, 10, 20), RULES).select(cols))
+def test_amounts_equal_batch(spark, orders, tmp_path):
+    job = job_of(spark, tmp_path, delay_seconds=3600)
+    feed(spark, tmp_path, job.run_amounts, days(orders, 1, 9), days(orders, 9, 32))
+    assert rows(job.amounts().select(ALERT)) == rows(Al.amount_alerts(orders, AMOUNT).select(ALERT))
+
+
+def test_late_orders_and_those_without_a_time_are_set_aside(spark, orders, tmp_path):
+    job = job_of(spark, tmp_path)
+    timeless = orders.filter("event_id % 30 = 0").withColumn("ts", F.lit(None).cast("timestamp"))
+    other = orders.limit(5).withColumn("event_type", F.lit("inventory_update"))
+    on_time, late = days(orders, 10, 20), days(orders, 1, 5)
+    feed(spark, tmp_path, job.run_velocity, on_time, late.unionAll(timeless).unionAll(other))
+    assert rows(job.late().select("event_id")) == rows(late.unionAll(timeless).select("event_id"))
+    assert job.late().filter("at_us is null").count() == timeless.count()
+    assert rows(job.velocity().select(ALERT)) == rows(Al.velocity_alerts(on_time, RULES).select(ALERT))
+
 
+def test_state_of_past_slices_is_gone(spark, orders, tmp_path):
+    """After the end of the stream no key holds anything."""
+    job = job_of(spark, tmp_path, slice_seconds=259_200)
+    feed(spark, tmp_path, job.run_velocity, days(orders, 1, 15), days(orders, 15, 32))
+    files = [os.path.join(d, f) for d, _, names in os.walk(tmp_path / "job" / "velocity-checkpoint" / "state") for f in names]
+    assert files
+    # A batch that comes after the end meets a watermark past everything: all late, nothing kept.
+    feed(spark, tmp_path, job.run_velocity, orders.limit(3), end=False)
+    assert job.late().count() == 3
 
-def test_old_versions_are_removed(spark, orders, tmp_path):
-    import os
 
-    job = FraudStream(spark, str(tmp_path), rules=RULES, amount_rule=AMOUNT)
-    for i in range(3):
-        job.handle(days(orders, 1 + i, 2 + i), i)
-    assert sorted(os.listdir(tmp_path / "state")) == ["version=1", "version=2"]
+def test_a_repeated_batch_replaces_its_output(spark, orders, tmp_path):
+    path = str(tmp_path / "out")
+    for part in (days(orders, 1, 9), days(orders, 1, 3)):
+        write_output(part, path, 0)
+    assert rows(read_output(spark, path)) == rows(days(orders, 1, 3))
+    sink = LatestRows(spark, str(tmp_path / "latest"), ["k"], "k bigint, v bigint", merge_every=2)
+    assert sink.read().collect() == []
+    want = {}
+    for batch in [0, 1, 2, 2, 3, 4, 5, 5, 6]:
+        part = {k: batch * 10 + k for k in (batch % 3, 7)}
+        sink.write(spark.createDataFrame(list(part.items()), "k bigint, v bigint"), batch)
+        want |= part
+    assert {r.k: r.v for r in sink.read().collect()} == want
+
+
+def test_counts_follow_the_order_of_arrival_in_ties():
+    rows_ = {"at_us": np.array([5, 5, 5, 9, 20]), "cents": np.array([1, 2, 3, 4, 5])}
+    carry, made = fraud._counts(None, rows_, {"w": 4, "x": 100}, True)
+    assert made["n_w"].tolist() == [1, 2, 3, 4, 1] and made["sum_x"].tolist() == [1, 3, 6, 10, 15]
+    carry, made = fraud._counts(carry, {"at_us": np.array([21]), "cents": np.array([6])}, {"w": 4, "x": 100}, True)
+    assert made["n_w"].tolist() == [2] and made["sum_x"].tolist() == [21]
+
+
+STOCK = "product_id bigint, event_id bigint, order_id string, ts timestamp, action string, qty int"
 
 
 def test_inventory_stream_equals_batch(spark, root, tmp_path):
     events, seed = B.stock_events(spark, root), B.stock_seed(spark, root)
-    job = InventoryStream(spark, str(tmp_path), seed, delay_seconds=3600)
+    job = InventoryStream(spark, str(tmp_path / "job"), seed, delay_seconds=3600)
+    timed = events.withColumn("ts", F.timestamp_micros("at_us")).drop("at_us")
     middle = events.agg(F.percentile_approx("at_us", 0.5)).first()[0]
-    job.handle(events.filter(F.col("at_us") <= middle), 0)
-    job.handle(events.filter(F.col("at_us") > middle), 1)
-    job.finish()
+    cut = F.unix_micros("ts") <= middle
+    feed(spark, tmp_path, job.run, timed.filter(cut), timed.filter(~cut), schema=STOCK)
     want = St.stock_decisions(events, seed)
     assert rows(St.allocations(job.decisions())) == rows(St.allocations(want))
     assert rows(St.change_log(job.decisions())) == rows(St.change_log(want))
+    assert job.late().count() == 0
 
 
 def test_live_metrics_equal_batch(spark, root, tmp_path):
     events = B.events_fact(spark, root)
-    job = LiveMetrics(spark, str(tmp_path))
-    job.handle(days(events, 1, 12), 0)
-    job.handle(days(events, 12, 32), 1)
+    job = LiveMetrics(spark, str(tmp_path / "job"))
+    timeless = B.orders_placed(spark, root).limit(0)
+    feed(spark, tmp_path, job.run, days(events, 1, 12), days(events, 12, 32).unionAll(timeless.select(*events.columns)), end=False, schema=events.schema)
     last = B.orders_placed(spark, root).agg(F.max("ts").cast("string")).first()[0]
     assert rows(job.dashboard()) == rows(live_dashboard(B.orders_placed(spark, root), last))
 
@@ -91,11 +143,27 @@ def test_rolling_totals_of_the_dashboard(spark, tmp_path):
         at = dt.datetime(2024, 1, 1) + dt.timedelta(seconds=second)
         return ("order_placed", at, "c", "x", "UPI", "tier1", "S1", amount)
 
-    cols = "event_type string, ts timestamp, category string, city string, payment_method string, city_tier string, seller_id string, amount_inr int"
-    job = LiveMetrics(spark, str(tmp_path))
-    make = lambda *r: spark.createDataFrame(list(r), cols).withColumn("amount_inr", F.col("amount_inr").cast("decimal(18,2)"))
-    job.handle(make(order(0, 100), order(239, 10), order(240, 20)), 0)
-    job.handle(make(order(300, 5)), 1)
+    cols = "event_type string, ts timestamp, category string, city string, payment_method string, city_tier string, seller_id string, amount_inr decimal(18,2)"
+    job = LiveMetrics(spark, str(tmp_path / "job"))
+    make = lambda *r: spark.createDataFrame([(*x[:-1], x[-1]) for x in r], cols.replace("decimal(18,2)", "int"))
+    feed(spark, tmp_path, job.run, make(order(0, 100), order(239, 10), order(240, 20)), make(order(300, 5)), end=False, schema=cols)
     got = {r.name: r.value for r in job.dashboard().filter("section = 'rolling'").collect()}
     # Windows are closed: 300 s back still counts for five minutes, 60 s back for one.
     assert got == {"revenue_last_1min": 25.0, "revenue_last_5min": 135.0, "orders_last_1min": 2.0, "avg_order_last_5min": 33.75}
+
+
+def test_late_rows_carry_the_watermark_they_met(spark, orders, tmp_path):
+    out = str(tmp_path / "late")
+
+    def run(stream):
+        found = keyed.late_rows(stream, "ts", 60, ["event_id", "amount_inr"], F.col("event_id"))
+        run_bounded(found, lambda batch, i: write_output(batch, out, i), str(tmp_path / "checkpoint"))
+
+    timeless = orders.limit(4).withColumn("ts", F.lit(None).cast("timestamp"))
+    feed(spark, tmp_path, run, days(orders, 10, 20), days(orders, 1, 5).unionAll(timeless), days(orders, 20, 32), end=False)
+    found = read_output(spark, out)
+    assert found.count() == days(orders, 10, 32).count() + days(orders, 1, 5).count() + 4
+    late = found.filter("late")
+    assert late.count() == days(orders, 1, 5).count() + 4
+    newest = days(orders, 10, 20).agg(F.max(F.unix_millis("ts"))).first()[0]
+    assert {r.watermark_us for r in late.collect()} == {(newest - 60_000) * 1000}
