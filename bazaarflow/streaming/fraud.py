@@ -5,6 +5,7 @@ from __future__ import annotations
 from functools import partial
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.dates import seconds_to_micros
@@ -13,40 +14,49 @@ from .keyed import Columns, Fold, in_event_order, known, unknown, watermarked
 from .runner import read_output, run_bounded, write_output
 
 
-def _counts(carry: Columns | None, rows: Columns, widths: dict[str, int], sums: bool) -> tuple[Columns, Columns]:
-    """Trailing counts, and sums if asked for, of every row; the carry is what later windows still see."""
+def _recent(carry: Columns | None, rows: Columns, width: int) -> tuple[Columns, Columns]:
+    """Number and sum of one seller's orders in the window of each row; the carry is what later windows still see."""
+    joined, first = {n: rows[n] for n in ("at_us", "cents")}, 0
     if carry is not None:
-        joined = {n: np.concatenate([carry[n], rows[n]]) for n in ("at_us", "cents")}
-    else:
-        joined = {n: rows[n] for n in ("at_us", "cents")}
-    at, first = joined["at_us"], len(joined["at_us"]) - len(rows["at_us"])
-    if sums:  # whole numbers of any size, so that sums are exact
-        total = np.concatenate([[0], np.cumsum(joined["cents"].astype(object))])
+        joined, first = {n: np.concatenate([carry[n], v]) for n, v in joined.items()}, len(carry["at_us"])
+    at = joined["at_us"]
+    # Whole numbers of any size, so that sums are exact.
+    total = np.concatenate([[0], np.cumsum(joined["cents"].astype(object))])
     place = np.arange(first, len(at))
-    made = {}
-    for name, width in widths.items():
-        low = np.searchsorted(at, at[place] - width, "left")
-        made[f"n_{name}"] = place + 1 - low
-        if sums:
-            made[f"sum_{name}"] = total[place + 1] - total[low]
-    recent = at >= at[-1] - max(widths.values())
-    return {n: v[recent] for n, v in joined.items()}, made
+    low = np.searchsorted(at, at[place] - width, "left")
+    recent = at >= at[-1] - width
+    return {n: v[recent] for n, v in joined.items()}, {"n": place + 1 - low, "sum": total[place + 1] - total[low]}
 
 
 def _velocity(key: tuple, carry: Columns | None, rows: Columns, widths: dict[str, int]) -> tuple[Columns, Columns]:
-    carry, made = _counts(carry, rows, widths, False)
-    own = rows["slice"] == key[1]
-    return carry, {n: rows[n][own] for n in ("event_id", "at_us", "slice")} | {n: v[own] for n, v in made.items()}
+    """Trailing counts of many sellers at once; the carry is what later windows still see."""
+    names, first = ("seller_id", "at_us"), 0
+    joined = {n: rows[n] for n in names}
+    if carry is not None:
+        joined, first = {n: np.concatenate([carry[n], rows[n]]) for n in names}, len(carry["at_us"])
+    at, widest = joined["at_us"], max(widths.values())
+    seller = pd.factorize(joined["seller_id"], use_na_sentinel=False)[0].astype(np.int64)
+    # One axis for all sellers, each with its own stretch that no window leaves.
+    axis = seller * (at[-1] - at[0] + widest + 1) + (at - at[0])
+    order = np.argsort(axis, kind="stable")
+    sorted_, own = axis[order], np.empty(len(at), dtype=np.int64)
+    own[order] = np.arange(len(at))
+    mine = np.flatnonzero(rows["slice"] == key[1])
+    place = own[first + mine]
+    made = {n: rows[n][mine] for n in ("seller_id", "event_id", "at_us", "slice")}
+    made |= {f"n_{n}": place + 1 - np.searchsorted(sorted_, sorted_[place] - width, "left") for n, width in widths.items()}
+    recent = at >= at[-1] - widest
+    return {n: v[recent] for n, v in joined.items()}, made
 
 
 def _amounts(key: tuple, carry: tuple | None, rows: Columns, rule: AmountRule) -> tuple[tuple, Columns]:
     """Baselines before each order that has enough recent ones; the carry is the window and the baseline."""
     window, level = carry if carry is not None else (None, None)
-    window, made = _counts(window, rows, {"recent": seconds_to_micros(rule.window_seconds)}, True)
-    judged = made["n_recent"] >= rule.min_orders
+    window, made = _recent(window, rows, seconds_to_micros(rule.window_seconds))
+    judged = made["n"] >= rule.min_orders
     out, picked = [], {n: rows[n][judged] for n in ("event_id", "at_us")}
     amounts = [int(c) / 100 for c in rows["cents"][judged]]
-    for x, total, n in zip(amounts, made["sum_recent"][judged], made["n_recent"][judged]):
+    for x, total, n in zip(amounts, made["sum"][judged], made["n"][judged]):
         if level is None:
             level = int(total) / 100 / int(n)
         out.append(level)
@@ -57,8 +67,9 @@ def _amounts(key: tuple, carry: tuple | None, rows: Columns, rule: AmountRule) -
 class FraudStream:
     """Velocity and amount alerts; the same rules and results as the batch operators.
 
-    The velocity rules are keyed by seller and time slice. An order goes to its own slice and, if a window reaches that far, to
-    the next one; so a busy seller spreads over tasks, and a slice's state ends with the slice. A moving baseline depends on all
+    The velocity rules are keyed by a bucket of sellers and a time slice. An order goes to its own slice and, if a window reaches that
+    far, to the next one; so a busy seller spreads over tasks, and a slice's state ends with the slice. ``buckets`` only sets how many
+    sellers share an entry of state, which costs more to open than to search. A moving baseline depends on all
     orders of a seller: the amount rule is keyed by seller, and its state holds one window and one number.
     """
 
@@ -70,9 +81,10 @@ class FraudStream:
         rules: tuple[VelocityRule, ...] = VELOCITY_RULES,
         amount_rule: AmountRule = AMOUNT_RULE,
         slice_seconds: float | None = None,
+        buckets: int = 64,
     ):
         self.spark, self.root, self.delay = spark, root.rstrip("/"), delay_seconds
-        self.rules, self.amount_rule = rules, amount_rule
+        self.rules, self.amount_rule, self.buckets = rules, amount_rule, buckets
         self.widths = {r.name: seconds_to_micros(r.window_seconds) for r in rules}
         widest = max(self.widths.values())
         self.slice_us = 8 * widest if slice_seconds is None else seconds_to_micros(slice_seconds)
@@ -90,12 +102,14 @@ class FraudStream:
         reaches = F.floor((F.col("at_us") + max(self.widths.values())) / self.slice_us)
         # Orders without a time have no slice; they are late at once, in many groups.
         slices = F.when(unknown(F.col("at_us")).isNull(), F.array(-1 - F.pmod("event_id", F.lit(64)))).otherwise(F.sequence(slice_, reaches))
-        copies = self._orders(events).select("ts", "seller_id", "event_id", "at_us", "cents", slice_.alias("slice"), F.explode(slices).alias("part"))
-        names = ", ".join(f"n_{r.name} bigint" for r in self.rules)
+        bucket = F.pmod(F.xxhash64("seller_id"), F.lit(self.buckets)).alias("bucket")
+        copies = self._orders(events).select("ts", "seller_id", "event_id", "at_us", bucket, slice_.alias("slice"), F.explode(slices).alias("part"))
+        counts = ", ".join(f"n_{r.name} bigint" for r in self.rules)
+        seller = copies.schema["seller_id"].dataType.simpleString()
         slice_us = self.slice_us
         fold = Fold(partial(_velocity, widths=self.widths), lambda key: (key[1] + 1) * slice_us)
-        out = f"event_id bigint, at_us bigint, {names}, slice bigint"
-        found = in_event_order(copies, "ts", ["seller_id", "part"], ["event_id", "at_us", "cents", "slice"], fold, f"seller_id bigint, part bigint, {out}")
+        out = f"seller_id {seller}, event_id bigint, at_us bigint, {counts}, slice bigint, part bigint"
+        found = in_event_order(copies, "ts", ["bucket", "part"], ["seller_id", "event_id", "at_us", "slice"], fold, out)
         return run_bounded(found, self._keep("counts"), f"{self.root}/velocity-checkpoint", timeout=timeout)
 
     def run_amounts(self, events: DataFrame, timeout: int | None = None) -> DataFrame:

@@ -106,11 +106,23 @@ def test_a_repeated_batch_replaces_its_output(spark, orders, tmp_path):
 
 
 def test_counts_follow_the_order_of_arrival_in_ties():
-    rows_ = {"at_us": np.array([5, 5, 5, 9, 20]), "cents": np.array([1, 2, 3, 4, 5])}
-    carry, made = fraud._counts(None, rows_, {"w": 4, "x": 100}, True)
-    assert made["n_w"].tolist() == [1, 2, 3, 4, 1] and made["sum_x"].tolist() == [1, 3, 6, 10, 15]
-    carry, made = fraud._counts(carry, {"at_us": np.array([21]), "cents": np.array([6])}, {"w": 4, "x": 100}, True)
-    assert made["n_w"].tolist() == [2] and made["sum_x"].tolist() == [21]
+    first = {"at_us": np.array([5, 5, 5, 9, 20]), "cents": np.array([1, 2, 3, 4, 5])}
+    assert fraud._recent(None, first, 4)[1]["n"].tolist() == [1, 2, 3, 4, 1]
+    carry, made = fraud._recent(None, first, 100)
+    assert made["sum"].tolist() == [1, 3, 6, 10, 15]
+    assert fraud._recent(carry, {"at_us": np.array([21]), "cents": np.array([6])}, 100)[1]["sum"].tolist() == [21]
+
+
+def test_counts_of_many_sellers_at_once():
+    draw = np.random.default_rng(3)
+    at = np.sort(draw.integers(0, 300, 500))
+    rows_ = {"at_us": at, "event_id": np.arange(500), "seller_id": draw.choice([None, "a", "b", "c"], 500), "slice": draw.integers(0, 2, 500)}
+    carry, got = None, []
+    for low, high in ((0, 200), (200, 201), (201, 500)):
+        carry, made = fraud._velocity((9, 1), carry, {n: v[low:high] for n, v in rows_.items()}, {"x": 7, "y": 40})
+        got += list(zip(made["event_id"], made["n_x"], made["n_y"]))
+    same = lambda i, w: sum(rows_["seller_id"][j] == rows_["seller_id"][i] and at[i] - w <= at[j] for j in range(i + 1))
+    assert got == [(i, same(i, 7), same(i, 40)) for i in range(500) if rows_["slice"][i] == 1]
 
 
 STOCK = "product_id bigint, event_id bigint, order_id string, ts timestamp, action string, qty int"
