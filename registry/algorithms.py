@@ -29,10 +29,18 @@ def g1_order(spark, root):
     return G.topo_order(G.topo_levels(B.edges(spark, root)))
 
 
-@query(
-    "g2_graph_check",
-    using("edges", "select count(*) as nodes, count(*) as placed, true as valid from nodes", also={"nodes": LEVELS["nodes"]}),
-)
+# Nodes on or behind a cycle, from all pairs of a node and what comes after it.
+CHECK = """select count(*) as nodes, count(*) - count(held) as placed, count(held) = 0 as valid
+  from nodes left join (select distinct node as held from (
+    select src as node from reach where src = dst union all
+    select r.dst from reach r join (select src from reach where src = dst) c on c.src = r.src) h) b on node = held"""
+REACH = {
+    "nodes": "select src as node from {0} union select dst from {0}",
+    "reach": "select src, dst from {0} union select r.src, e.dst from reach r join {0} e on e.src = r.dst",
+}
+
+
+@query("g2_graph_check", using("edges", CHECK, recursive=True, also={k: v.format("edges") for k, v in REACH.items()}))
 def g2(spark, root):
     return G.graph_check(B.edges(spark, root))
 
@@ -41,14 +49,10 @@ def g2(spark, root):
     "g2_cycle_check",
     using(
         "edges",
-        """select (select count(*) from nodes) as nodes, (select count(*) from nodes) - count(*) as placed,
-      false as valid from behind""",
+        CHECK,
         recursive=True,
-        also={
-            "nodes": LEVELS["nodes"],
-            "behind": """select cast(floor(max(dst) / 2) as bigint) as node from edges
-              union select e.dst from behind b join edges e on e.src = b.node""",
-        },
+        also={"looped": "select * from edges union all select max(dst), cast(floor(max(dst) / 2) as bigint) from edges"}
+        | {k: v.format("looped") for k, v in REACH.items()},
     ),
 )
 def g2_cycle(spark, root):
