@@ -369,6 +369,18 @@ def v2(spark, root):
     return S.semantic_search(B.search_queries(spark, root), B.vectors(spark, root))
 
 
+@query("v2_search_by_blocks", using("vectors search_queries", SEARCH, also=hits_sql()))
+def v2_blocks(spark, root):
+    """The form for more queries than a task holds: blocks of queries meet blocks of vectors."""
+    return S.semantic_search(B.search_queries(spark, root), B.vectors(spark, root), max_query_bytes=0, block_bytes=1 << 14)
+
+
+@query("v2_approximate_search")
+def v2_approximate(spark, root):
+    """Strips wide enough for these vectors, whose nearest neighbours are far."""
+    return S.approximate_search(B.search_queries(spark, root), B.vectors(spark, root), tables=8, projections=2, bucket_length=0.4)
+
+
 @query(
     "v2_semantic_search_filtered",
     using("vectors search_queries", SEARCH, also=hits_sql("sentiment = 'NEGATIVE'")),
