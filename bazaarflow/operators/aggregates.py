@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions.numeric import floored_ratio, mean, money_sum, percent, round_half_up
 
@@ -14,10 +14,48 @@ def totals_by(df: DataFrame, keys: list[str], amount: str) -> DataFrame:
     )
 
 
+def totals_with_distincts(df: DataFrame, keys: list[str], sums: dict[str, Column], distinct: dict[str, str]) -> DataFrame:
+    """Sums of row values, and numbers of distinct values of several columns, per key.
+
+    ``distinct`` maps a name to its column. Several distinct counts in one aggregate would copy every row once for each of them;
+    here the distinct pairs of key and value are found column by column, each from two columns of the input, and what is
+    left of a pair is a one that adds up beside the sums. The last aggregate combines on the map side, so no key is one task.
+    """
+    valued = df.select(*keys, *[value.alias(name) for name, value in sums.items()])
+    types = {f.name: f.dataType for f in valued.schema.fields if f.name in sums} | {name: T.LongType() for name in distinct}
+
+    def filled(part: DataFrame, given: dict[str, Column]) -> DataFrame:
+        return part.select(*keys, *[given.get(n, F.lit(None)).cast(t).alias(n) for n, t in types.items()])
+
+    rows = filled(valued if sums else valued.distinct(), {n: F.col(n) for n in sums})
+    for name, column in distinct.items():
+        value = F.col(column).alias("_value")
+        pairs = df.filter(F.col(column).isNotNull()).select(*keys, value).distinct()
+        rows = rows.unionAll(filled(pairs, {name: F.lit(1)}))
+    counts = [F.coalesce(F.sum(n), F.lit(0).cast("bigint")).alias(n) for n in distinct]
+    return rows.groupBy(*keys).agg(*[F.sum(n).alias(n) for n in sums], *counts)
+
+
 def distinct_counts(df: DataFrame, keys: list[str], columns: list[str], approximate: bool = False) -> DataFrame:
-    """Distinct values of several columns per key, in one pass; exact unless asked otherwise."""
-    count = F.approx_count_distinct if approximate else F.count_distinct
-    return df.groupBy(*keys).agg(*[count(c).alias(f"distinct_{c}") for c in columns])
+    """Distinct values of several columns per key; exact unless asked otherwise."""
+    if approximate:
+        return df.groupBy(*keys).agg(*[F.approx_count_distinct(c).alias(f"distinct_{c}") for c in columns])
+    return totals_with_distincts(df, keys, {}, {f"distinct_{c}": c for c in columns})
+
+
+# Buckets of a sketch as a power of two; the relative error of an estimate is about 1.04 / sqrt(buckets).
+SKETCH_BITS = 12
+
+
+def distinct_sketches(df: DataFrame, keys: list[str], columns: list[str], bits: int = SKETCH_BITS) -> DataFrame:
+    """Mergeable sketches of the distinct values per key, say per day; a few kilobytes each, to be stored."""
+    return df.groupBy(*keys).agg(*[F.hll_sketch_agg(F.col(c).cast("string"), bits).alias(f"sketch_{c}") for c in columns])
+
+
+def sketched_counts(sketches: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
+    """Estimates of the distinct values over merged sketches, for any coarser keys, without the rows themselves."""
+    merged = [F.hll_sketch_estimate(F.hll_union_agg(f"sketch_{c}")).alias(f"distinct_{c}") for c in columns]
+    return sketches.groupBy(*keys).agg(*merged)
 
 
 def conditional_sums(df: DataFrame, keys: list[str], amount: str, conditions: dict[str, Column]) -> DataFrame:
@@ -62,6 +100,15 @@ def counters(df: DataFrame, dimensions: list[str], amount: str = "amount_inr") -
     return sets.select(dimension.alias("dimension"), value.alias("value"), "orders", "revenue")
 
 
+def distributions(counted: DataFrame) -> DataFrame:
+    """One map from value to orders per dimension of ``counters``, the values in order; a null value is left out.
+
+    Meant for dimensions of few values, as a dashboard shows them; the warehouse stores a map as JSON.
+    """
+    entries = F.array_sort(F.collect_list(F.when(F.col("value").isNotNull(), F.struct("value", "orders"))))
+    return counted.groupBy("dimension").agg(F.map_from_entries(entries).alias("orders_by_value"))
+
+
 def shares(df: DataFrame, key: str) -> DataFrame:
     """Count per key and its percent of the total, one decimal."""
     counts = df.groupBy(key).agg(F.count("*").alias("n"))

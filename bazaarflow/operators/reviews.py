@@ -139,17 +139,22 @@ def split_dead_letters(enriched: DataFrame, failed_at: str) -> tuple[DataFrame,
     return enriched.filter("enrichment_success"), dead
 
 
-def enrichment_counters(enriched: DataFrame) -> DataFrame:
-    """Counters of one enrichment run in one row."""
+def enrichment_numbers() -> list[Column]:
+    """Counters of one enrichment run, as aggregates that add up over parts."""
     has_json = ~F.array_contains("failure_reasons", "invalid json")
-    return enriched.agg(
+    return [
         F.count("*").alias("processed"),
         F.count_if(has_json).alias("llm_success"),
         F.count_if(~has_json).alias("llm_failed"),
         F.count_if("enrichment_success").alias("validation_passed"),
         F.count_if(has_json & ~F.col("enrichment_success")).alias("validation_failed"),
         F.count_if(~F.col("enrichment_success")).alias("dlq_count"),
-    )
+    ]
+
+
+def enrichment_counters(enriched: DataFrame) -> DataFrame:
+    """Counters of one enrichment run in one row."""
+    return enriched.agg(*enrichment_numbers())
 
 
 def run_log(enriched: DataFrame, run_id: str, run_date: str) -> DataFrame:
@@ -230,13 +235,17 @@ def judge_verdicts(df: DataFrame, raw: str = "judge_response", passing: float =
     return out.withColumn("inconsistent", disagrees)
 
 
-def judge_counters(verdicts: DataFrame) -> DataFrame:
+def judge_numbers() -> list[Column]:
     passed = F.col("judged") & (F.col("overall_verdict") == "PASS")
-    return verdicts.agg(
+    return [
         F.count_if("judged").alias("judged"),
         F.count_if(passed).alias("passed"),
         F.count_if(F.col("judged") & ~passed).alias("failed"),
-    )
+    ]
+
+
+def judge_counters(verdicts: DataFrame) -> DataFrame:
+    return verdicts.agg(*judge_numbers())
 
 
 # ---- review analytics -----------------------------------------------------------------

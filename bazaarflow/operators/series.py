@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
 def first_breach(df: DataFrame, key: str, pos: str, value: str, threshold: float) -> DataFrame:
@@ -17,6 +17,36 @@ def position_of(df: DataFrame, key: str, pos: str, value: str, target: float) ->
     return df.groupBy(key).agg(F.coalesce(hit, F.lit(-1)).alias("position"))
 
 
+def store_sorted(df: DataFrame, key: str, pos: str, value: str, path: str, row_group_bytes: int = 8 << 20) -> None:
+    """Series laid out by value: sorted files whose row groups cover narrow ranges, and beside them the list of series.
+
+    A search for one value or for values above a bound then reads the few row groups that can hold it.
+    """
+    rows = df.select(key, pos, value)
+    ranged = rows.repartitionByRange(value, pos).sortWithinPartitions(value, pos)
+    ranged.write.mode("overwrite").option("parquet.block.size", row_group_bytes).parquet(f"{path}/rows")
+    rows.select(key).distinct().write.mode("overwrite").parquet(f"{path}/series")
+
+
+def _smallest(spark: SparkSession, path: str, hits: DataFrame, key: str, pos: str, name: str) -> DataFrame:
+    found = hits.groupBy(F.col(key).alias("_key")).agg(F.min(pos).alias("_pos"))
+    all_ = spark.read.parquet(f"{path}/series")
+    joined = all_.join(found, all_[key].eqNullSafe(found["_key"]), "left")
+    return joined.select(key, F.coalesce("_pos", F.lit(-1)).alias(name))
+
+
+def position_in_sorted(spark: SparkSession, path: str, key: str, pos: str, value: str, target: float) -> DataFrame:
+    """As ``position_of`` on stored series; the value goes to the scan."""
+    hits = spark.read.parquet(f"{path}/rows").filter(F.col(value) == F.lit(target))
+    return _smallest(spark, path, hits, key, pos, "position")
+
+
+def breach_in_sorted(spark: SparkSession, path: str, key: str, pos: str, value: str, threshold: float) -> DataFrame:
+    """As ``first_breach`` on stored series; the bound goes to the scan."""
+    hits = spark.read.parquet(f"{path}/rows").filter(F.col(value) > F.lit(threshold))
+    return _smallest(spark, path, hits, key, pos, "first_breach")
+
+
 def min_batch_size(df: DataFrame, orders: str, limit: int, width: int = 1000) -> DataFrame:
     """Smallest batch size b with the sum of ceil(orders / b) at most ``limit``.
 

@@ -307,15 +307,20 @@ def change_log(decisions: DataFrame) -> DataFrame:
     )
 
 
-def stock_stats(allocated: DataFrame, state: DataFrame, low: int = 5) -> DataFrame:
-    """Counters of a run in one row."""
-    checks = allocated.agg(
-        F.count("*").alias("total_checks"),
-        F.count_if("approved").alias("approved"),
-        F.count_if(F.col("reason") == "OUT_OF_STOCK").alias("rejected_no_stock"),
-        F.count_if(F.col("reason") == "INSUFFICIENT_STOCK").alias("rejected_insufficient"),
-    )
-    products = state.agg(F.count("*").alias("n")).scalar()
-    scarce = state.agg(F.count_if(F.col("available_stock").between(1, low)).alias("n")).scalar()
+def stock_numbers() -> list[Column]:
+    """Counters of the decisions on orders, as aggregates that add up over parts."""
+    order = F.col("action") == "order"
+    return [
+        F.count_if(order).alias("total_checks"),
+        F.count_if(order & (F.col("reason") == "APPROVED")).alias("approved"),
+        F.count_if(order & (F.col("reason") == "OUT_OF_STOCK")).alias("rejected_no_stock"),
+        F.count_if(order & (F.col("reason") == "INSUFFICIENT_STOCK")).alias("rejected_insufficient"),
+    ]
+
+
+def stock_stats(counters: dict, state: DataFrame, low: int = 5) -> DataFrame:
+    """Counters of a run in one row, from those of its decisions and the state after it."""
+    products = state.agg(F.count("*").alias("products_tracked"), F.count_if(F.col("available_stock").between(1, low)).alias("low_stock_count"))
+    checks = {c: F.lit(counters[c]).cast("bigint") for c in ("total_checks", "approved", "rejected_no_stock", "rejected_insufficient")}
     rate = round_half_up(floored_ratio("approved", "total_checks") * F.lit(100.0), 2)
-    return checks.withColumns({"approval_rate": rate, "products_tracked": products, "low_stock_count": scarce})
+    return products.withColumns(checks).withColumn("approval_rate", rate)

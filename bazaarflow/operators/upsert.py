@@ -1,8 +1,10 @@
-"""Keyed upserts as one join: replaced rows leave the base, the newest delta rows enter."""
+"""Keyed upserts: replaced rows leave the base, the newest delta rows enter; in memory, or into a stored table."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from ..session import materialize
 
 
 def latest_per_key(delta: DataFrame, keys: list[str], order: str) -> DataFrame:
@@ -27,6 +29,44 @@ def upsert(base: DataFrame, delta: DataFrame, keys: list[str], order: str) -> Da
     return kept.unionByName(fresh)
 
 
+BUCKET = "_bucket"
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """A table stored by ``upsert_into``."""
+    return spark.read.parquet(path).drop(BUCKET)
+
+
+def upsert_into(path: str, delta: DataFrame, keys: list[str], order: str, buckets: int = 256) -> int:
+    """Insert or replace ``delta`` into the table stored at ``path``, which is made if it is absent; returns the buckets written.
+
+    Rows lie in partitions by a hash of their key. Only the partitions that the delta touches are read and replaced, the files of
+    the others stay as they are. What replaces them is complete in the shared folder before the first file is moved; until
+    that commit readers see the old rows. The number of buckets is fixed with the first delta.
+    """
+    spark = delta.sparkSession
+    bucket = F.pmod(F.xxhash64(F.lit(buckets), *keys), F.lit(buckets)).cast("int")
+    fresh = materialize(latest_per_key(delta, keys, order).withColumn(BUCKET, bucket))
+    # At most ``buckets`` numbers.
+    touched = [r[0] for r in fresh.select(BUCKET).distinct().collect()]
+    if _is_stored(spark, path):
+        stored = spark.read.schema(fresh.schema).parquet(path).filter(F.col(BUCKET).isin(touched))
+        known = stored.withColumn("_right", bucket == F.col(BUCKET))
+        if known.filter(~F.col("_right")).limit(1).count():
+            raise ValueError(f"{path} was stored with another number of buckets")
+        kept = stored.join(fresh.select(*keys, BUCKET), [*keys, BUCKET], "left_anti")
+        fresh = materialize(kept.unionByName(fresh))
+    out = fresh.hint("rebalance", F.col(BUCKET)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    out.partitionBy(BUCKET).parquet(path)
+    return len(touched)
+
+
+def _is_stored(spark: SparkSession, path: str) -> bool:
+    context = spark.sparkContext
+    place = context._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(context._jsc.hadoopConfiguration()).exists(place)
+
+
 def vector_points(enriched: DataFrame, text_limit: int = 500) -> DataFrame:
     """Vector-store rows: key, vector, and the payload with its text cut for display."""
     payload = [

@@ -40,6 +40,29 @@ def freshness(events: DataFrame, as_of: str, max_age_hours: float = 24) -> DataF
     return out.withColumn("fresh", F.coalesce(F.col("age_hours") <= max_age_hours, F.lit(False)))
 
 
+def file_freshness(spark: SparkSession, paths: dict[str, str], as_of: str, max_age_hours: float = 24) -> DataFrame:
+    """Files, bytes and age of the newest file per named path; stale when too old, absent or empty.
+
+    Only the file listing is read, no content. An absent path has no files.
+    """
+    schema = "name string, files bigint, bytes bigint, newest timestamp"
+    out = None
+    for name, path in paths.items():
+        try:
+            listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+            seen = listed.select("length", "modificationTime").agg(F.count("*").alias("files"), F.coalesce(F.sum("length"), F.lit(0)).alias("bytes"), F.max("modificationTime").alias("newest"))
+            part = seen.select(F.lit(name).alias("name"), "files", "bytes", "newest")
+        except AnalysisException as absent:
+            if absent.getCondition() != "PATH_NOT_FOUND":
+                raise
+            part = spark.createDataFrame([(name, 0, 0, None)], schema)
+        out = part if out is None else out.unionByName(part)
+    if out is None:
+        out = spark.createDataFrame([], schema)
+    age = (F.unix_micros(F.to_timestamp(F.lit(as_of))) - F.unix_micros("newest")) / F.lit(3_600_000_000.0)
+    return out.withColumn("age_hours", age).withColumn("fresh", F.coalesce(age <= max_age_hours, F.lit(False)) & (F.col("bytes") > 0))
+
+
 def escalation(fraud: DataFrame, threshold: int = 10) -> DataFrame:
     """Whether enough high-risk sellers were found to call somebody."""
     n = fraud.agg(F.count_if(F.col("fraud_risk_level") == "HIGH").alias("high_risk_count"))

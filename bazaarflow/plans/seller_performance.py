@@ -2,7 +2,8 @@
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions.numeric import money_sum, percent, ratio, round_half_up
+from ..functions.numeric import percent, ratio, round_half_up
+from ..operators.aggregates import totals_with_distincts
 from ..operators.ordered import DEFAULT, SkewPolicy
 from ..operators.ranks import global_dense_rank, global_percent_rank
 from ..session import materialize
@@ -22,18 +23,16 @@ TIERS = {"PLATINUM": 0.8, "GOLD": 0.6, "SILVER": 0.4}
 
 def seller_metrics(orders: DataFrame) -> DataFrame:
     def tier(name: str):
-        return F.count_if(F.col("city_tier") == name)
-
-    base = orders.groupBy("seller_id").agg(
-        money_sum("amount_inr").alias("total_revenue"),
-        F.count("order_id").alias("total_orders"),
-        F.count_distinct("customer_id").alias("unique_customers"),
-        F.count_distinct("city").alias("cities_reached"),
-        F.count_distinct("category").alias("categories_sold"),
-        F.count_distinct("order_date").alias("active_days"),
-        tier("tier2").alias("tier2_orders"),
-        tier("tier3").alias("tier3_orders"),
-    )
+        return F.when(F.col("city_tier") == name, 1).otherwise(0)
+
+    sums = {
+        "total_revenue": F.col("amount_inr"),
+        "total_orders": F.when(F.col("order_id").isNotNull(), 1).otherwise(0),
+        "tier2_orders": tier("tier2"),
+        "tier3_orders": tier("tier3"),
+    }
+    distinct = {"unique_customers": "customer_id", "cities_reached": "city", "categories_sold": "category", "active_days": "order_date"}
+    base = totals_with_distincts(orders, ["seller_id"], sums, distinct).withColumn("total_revenue", F.col("total_revenue").cast("double"))
     outer = F.col("tier2_orders") + F.col("tier3_orders")
     return (
         base.withColumn("avg_order_value", ratio("total_revenue", "total_orders"))

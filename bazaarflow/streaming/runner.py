@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 Handler = Callable[[DataFrame, int], None]
@@ -25,6 +25,17 @@ def run_bounded(
     return _drain(stream.sparkSession, writer, timeout)
 
 
+def run_counted(
+    stream: DataFrame, numbers: list[Column], path: str, checkpoint: str, timeout: int | None = None
+) -> tuple[DataFrame, dict[str, int]]:
+    """As ``run_to_files``, and the sums of the aggregates ``numbers`` over the batches of this run, out of the writes themselves."""
+    reports: list[dict] = []
+    writer = stream.observe("counters", *numbers).writeStream.format("parquet").outputMode("append").option("path", path)
+    progress = _drain(stream.sparkSession, writer.option("checkpointLocation", checkpoint), timeout, reports)
+    seen = [r["counters"].asDict() for r in reports if "counters" in r]
+    return progress, {name: sum(r[name] or 0 for r in seen) for name in (seen[0] if seen else {})}
+
+
 def run_to_files(stream: DataFrame, path: str, checkpoint: str, timeout: int | None = None) -> DataFrame:
     """Append a stream to parquet files until the input is drained."""
     writer = stream.writeStream.format("parquet").outputMode("append").option("path", path)
@@ -42,17 +53,20 @@ def to_console(stream: DataFrame, checkpoint: str, timeout: int | None = None) -
 KEPT_REPORTS = "spark.sql.streaming.numRecentProgressUpdates"
 
 
-def _drain(spark: SparkSession, writer: DataStreamWriter, timeout: int | None) -> DataFrame:
-    """A bounded run with the report of every batch; the session's own setting is put back after it."""
+def _drain(spark: SparkSession, writer: DataStreamWriter, timeout: int | None, observed: list[dict] | None = None) -> DataFrame:
+    """A bounded run with the report of every batch; the session's own setting is put back after it.
+
+    ``observed`` gets the observed aggregates of the batches.
+    """
     before = spark.conf.get(KEPT_REPORTS)
     spark.conf.set(KEPT_REPORTS, str(2**31 - 1))
     try:
-        return _finish(spark, writer.trigger(availableNow=True).start(), timeout)
+        return _finish(spark, writer.trigger(availableNow=True).start(), timeout, observed)
     finally:
         spark.conf.set(KEPT_REPORTS, before)
 
 
-def _finish(spark: SparkSession, query: StreamingQuery, timeout: int | None) -> DataFrame:
+def _finish(spark: SparkSession, query: StreamingQuery, timeout: int | None, observed: list[dict] | None = None) -> DataFrame:
     """Wait for a run; one that outlives its timeout is stopped and goes on from its checkpoint next time."""
     drained = True
     try:
@@ -62,6 +76,8 @@ def _finish(spark: SparkSession, query: StreamingQuery, timeout: int | None) ->
         query.stop()
     if query.exception() is not None:
         raise query.exception()
+    if observed is not None:
+        observed.extend(p["observedMetrics"] for p in query.recentProgress)
     progress = [
         (int(p["batchId"]), int(p["numInputRows"]), float(p.get("processedRowsPerSecond") or 0.0), drained)
         for p in query.recentProgress

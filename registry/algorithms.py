@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from bazaarflow import bindings as B
 from bazaarflow.operators import graph as G, series as Se
+from bazaarflow.session import scratch_path
 
 from .base import big, query, using
 
@@ -92,6 +93,21 @@ def g5(spark, root):
     return Se.position_of(B.hourly_series(spark, root), "series", "pos", "n", 7)
 
 
+@query("g5_sorted_position", using("hourly_series", "select series, coalesce(min(pos) filter (n = 7), -1) as position from hourly_series group by 1"))
+def g5_sorted(spark, root):
+    """On series stored by value, with small row groups."""
+    path = scratch_path(spark, "series")
+    Se.store_sorted(B.hourly_series(spark, root), "series", "pos", "n", path, row_group_bytes=1 << 12)
+    return Se.position_in_sorted(spark, path, "series", "pos", "n", 7)
+
+
+@query("g3_sorted_breach", using("hourly_series", "select series, coalesce(min(pos) filter (n > 8), -1) as first_breach from hourly_series group by 1"))
+def g3_sorted(spark, root):
+    path = scratch_path(spark, "series")
+    Se.store_sorted(B.hourly_series(spark, root), "series", "pos", "n", path, row_group_bytes=1 << 12)
+    return Se.breach_in_sorted(spark, path, "series", "pos", "n", 8)
+
+
 PAIRS = """select i, j, cast(a_i as double) as amount_i, cast(a_j as double) as amount_j from (
   select x.o_orderkey as i, y.o_orderkey as j, x.a as a_i, y.a as a_j, row_number() over (order by y.o_orderkey,
     x.o_orderkey desc) as rn from (select *, cast(o_totalprice as decimal(18,2)) as a from orders) x

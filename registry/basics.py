@@ -14,6 +14,8 @@ from bazaarflow.plans.cohort_retention import customer_weeks
 from bazaarflow.plans.fraud_patterns import is_off_hours, is_round, risk_level
 from bazaarflow.plans.seller_performance import seller_tier
 
+from bazaarflow.sources import warehouse as Wh
+
 from .base import big, day, div, pct, query, rnd, using
 from .marts import A10, M2_FIRST
 
@@ -273,6 +275,40 @@ def a6(spark, root):
     return A.counters(B.orders_placed(spark, root), ["category", "city", "payment_method", "city_tier"])
 
 
+@query(
+    "scalar_map",
+    using(
+        "orders_placed",
+        f"""select dimension, concat('{{', string_agg(concat('"', value, '":', orders), ',' order by value), '}}') as orders_by_value,
+      count(*) as n_values, max(orders) as most, max(case when value in ('tier1', 'C1') then orders end) as known
+      from ({A6}) t group by dimension""",
+    ),
+)
+def scalar_map(spark, root):
+    """Distributions as maps, looked up, and stored as JSON."""
+    maps = A.distributions(A.counters(B.orders_placed(spark, root), ["category", "city", "payment_method", "city_tier"]))
+    by = F.col("orders_by_value")
+    known = F.coalesce(F.try_element_at(by, F.lit("tier1")), F.try_element_at(by, F.lit("C1")))
+    looked = maps.select("dimension", by, F.size(by).cast("bigint").alias("n_values"), F.array_max(F.map_values(by)).alias("most"), known.alias("known"))
+    return Wh.stringify_nested(looked)
+
+
+@query(
+    "a2_daily_sketches",
+    using(
+        "orders_fact",
+        "select category, true as customers_near, true as dates_near from orders_fact group by 1",
+    ),
+)
+def a2_sketches(spark, root):
+    """Sketches per day and category, merged over the days, lie within four standard errors of the exact counts."""
+    orders, cols = B.orders_fact(spark, root), ["customer_id", "order_date"]
+    merged = A.sketched_counts(A.distinct_sketches(orders, ["order_date", "category"], cols), ["category"], cols)
+    exact = A.distinct_counts(orders, ["category"], cols).withColumnsRenamed({f"distinct_{c}": f"exact_{c}" for c in cols})
+    near = lambda c: F.abs(F.col(f"distinct_{c}") - F.col(f"exact_{c}")) <= F.greatest(F.lit(1.0), F.col(f"exact_{c}") * 4 * 1.04 / 64)
+    return merged.join(exact, "category").select("category", near("customer_id").alias("customers_near"), near("order_date").alias("dates_near"))
+
+
 @query(
     "a7_shares",
     using(

@@ -5,7 +5,9 @@ from pyspark.sql import functions as F
 from bazaarflow import bindings as B
 from bazaarflow.functions.dates import from_micros, micros
 from bazaarflow.operators import alerts as Al, stock as St, topk, windows as Wn
+from bazaarflow.operators.counters import write_counted
 from bazaarflow.plans.dashboard import live_dashboard
+from bazaarflow.session import scratch_path
 
 from .base import big, dbl, div, pct, query, rnd, stamp, using
 
@@ -200,8 +202,9 @@ def k8(spark, root):
     ),
 )
 def a13_stock(spark, root):
-    decided = decisions(spark, root)
-    return St.stock_stats(St.allocations(decided), St.final_state(decided, B.stock_seed(spark, root)))
+    """The decisions are written once; their counters come out of that write, the state is read from it."""
+    decided, counters = write_counted(decisions(spark, root), scratch_path(spark, "decisions"), St.stock_numbers())
+    return St.stock_stats(counters, St.final_state(decided, B.stock_seed(spark, root)))
 
 
 @query(

@@ -11,6 +11,7 @@ from bazaarflow.plans.category_trends import category_trends, weekly_totals
 from bazaarflow.plans.cohort_retention import cohort_retention
 from bazaarflow.plans.daily_revenue import daily_revenue
 from bazaarflow.plans.seller_performance import seller_performance
+from bazaarflow.session import scratch_path
 
 from .base import big, day, div, query, rnd, stamp, using
 from .marts import M1, M2_FIRST, M3_SQL, M4_FIXTURE, M5_SQL, fraud_fixture
@@ -356,6 +357,18 @@ def q7(spark, root):
     return health.freshness(B.events_fact(spark, root), "2024-01-31 00:00:00")
 
 
+@query(
+    "q7_file_freshness",
+    """select name, name <> 'missing' as found, name in ('orders', 'events') and late = 'no' as fresh, late
+      from (select unnest(['orders', 'events', 'missing']) as name) t, (select unnest(['yes', 'no']) as late) u""",
+)
+def q7_files(spark, root):
+    """File times long before one point in time, and all after another."""
+    paths = {"orders": f"{root}/orders.parquet", "events": f"{root}/events.parquet", "missing": scratch_path(spark, "missing")}
+    found = [health.file_freshness(spark, paths, as_of).withColumn("late", F.lit(late)) for as_of, late in (("2200-01-01", "yes"), ("1970-01-01", "no"))]
+    return found[0].unionByName(found[1]).select("name", (F.col("files") > 0).alias("found"), "fresh", "late")
+
+
 @query("q9_escalation", using("orders_fact", ESCALATION, also=M4_FIXTURE))
 def q9(spark, root):
     return health.escalation(fraud_fixture(spark, root))

@@ -6,6 +6,9 @@ from bazaarflow import bindings as B
 from bazaarflow.functions.buckets import sentiment_band
 from bazaarflow.functions.text import language_hint, strip_fence
 from bazaarflow.operators import reviews as R, search as S, upsert as U
+from bazaarflow.operators.counters import as_row, write_counted
+from bazaarflow.session import scratch_path
+from bazaarflow.streaming.runner import run_counted
 
 from .base import big, day, dbl, query, rnd, stamp, using
 
@@ -148,19 +151,33 @@ def v4_dead(spark, root):
     )
 
 
-@query(
-    "a13_enrichment_counters",
-    using(
-        "model_responses",
-        """select count(*) as processed, count(*) filter (reasons <> 'invalid json') as llm_success,
+ENRICHMENT_NUMBERS = using(
+    "model_responses",
+    """select count(*) as processed, count(*) filter (reasons <> 'invalid json') as llm_success,
       count(*) filter (reasons = 'invalid json') as llm_failed, count(*) filter (reasons = '') as validation_passed,
       count(*) filter (reasons not in ('', 'invalid json')) as validation_failed,
       count(*) filter (reasons <> '') as dlq_count from checked""",
-        also=CHECKED,
-    ),
+    also=CHECKED,
 )
+COUNTED = "processed bigint, llm_success bigint, llm_failed bigint, validation_passed bigint, validation_failed bigint, dlq_count bigint"
+
+
+@query("a13_enrichment_counters", ENRICHMENT_NUMBERS)
 def a13_enrichment(spark, root):
-    return R.enrichment_counters(R.enrich(B.model_responses(spark, root)))
+    """Out of the write of the enriched reviews."""
+    rows = R.enrich(B.model_responses(spark, root))
+    return as_row(spark, write_counted(rows, scratch_path(spark, "enriched"), R.enrichment_numbers())[1], COUNTED)
+
+
+@query("a13_stream_counters", ENRICHMENT_NUMBERS)
+def a13_stream(spark, root):
+    """The same out of the batches of a stream."""
+    source, out = scratch_path(spark, "responses"), scratch_path(spark, "enriched")
+    responses = B.model_responses(spark, root)
+    responses.repartition(4).write.parquet(source)
+    stream = spark.readStream.schema(responses.schema).option("maxFilesPerTrigger", 2).parquet(source)
+    counters = run_counted(R.enrich(stream), R.enrichment_numbers(), out, scratch_path(spark, "enriched-checkpoint"))[1]
+    return as_row(spark, counters, COUNTED)
 
 
 @query(
@@ -249,7 +266,8 @@ def v7(spark, root):
     ),
 )
 def a13_judge(spark, root):
-    return R.judge_counters(verdicts(spark, root))
+    counters = write_counted(verdicts(spark, root), scratch_path(spark, "verdicts"), R.judge_numbers())[1]
+    return as_row(spark, counters, "judged bigint, passed bigint, failed bigint")
 
 
 SUMMARY = f"""select sentiment, count(*) as count,
@@ -463,6 +481,30 @@ def s13(spark, root):
     return U.upsert(base, delta, ["review_id"], "version")
 
 
+@query(
+    "s13_persisted",
+    using(
+        "reviews_fact",
+        """select review_id, review_text, case when l.doc_id is null and r.doc_id % 10 <> 3 then 0 else rating end as rating,
+      case when r.doc_id % 10 = 3 then 'SECOND' when l.doc_id is null then 'NONE' else sentiment end as sentiment,
+      case when r.doc_id % 10 = 3 then 3 when l.doc_id is null then 0 else 2 end::bigint as version
+      from reviews_fact r left join labels l on r.doc_id = l.doc_id
+      union all select 'REV-new', 'new', 5, 'SECOND', 3""",
+    ),
+)
+def s13_persisted(spark, root):
+    """A stored table after its first rows and two deltas."""
+    path = scratch_path(spark, "reviews-table")
+    base, delta = review_versions(spark, root)
+    reviews = B.reviews_fact(spark, root).filter("doc_id % 10 = 3")
+    second = reviews.select("review_id", "review_text", "rating", F.lit("SECOND").alias("sentiment"), F.lit(3).alias("version"))
+    added = spark.range(1).select(F.lit("REV-new").alias("review_id"), F.lit("new").alias("review_text"), F.lit(5).cast(second.schema["rating"].dataType).alias("rating"), F.lit("SECOND").alias("sentiment"), F.lit(3).alias("version"))
+    for rows in (base, delta, second.unionByName(added)):
+        rows = rows.withColumn("rating", F.col("rating").cast(second.schema["rating"].dataType))
+        U.upsert_into(path, rows, ["review_id"], "version", buckets=16)
+    return U.read_table(spark, path)
+
+
 @query(
     "s14_upsert_vectors",
     using(
