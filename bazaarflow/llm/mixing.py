@@ -3,14 +3,18 @@
 Every source gets a target number of words. Inside a source, a document's expected number of copies grows with its
 size class and is at most ``most_copies``; the whole part of it is taken for certain. The rest is a fixed-size sample
 with unequal probabilities: documents are ranked by their random odds divided by their inclusion odds, and taken in that
-order until the words left are used up. The random number is a hash of the document, so reruns agree.
+order while they fit into the words left. A document that does not fit is passed over, and the order goes on with those that do,
+until less than ``NEAR`` of the target is missing or nothing fits. Where what is left is too long then, documents that are short enough get
+one copy more in the same way, never above the bound. The random number is a hash of the document, so reruns agree.
 
-The cut in the ranking is found without sorting a source: words are summed by narrow bins of the rank, then only the bin
-that holds the cut is ranked, about a thousand documents for any size of source. The sample stops before it passes its size;
-the one document left whose words come nearest to what is missing is added if that brings the source nearer to its target.
+A cut in the ranking is found without sorting a source: words are summed by narrow bins of the rank, then only the bin
+that holds the cut is ranked, about a thousand documents for any size of source. What is passed over at one cut leaves less than one
+document missing, so a few cuts do, and after the first one only sources take part of which one document is more than ``NEAR``.
+At the end the one document left whose words come nearest to what is missing is added if that brings the source nearer.
 
 Defined cases: a null or empty text has size 0 and is never taken; null is a source of its own, the last one; documents
-that agree in id and text share one random number; extra columns are ignored.
+that agree in id and text share one random number and are taken together or not; columns named as the output's are replaced,
+other columns are kept.
 """
 
 from __future__ import annotations
@@ -23,6 +27,9 @@ from .frames import row_key, stored
 WORD = "[^\\x20\\x09-\\x0D]+"
 WEIGHTS = (5, 2, 1)
 SOURCE = ["s0", "s1"]
+OUTPUT = ["size", "source_size", "target", "copies"]
+# Share of a target that may be missing before the search for documents that fit ends.
+NEAR = 0.001
 
 
 def word_count(text: Column) -> Column:
@@ -35,11 +42,11 @@ def lean(size: Column) -> Column:
 
 
 def _ranked(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
-    """Columns s0, s1 (the source as a key), size, lean and the random odds of each row, beside ``docs``."""
+    """Columns s0, s1 (the source as a key), size, lean and the random odds of each row, and the row itself as a struct."""
     source = F.col(f"`{source_col}`").cast("string")
     u = (F.shiftrightunsigned(F.xxhash64(F.lit(3), *row_key(id_col, text_col)), 11) + 0.5) / float(1 << 53)
     out = docs.select(
-        "*",
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns if c not in OUTPUT]).alias("row"),
         source.isNull().cast("int").alias("s0"),
         F.coalesce(source, F.lit("")).alias("s1"),
         word_count(F.col(f"`{text_col}`").cast("string")).alias("size"),
@@ -94,38 +101,90 @@ def plan(ranked: DataFrame, share: float, most: float) -> DataFrame:
     # Where no rate fits, every document is taken ``most`` times.
     rates = goals.join(rates, SOURCE, "left").withColumn("rate", F.coalesce("rate", F.lit(float(most))))
     rates = stored(rates.withColumn("bins", F.ceil(F.col("n_docs") / 1000)), "rates")
-    drawn = rank(ranked.select(*SOURCE, "size", "odds", "lean").join(rates, SOURCE), most)
-    place = F.least(F.floor(F.col("rank") / (1 + F.col("rank")) * F.col("bins")), F.col("bins") - 1)
-    drawn = drawn.filter(F.col("rank").isNotNull()).withColumn("bin", place)
     # What is left for the sample, from the same sums for any order of the rows: whole copies are whole words.
-    bins = drawn.groupBy(*SOURCE, "bin").agg(F.sum("size").alias("words"))
     whole = ranked.select(*SOURCE, "size", "lean").join(rates.select(*SOURCE, "rate"), SOURCE)
     whole = whole.groupBy(*SOURCE).agg(F.sum(F.floor(_copies(F.col("rate"), most)) * F.col("size")).alias("whole"))
-    rest = stored(rates.join(whole, SOURCE).withColumn("rest", F.col("target") - F.col("whole")), "rests")
-    upto = W.partitionBy(*SOURCE).orderBy("bin")
-    bins = bins.withColumn("upto", F.sum("words").over(upto)).join(rest.select(*SOURCE, "rest"), SOURCE)
-    edge = bins.filter((F.col("upto") >= F.col("rest")) & (F.col("upto") - F.col("words") < F.col("rest")))
-    edge = edge.select(*SOURCE, "bin", "rest", (F.col("upto") - F.col("words")).alias("base"))
-    near = drawn.select(*SOURCE, "bin", "rank", "size").join(edge, [*SOURCE, "bin"])
-    upto = W.partitionBy(*SOURCE).orderBy("rank").rangeBetween(W.unboundedPreceding, 0)
-    near = near.withColumn("upto", F.col("base") + F.sum("size").over(upto))
-    taken = near.filter(F.col("upto") <= F.col("rest"))
-    first = edge.select(*SOURCE, F.col("bin").alias("edge_bin"), "base")
-    cuts = taken.groupBy(*SOURCE).agg(F.max("rank").alias("cut"), F.max("upto").alias("upto"))
-    cuts = rest.join(first, SOURCE, "left").join(cuts, SOURCE, "left")
-    cuts = stored(cuts.withColumn("missing", F.col("rest") - F.coalesce("upto", "base", F.lit(0))).drop("upto", "base"), "cuts")
-    spare = rank(ranked.join(cuts.drop("n_docs"), SOURCE), most).filter(F.col("rank").isNotNull() & ~sampled())
+    rates = stored(rates.join(whole, SOURCE).withColumn("missing", F.col("target") - F.col("whole")), "rests")
+    rated = rank(ranked.join(rates.select(*SOURCE, "rate", "bins"), SOURCE), most)
+    first = rated.filter("rank is not null and size > 0").select(*SOURCE, "size", "rank", "bins")
+    plan_ = _with_steps(rates, "steps", first, rates.select(*SOURCE, "target", "missing"))
+    # Where all that is left is too long, another copy of documents that are short enough, in a random order.
+    again = _copied(rank(ranked.join(plan_.filter(F.col("missing") > NEAR * F.col("target")), SOURCE), most), most)
+    again = again.filter((F.col("copies") < most) & (F.col("size") > 0)).select(*SOURCE, "size", F.col("odds").alias("rank"), "bins")
+    plan_ = _with_steps(plan_, "more", again, plan_.select(*SOURCE, "target", "missing"))
+    # The one copy more that brings a source nearest.
+    spare = _copied(rank(ranked.join(plan_.filter("missing > 0"), SOURCE), most), most).filter(F.col("copies") < most)
     error = F.abs(F.col("size") - F.col("missing"))
-    spare = spare.filter(error < F.col("missing")).groupBy(*SOURCE).agg(F.min(F.struct(error.alias("error"), "rank")).alias("last"))
-    return stored(cuts.join(spare.select(*SOURCE, F.col("last.rank").alias("last")), SOURCE, "left"), "mix-plan")
+    spare = spare.filter(error < F.col("missing")).groupBy(*SOURCE, "odds").agg(F.min(error).alias("error"), F.count("*").alias("n"))
+    spare = spare.filter("n = 1").groupBy(*SOURCE).agg(F.min_by("odds", F.struct("error", "odds")).alias("last"))
+    return stored(plan_.join(spare, SOURCE, "left"), "mix-plan")
 
 
-def sampled() -> Column:
-    """Whether a document is in the sample: below the bin of the cut, or in it and not after the cut."""
+def _with_steps(plan_: DataFrame, name: str, rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``plan_`` with the steps at which ``rows`` (size, rank) are taken in the order of rank, and what is missing after them."""
     place = F.least(F.floor(F.col("rank") / (1 + F.col("rank")) * F.col("bins")), F.col("bins") - 1)
-    at = (place == F.col("edge_bin")) & F.coalesce(F.col("rank") <= F.col("cut"), F.lit(False))
-    # Without a bin of the cut all of the ranking fits.
-    return F.when(F.col("rest") <= 0, F.lit(False)).when(F.col("edge_bin").isNull(), F.lit(True)).otherwise((place < F.col("edge_bin")) | at)
+    rows = rows.withColumn("bin", place).drop("bins")
+    open_ = wanted.filter(F.col("missing") > NEAR * F.col("target")).withColumn("after", F.lit(0.0))
+    steps = done = None
+    while not open_.isEmpty():
+        now = stored(open_, "mix-open")
+        fits = rows.join(now, SOURCE).filter("rank > after and size <= missing").select(*SOURCE, "size", "rank", "bin")
+        # After the first cut a few documents of few sources are left.
+        rows = stored(fits, "mix-left")
+        cut = stored(now.join(_cut(rows, now), SOURCE, "left"), "mix-cut")
+        step = cut.filter("upto is not null").select(*SOURCE, F.struct("after", "upto", F.col("missing").alias("most")).alias("step"))
+        steps = step if steps is None else steps.unionByName(step)
+        left = cut.select(*SOURCE, "target", (F.col("missing") - F.coalesce("got", F.lit(0))).alias("missing"), "misfit")
+        goes_on = F.col("misfit").isNotNull() & (F.col("missing") > NEAR * F.col("target"))
+        ended = left.filter(~goes_on).select(*SOURCE, F.col("missing").alias("still"))
+        done = ended if done is None else done.unionByName(ended)
+        open_ = left.filter(goes_on).select(*SOURCE, "target", "missing", F.col("misfit").alias("after"))
+    if steps is None:
+        return plan_.withColumn(name, F.lit(None).cast("array<struct<after:double,upto:double,most:double>>"))
+    found = plan_.join(steps.groupBy(*SOURCE).agg(F.collect_list("step").alias(name)), SOURCE, "left").join(done, SOURCE, "left")
+    return stored(found.withColumn("missing", F.coalesce("still", "missing")).drop("still"), "mix-steps")
+
+
+def _cut(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Per source the rank up to which ``rows`` fit into ``missing``, their words, and the rank of the first that does not fit.
+
+    Rows of equal rank count as one.
+    """
+    bins = rows.groupBy(*SOURCE, "bin").agg(F.sum("size").alias("words"), F.max("rank").alias("top"))
+    sofar = W.partitionBy(*SOURCE).orderBy("bin")
+    before = sofar.rowsBetween(W.unboundedPreceding, -1)
+    bins = bins.withColumns(
+        {"upto": F.sum("words").over(sofar), "base": F.coalesce(F.sum("words").over(before), F.lit(0)), "below": F.max("top").over(before)}
+    ).join(wanted.select(*SOURCE, "missing"), SOURCE)
+    edge = bins.filter((F.col("upto") > F.col("missing")) & (F.col("base") <= F.col("missing")))
+    whole = bins.groupBy(*SOURCE).agg(F.max("upto").alias("all"), F.max("top").alias("end"))
+    near = rows.join(edge.select(*SOURCE, "bin", "missing", "base"), [*SOURCE, "bin"])
+    ranked = W.partitionBy(*SOURCE).orderBy("rank").rangeBetween(W.unboundedPreceding, 0)
+    near = near.withColumn("sum", F.col("base") + F.sum("size").over(ranked))
+    fits = F.col("sum") <= F.col("missing")
+    near = near.groupBy(*SOURCE).agg(
+        F.max(F.when(fits, F.col("rank"))).alias("in_bin"), F.max(F.when(fits, F.col("sum"))).alias("sum"), F.min(F.when(~fits, F.col("rank"))).alias("misfit")
+    )
+    out = whole.join(edge.select(*SOURCE, "base", "below"), SOURCE, "left").join(near, SOURCE, "left")
+    upto = F.when(F.col("misfit").isNull(), F.col("end")).otherwise(F.coalesce("in_bin", "below"))
+    got = F.when(F.col("misfit").isNull(), F.col("all")).otherwise(F.coalesce("sum", "base"))
+    return out.select(*SOURCE, upto.alias("upto"), got.alias("got"), "misfit")
+
+
+def _taken(steps: str, order: str) -> Column:
+    """Whether a document is taken at one of the steps of its source, each for documents up to what was missing."""
+    at = lambda s: (F.col(order) > s["after"]) & (F.col(order) <= s["upto"]) & (F.col("size") <= s["most"])
+    return F.coalesce(F.exists(steps, at) & F.col(order).isNotNull(), F.lit(False)) & (F.col("size") > 0)
+
+
+def _copied(rated: DataFrame, most: float) -> DataFrame:
+    """Rows of ``rank`` with ``copies`` so far: whole ones, the sample's, and those of the steps that ``rated`` already has."""
+    out = rated.withColumn("copies", F.col("whole") + F.when(_taken("steps", "rank"), 1).otherwise(0))
+    if "more" in rated.columns:
+        out = out.withColumn("copies", F.col("copies") + F.when((F.col("copies") < most) & _taken("more", "odds"), 1).otherwise(0))
+    if "last" in rated.columns:
+        out = out.withColumn("copies", F.col("copies") + F.when((F.col("copies") < most) & F.coalesce(F.col("odds") == F.col("last"), F.lit(False)), 1).otherwise(0))
+    return out
 
 
 def rank(rated: DataFrame, most: float) -> DataFrame:
@@ -146,10 +205,7 @@ def mixed(
 ) -> DataFrame:
     """``docs`` with size, source_size, target and copies (0 to ``most_copies``) of each row."""
     ranked = _ranked(docs, id_col, text_col, source_col)
-    lean_rows = stored(ranked.select(*SOURCE, "size", "odds", "lean"), "sizes")
-    sources = plan(lean_rows, share, most_copies)
-    drawn = rank(ranked.join(sources.drop("n_docs"), SOURCE), most_copies)
-    extra = F.col("rank").isNotNull() & (sampled() | F.coalesce(F.col("rank") == F.col("last"), F.lit(False)))
-    copies = F.col("whole") + F.when(extra, 1).otherwise(0)
-    own = [F.col(f"`{c}`") for c in docs.columns]
-    return drawn.select(*own, "size", "source_size", "target", copies.cast("int").alias("copies"))
+    sources = plan(stored(ranked.select(*SOURCE, "size", "odds", "lean"), "sizes"), share, most_copies)
+    found = _copied(rank(ranked.join(sources.select(*SOURCE, "source_size", "target", "rate", "steps", "more", "last"), SOURCE), most_copies), most_copies)
+    copies = F.when(F.col("size") > 0, F.col("copies")).otherwise(0)
+    return found.select("row.*", "size", "source_size", "target", copies.cast("int").alias("copies"))

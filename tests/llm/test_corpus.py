@@ -419,9 +419,9 @@ def test_large_source_meets_its_target(spark):
 def test_mixing_edges(crowded, edges):
     got = mixing.mixed(edges).collect()
     assert len(got) == len(EDGES)
-    assert all(r.copies == 0 or r.size > 0 or r.size == 0 for r in got)
+    assert all(0 <= r.copies <= 2 and (r.copies == 0 or r.size > 0) for r in got)
     assert mixing.mixed(edges.limit(0)).count() == 0
-    assert mixing.mixed(crowded.drop("size", "rank", "source_size")).count() == len(EDGES)
+    assert sorted(r.copies for r in mixing.mixed(crowded).collect()) == sorted(r.copies for r in got)
 
 
 # 8 Jaccard join
