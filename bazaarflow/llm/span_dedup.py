@@ -27,6 +27,7 @@ from .shingles import U, code_points, lower_bytes, mix, placed_words
 SENTENCES, WORDS, LONG = 3, 10, 40
 _BASE = U(0x9E3779B97F4A7C15)
 _INVERSE = U(pow(int(_BASE), -1, 1 << 64))
+_OTHER = U(0xD6E8FEB86659FD93)
 
 
 # Marks that end a sentence without a blank, and blanks beyond ASCII.
@@ -59,13 +60,22 @@ def byte_breaks(raw: np.ndarray) -> np.ndarray:
     return out
 
 
-def spans(text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """First piece, last piece and hash of each span of a text."""
+def run_hashes(words: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hashes of runs of words: sums of word hashes times powers of an odd number, so any run follows from running sums."""
+    power, down = np.full(len(words) + 1, _BASE, dtype=U), np.full(len(words) + 1, _INVERSE, dtype=U)
+    power[0] = down[0] = 1
+    power, down = np.multiply.accumulate(power), np.multiply.accumulate(down)
+    sums = np.concatenate([[U(0)], np.cumsum(words * power[:-1], dtype=U)])
+    return mix((sums[end] - sums[start]) * down[start] + (end - start).astype(U)).view(np.int64)
+
+
+def spans(text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """First piece, last piece and two hashes, 128 bits together, of each span of a text."""
     none = np.empty(0, dtype=np.int64)
     raw = lower_bytes(text)
     starts, words = placed_words(raw)
     if len(words) < WORDS:
-        return none, none, none
+        return none, none, none, none
     piece, counts = np.unique(np.cumsum(byte_breaks(raw))[starts], return_counts=True)
     n = len(piece)
     upto = np.concatenate([[0], np.cumsum(counts)])
@@ -78,15 +88,10 @@ def spans(text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     ahead, back = end <= n, start >= 0
     runs = np.unique(np.concatenate([first[ahead] * (n + 1) + end[ahead], start[back] * (n + 1) + first[back] + 1]))
     if not len(runs):
-        return none, none, none
+        return none, none, none, none
     a, b = runs // (n + 1), runs % (n + 1)
-    # Sums of word hashes times powers of an odd number give the hash of any run.
-    power, down = np.full(len(words) + 1, _BASE, dtype=U), np.full(len(words) + 1, _INVERSE, dtype=U)
-    power[0] = down[0] = 1
-    power, down = np.multiply.accumulate(power), np.multiply.accumulate(down)
-    sums = np.concatenate([[U(0)], np.cumsum(words * power[:-1], dtype=U)])
-    hashes = mix((sums[upto[b]] - sums[upto[a]]) * down[upto[a]] + (upto[b] - upto[a]).astype(U))
-    return piece[a], piece[b - 1], hashes.view(np.int64)
+    hashes = [run_hashes(w, upto[a], upto[b]) for w in (words, mix(words ^ _OTHER))]
+    return piece[a], piece[b - 1], *hashes
 
 
 def _span_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -99,10 +104,10 @@ def _span_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 found.append(own)
         if found:
             rows = pa.array(np.concatenate(at))
-            first, last, h = (np.concatenate([f[k] for f in found]) for k in range(3))
+            first, last, h, g = (np.concatenate([f[k] for f in found]) for k in range(4))
             yield pa.RecordBatch.from_arrays(
-                [*[b.column(k).take(rows) for k in range(3)], pa.array(first, pa.int32()), pa.array(last, pa.int32()), pa.array(h, pa.int64())],
-                names=["doc_id", "k1", "k2", "first", "last", "h"],
+                [*[b.column(k).take(rows) for k in range(3)], pa.array(first, pa.int32()), pa.array(last, pa.int32()), pa.array(h, pa.int64()), pa.array(g, pa.int64())],
+                names=["doc_id", "k1", "k2", "first", "last", "h", "g"],
             )
 
 
@@ -110,14 +115,15 @@ def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     """k1, k2 and the runs (first and last piece) of each document that repeat an earlier place."""
     rows = keyed(docs, id_col, text_col)
     kind = rows.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, k1 bigint, k2 bigint, first int, last int, h bigint"
+    schema = f"doc_id {kind}, k1 bigint, k2 bigint, first int, last int, h bigint, g bigint"
     found = stored(rows.select("doc_id", "k1", "k2", "text").mapInArrow(_span_rows, schema), "spans")
     twice = found.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1").select("h")
     # As tables of their own, the counted sides let the skew join split a span that many documents share.
     places = stored(found.join(stored(twice, "twice"), "h"), "places")
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "k1", "k2", "first")
-    first = places.groupBy("h").agg(F.min(order).alias("kept"))
-    later = places.join(stored(first, "first-places"), "h").filter(order != F.col("kept"))
+    # Spans that share one hash by chance differ in the other.
+    first = places.groupBy("h", "g").agg(F.min(order).alias("kept"))
+    later = places.join(stored(first, "first-places"), ["h", "g"]).filter(order != F.col("kept"))
     return later.groupBy("k1", "k2").agg(F.sort_array(F.collect_set(F.struct("first", "last"))).alias("runs"))
 
 
