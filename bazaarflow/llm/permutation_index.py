@@ -1,6 +1,7 @@
 """Approximate nearest neighbours with a permutation index.
 
-Every vector is represented by the order of its ``prefix`` nearest pivots. Vectors are dealt at random into blocks; a block
+Every vector is represented by the order of its ``prefix`` nearest pivots. Nearness is the inner product: a vector gets one more
+coordinate that brings all to the length of the longest, a query gets none, and then the order by angle is that by inner product. Vectors are dealt at random into blocks; a block
 holds an inverted file for each pivot with the rows that have it in their prefix and its place there. A query adds up, over
 the files of its own pivots, how much each row's footrule distance shrinks; the ``share`` of the rows of a block with the
 smallest distance is reranked by exact inner products in double precision. The best of all blocks are the answer.
@@ -41,9 +42,17 @@ def entries(vectors: DataFrame, id_col: str, vector_col: str, k: int) -> DataFra
     return few.groupBy("v").agg(F.sort_array(F.collect_list("id")).alias("ids")).withColumn("entry", F.col("ids")[0])
 
 
+def lifted(x: np.ndarray, longest: float | None) -> np.ndarray:
+    """Unit vectors with one coordinate more: what ``x`` lacks of the ``longest`` length, or none for queries."""
+    norms = np.linalg.norm(x, axis=1, keepdims=True)
+    if longest is None:
+        return np.hstack([x / norms, np.zeros_like(norms)])
+    return np.hstack([x / longest, np.sqrt(np.maximum(0.0, 1.0 - (norms / longest) ** 2))])
+
+
 def prefixes(x: np.ndarray, pivots: np.ndarray, length: int) -> np.ndarray:
-    """Numbers of the nearest pivots by angle, nearest first; ties go to the smaller number."""
-    near = (x / np.linalg.norm(x, axis=1, keepdims=True)) @ pivots.T
+    """Numbers of the nearest pivots by angle, nearest first; ties go to the smaller number. Both sides are unit vectors."""
+    near = x @ pivots.T
     return np.argsort(-near, axis=1, kind="stable")[:, :length].astype(np.int16)
 
 
@@ -69,15 +78,16 @@ def footrule_gain(rows: np.ndarray, queries: np.ndarray, pivots: int) -> np.ndar
 def search(vectors: DataFrame, is_query: Column, id_col="vec_id", vector_col="embedding", k=20, pivots=PIVOTS, prefix=PREFIX, share=SHARE) -> DataFrame:
     """query_id, rank, id and score: for each row with ``is_query`` (on its id) the ``k`` nearest other rows found."""
     index = stored(entries(vectors, id_col, vector_col, k), "vectors")
-    stats = index.groupBy(F.size("v").alias("dim")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "dim").first()
+    largest = F.max(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)).alias("square")
+    stats = index.groupBy(F.size("v").alias("dim")).agg(F.count("*").alias("n"), largest).orderBy(F.desc("n"), "dim").first()
     empty = vectors.sparkSession.createDataFrame([], "query_id bigint, rank int, id bigint, score double")
     if stats is None:
         return empty
     dim, n = stats["dim"], stats["n"]
     index = index.filter(F.size("v") == dim)
     sampled = index.orderBy(F.xxhash64(F.lit(7), "v"), "entry").limit(pivots).select("v").collect()
-    centres = np.array([r["v"] for r in sampled])
-    centres /= np.linalg.norm(centres, axis=1, keepdims=True)
+    longest = float(np.sqrt(stats["square"]))
+    centres = lifted(np.array([r["v"] for r in sampled]), longest)
     length, blocks = min(prefix, len(centres)), max(1, -(-n // BLOCK))
 
     ids = vectors.select(F.col(f"`{id_col}`").cast("bigint").alias("id"), F.col(f"`{vector_col}`").cast("array<double>").alias("v"))
@@ -86,16 +96,19 @@ def search(vectors: DataFrame, is_query: Column, id_col="vec_id", vector_col="em
     names = asked.select("entry").distinct()
     chunks = max(1, -(-names.count() // CHUNK))
 
-    def packed(pdf: pd.DataFrame) -> pd.DataFrame:
-        x = np.stack(pdf["v"].to_numpy())
-        order = np.argsort(pdf["entry"].to_numpy())
-        row = {"names": pdf["entry"].to_numpy()[order].tobytes(), "data": x[order].tobytes(), "orders": prefixes(x[order], centres, length).tobytes()}
-        return pd.DataFrame([{"part": int(pdf["part"].iloc[0]), **row}])
+    def packed(upto: float | None):
+        def run(pdf: pd.DataFrame) -> pd.DataFrame:
+            order = np.argsort(pdf["entry"].to_numpy())
+            x = np.stack(pdf["v"].to_numpy())[order]
+            row = {"names": pdf["entry"].to_numpy()[order].tobytes(), "data": x.tobytes(), "orders": prefixes(lifted(x, upto), centres, length).tobytes()}
+            return pd.DataFrame([{"part": int(pdf["part"].iloc[0]), **row}])
+
+        return run
 
     kinds = "part int, names binary, data binary, orders binary"
     deal = lambda m, salt: F.pmod(F.xxhash64(F.lit(salt), "entry"), F.lit(m)).cast("int").alias("part")
-    rows = index.select("entry", "v", deal(blocks, 11)).groupBy("part").applyInPandas(packed, kinds)
-    asks = index.join(names, "entry", "left_semi").select("entry", "v", deal(chunks, 13)).groupBy("part").applyInPandas(packed, kinds)
+    rows = index.select("entry", "v", deal(blocks, 11)).groupBy("part").applyInPandas(packed(longest), kinds)
+    asks = index.join(names, "entry", "left_semi").select("entry", "v", deal(chunks, 13)).groupBy("part").applyInPandas(packed(None), kinds)
     rows = rows.select(F.col("part").alias("block"), F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))).alias("chunk"), "names", "data", "orders")
     asks = asks.select(F.col("part").alias("chunk"), *[F.col(c).alias(f"q_{c}") for c in ("names", "data", "orders")])
 
