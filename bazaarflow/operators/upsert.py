@@ -29,12 +29,14 @@ def upsert(base: DataFrame, delta: DataFrame, keys: list[str], order: str) -> Da
     return kept.unionByName(fresh)
 
 
-BUCKET = "_bucket"
+# The partition column names the number of buckets, which a table keeps for good.
+BUCKET = "_bucket_of_"
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     """A table stored by ``upsert_into``."""
-    return spark.read.parquet(path).drop(BUCKET)
+    rows = spark.read.parquet(path)
+    return rows.drop(*[c for c in rows.columns if c.startswith(BUCKET)])
 
 
 def upsert_into(path: str, delta: DataFrame, keys: list[str], order: str, buckets: int = 256) -> int:
@@ -44,20 +46,19 @@ def upsert_into(path: str, delta: DataFrame, keys: list[str], order: str, bucket
     the others stay as they are. What replaces them is complete in the shared folder before the first file is moved; until
     that commit readers see the old rows. The number of buckets is fixed with the first delta.
     """
-    spark = delta.sparkSession
-    bucket = F.pmod(F.xxhash64(F.lit(buckets), *keys), F.lit(buckets)).cast("int")
-    fresh = materialize(latest_per_key(delta, keys, order).withColumn(BUCKET, bucket))
+    spark, name = delta.sparkSession, f"{BUCKET}{buckets}"
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+    fresh = materialize(latest_per_key(delta, keys, order).withColumn(name, bucket))
     # At most ``buckets`` numbers.
-    touched = [r[0] for r in fresh.select(BUCKET).distinct().collect()]
+    touched = [r[0] for r in fresh.select(name).distinct().collect()]
     if _is_stored(spark, path):
-        stored = spark.read.schema(fresh.schema).parquet(path).filter(F.col(BUCKET).isin(touched))
-        known = stored.withColumn("_right", bucket == F.col(BUCKET))
-        if known.filter(~F.col("_right")).limit(1).count():
+        if name not in spark.read.parquet(path).columns:
             raise ValueError(f"{path} was stored with another number of buckets")
-        kept = stored.join(fresh.select(*keys, BUCKET), [*keys, BUCKET], "left_anti")
+        stored = spark.read.schema(fresh.schema).parquet(path).filter(F.col(name).isin(touched))
+        kept = stored.join(fresh.select(*keys, name), [*keys, name], "left_anti")
         fresh = materialize(kept.unionByName(fresh))
-    out = fresh.hint("rebalance", F.col(BUCKET)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    out.partitionBy(BUCKET).parquet(path)
+    out = fresh.hint("rebalance", F.col(name)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    out.partitionBy(name).parquet(path)
     return len(touched)
 
 

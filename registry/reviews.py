@@ -1,5 +1,7 @@
 """V queries, A11-A13 over reviews, S13 and S14."""
 
+import re
+
 from pyspark.sql import functions as F
 
 from bazaarflow import bindings as B
@@ -88,6 +90,21 @@ def v1(spark, root):
     return parsed.filter("is_json").drop("raw_response")
 
 
+@query(
+    "v1_all_answers",
+    using(
+        "model_responses",
+        """select a.*, m.raw_response from (select review_id, is_json, sentiment, sentiment_score, primary_category, issue_type, urgency_level,
+      key_entities, one_line_summary, requires_action, suggested_action from answers) a
+      join (select review_id, raw_response from model_responses) m using (review_id)""",
+        also=PARSED,
+    ),
+)
+def v1_all(spark, root):
+    """Broken answers too, with their text and no fields."""
+    return R.parse_answers(B.model_responses(spark, root).select("review_id", "raw_response"))
+
+
 @query(
     "v1_stripped_text",
     using("model_responses", "select review_id, js from stripped", also=PARSED),
@@ -214,6 +231,33 @@ def v5(spark, root):
     )
 
 
+def filled_sql(template, cut=None):
+    """A template with its places as columns of a query."""
+    cut, parts = cut or {}, re.split(r"\{(\w+)\}", template)
+    quoted = lambda text: "'" + text.replace("'", "''") + "'"
+    value = lambda c: f"substr({c}, 1, {cut[c]})" if c in cut else c
+    return "concat(" + ", ".join(value(p) if i % 2 else quoted(p) for i, p in enumerate(parts) if p) + ")"
+
+
+@query(
+    "v5_enrichment_prompts",
+    using("reviews_fact", f"select review_id, {filled_sql(R.ENRICH_TEMPLATE)} as prompt from reviews_fact"),
+)
+def v5_enrichment(spark, root):
+    """The prompt that the enrichment sends, of every review."""
+    return B.reviews_fact(spark, root).select("review_id", R.build_prompt(R.ENRICH_TEMPLATE).alias("prompt"))
+
+
+@query(
+    "v5_judge_prompts",
+    using("model_responses", f"select review_id, {filled_sql(R.JUDGE_TEMPLATE, {'review_text': 500})} as prompt from enriched", also=ENRICHED),
+)
+def v5_judge(spark, root):
+    """The prompt that the judge gets of every enriched review, its text cut."""
+    enriched = R.enrich(B.model_responses(spark, root))
+    return enriched.select("review_id", R.build_prompt(R.JUDGE_TEMPLATE, cut={"review_text": 500}).alias("prompt"))
+
+
 WANTED = """enrichment_success and (urgency_level = 'CRITICAL' or primary_category = 'FRAUD_SUSPICION'
   or cast('0x' || substr(md5(review_id), 1, 8) as bigint) % 100 < 20)"""
 
