@@ -340,3 +340,17 @@ def embed(
             yield pd.Series(list(vectors / norms), dtype="object")
 
     return df.withColumn(name, unit_vectors.asNondeterministic()(F.col(text)))
+
+
+def enriched_records(
+    responses: DataFrame, model: Callable[[list[str]], list[list[float]]], enriched_at: str, name: str = "model"
+) -> DataFrame:
+    """The full enriched record: valid or derived values, the vector of the text, and the time of the run.
+
+    A vector is made of valid answers only, as derived rows go to the dead letters; the time is given, so a repeated run agrees.
+    """
+    rows = enrich(responses, name)
+    shown = F.when(F.col("enrichment_success"), F.col("review_text"))
+    good = embed(rows.withColumn("_shown", F.coalesce(shown, F.lit(""))), "_shown", model).drop("_shown")
+    vector = F.when(F.col("enrichment_success"), F.col("embedding"))
+    return good.withColumns({"embedding": vector, "enriched_at": F.to_timestamp(F.lit(enriched_at))})

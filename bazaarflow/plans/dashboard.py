@@ -145,6 +145,22 @@ def live_dashboard(orders: DataFrame, as_of: str, k_sellers: int = 10, k: int =
     return snapshot(materialize(dashboard_counters(orders, as_of)), k_sellers, k)
 
 
+# Sections of the snapshot that are also shown as one map.
+DISTRIBUTIONS = ("payment_distribution", "city_tier_distribution")
+
+
+def snapshot_maps(sections: DataFrame, rows_per_second: float | None = None) -> DataFrame:
+    """One row: totals, throughput if known, and each distribution as a map from name to percent of orders."""
+
+    def of(section: str) -> F.Column:
+        entries = F.collect_list(F.when(F.col("section") == section, F.struct("name", "share_pct")))
+        return F.map_from_entries(F.array_sort(entries)).alias(section)
+
+    total = lambda name: F.max(F.when((F.col("section") == "summary") & (F.col("name") == name), F.col("value"))).alias(name)
+    row = sections.agg(total("total_orders"), total("total_revenue_inr"), *[of(d) for d in DISTRIBUTIONS])
+    return row.withColumn("orders_per_second", F.lit(rows_per_second).cast("double"))
+
+
 def dashboard_lines(sections: DataFrame) -> DataFrame:
     """One printable line per dashboard row, with a bar for shares."""
     bar = F.expr("repeat('█', cast(floor(share_pct / 3) as int))")

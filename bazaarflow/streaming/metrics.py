@@ -54,6 +54,12 @@ class LiveMetrics:
         newest = rows.select("bucket").agg(F.max("bucket")).first()[0]
         return rows.filter(F.col("bucket") >= (newest or 0) - 1).select("ts", "amount_inr")
 
+    @staticmethod
+    def throughput(progress: DataFrame) -> float | None:
+        """Rows per second over the batches of a run that had rows."""
+        taken = progress.filter("input_rows > 0 and rows_per_second > 0")
+        return taken.agg(F.try_divide(F.sum("input_rows"), F.sum(F.col("input_rows") / F.col("rows_per_second")))).first()[0]
+
     def dashboard(self) -> DataFrame:
         """Snapshot as of the newest order seen."""
         return snapshot(add_recent(self.counters.read(), self._recent()))

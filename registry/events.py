@@ -6,7 +6,7 @@ from bazaarflow import bindings as B
 from bazaarflow.functions.dates import from_micros, micros
 from bazaarflow.operators import alerts as Al, stock as St, topk, windows as Wn
 from bazaarflow.operators.counters import write_counted
-from bazaarflow.plans.dashboard import live_dashboard
+from bazaarflow.plans.dashboard import DISTRIBUTIONS, live_dashboard, snapshot_maps
 from bazaarflow.session import scratch_path
 
 from .base import big, dbl, div, pct, query, rnd, stamp, using
@@ -341,3 +341,17 @@ def dashboard_sql(as_of):
 @query("m6_live_dashboard", dashboard_sql(f"timestamp '{AS_OF}'"))
 def m6(spark, root):
     return live_dashboard(B.orders_placed(spark, root), AS_OF)
+
+
+@query(
+    "m6_snapshot_maps",
+    f"""select d.section, name, share_pct, total_orders, total_revenue_inr from ({dashboard_sql(f"timestamp '{AS_OF}'")}) d,
+      (select max(value) filter (name = 'total_orders') as total_orders, max(value) filter (name = 'total_revenue_inr') as total_revenue_inr
+       from ({dashboard_sql(f"timestamp '{AS_OF}'")}) t where section = 'summary') s
+      where d.section in ('payment_distribution', 'city_tier_distribution')""",
+)
+def m6_maps(spark, root):
+    """The distributions of the snapshot as maps, taken apart again."""
+    row = snapshot_maps(live_dashboard(B.orders_placed(spark, root), AS_OF))
+    parts = [row.select(F.lit(d).alias("section"), F.explode(d).alias("name", "share_pct"), "total_orders", "total_revenue_inr") for d in DISTRIBUTIONS]
+    return parts[0].unionByName(parts[1])

@@ -410,6 +410,24 @@ def v11_embed(spark, root):
     return out.select("review_id", F.col("embedding")[0].alias("x"), F.col("embedding")[1].alias("y"))
 
 
+@query(
+    "v4_enriched_records",
+    using(
+        "model_responses",
+        """select review_id, enrichment_success, model_used, '2024-02-01 00:00:00.000000' as enriched_at,
+      case when enrichment_success then n / sqrt(n * n + s * s) end as x, case when enrichment_success then s / sqrt(n * n + s * s) end as y
+      from (select *, length(review_text)::double as n,
+        (length(review_text) - length(replace(review_text, ' ', '')))::double as s from enriched) t""",
+        also=ENRICHED,
+    ),
+)
+def v4_records(spark, root):
+    """With the vector of a valid answer's text and the time of the run."""
+    out = R.enriched_records(B.model_responses(spark, root), length_and_spaces, "2024-02-01 00:00:00")
+    x, y = F.col("embedding")[0].alias("x"), F.col("embedding")[1].alias("y")
+    return out.select("review_id", "enrichment_success", "model_used", "enriched_at", x, y)
+
+
 # ---- vector search --------------------------------------------------------------------
 
 

@@ -115,3 +115,15 @@ def test_maps_of_distributions(spark):
     df = spark.createDataFrame([("a", "x"), ("a", "y"), ("b", None)], "p string, q string").withColumn("amount_inr", F.lit(1).cast("decimal(18,2)"))
     got = {r.dimension: r.orders_by_value for r in A.distributions(A.counters(df, ["p", "q"])).collect()}
     assert got == {"p": {"a": 2, "b": 1}, "q": {"x": 1, "y": 1}}
+
+
+def test_throughput_of_a_run(spark):
+    from bazaarflow.plans.dashboard import snapshot_maps
+    from bazaarflow.streaming.metrics import LiveMetrics
+
+    progress = spark.createDataFrame([(0, 100, 50.0, True), (1, 300, 100.0, True), (2, 0, 0.0, True)], "batch_id bigint, input_rows bigint, rows_per_second double, drained boolean")
+    assert LiveMetrics.throughput(progress) == 80.0
+    assert LiveMetrics.throughput(progress.filter("input_rows = 0")) is None
+    none = spark.createDataFrame([], "section string, place int, name string, value double, orders bigint, share_pct double")
+    row = snapshot_maps(none, 80.0).first()
+    assert row.total_orders is None and row.payment_distribution == {} and row.orders_per_second == 80.0
