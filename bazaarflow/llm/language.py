@@ -47,7 +47,11 @@ def learn(docs: DataFrame, id_col="doc_id", text_col="text", lang_col="lang", ro
     known = docs.filter(F.col(f"`{lang_col}`").isNotNull() & ~held_out(id_col))
     known = known.select(F.col(f"`{lang_col}`").cast("string").alias("lang"), F.col(f"`{text_col}`").cast("string").alias("text"))
     known = known.filter(F.length("text") > 0).withColumn("h", F.xxhash64("text"))
-    first = known.select("lang", "h").distinct()
+    # The smallest hashes are among those below a bound that a few times as many texts pass, so a language of any size is a few rows.
+    per = known.groupBy("lang").agg(F.approx_count_distinct("h").alias("n")).withColumnRenamed("lang", "_lang")
+    place = (F.col("h").cast("double") + float(1 << 63)) / float(1 << 64)
+    first = known.select("lang", "h").join(per, F.col("lang") == F.col("_lang"))
+    first = first.filter(place < (4 * rows + 100) / F.col("n")).select("lang", "h").distinct()
     first = first.withColumn("nth", F.row_number().over(W.partitionBy("lang").orderBy("h"))).filter(F.col("nth") <= rows)
     chosen = first.select("lang", "h").collect()
     if not chosen:
