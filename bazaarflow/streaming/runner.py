@@ -105,17 +105,21 @@ class LatestRows:
         return f"{self.root}/part={batch_id // self.merge_every}/batch={batch_id}"
 
     def write(self, batch: DataFrame, batch_id: int) -> None:
-        if batch_id and batch_id % self.merge_every == 0:
-            # What the parts before hold, as of their last batch; the same however often this batch is repeated.
-            part = batch_id // self.merge_every
-            self._newest(part - 1).write.mode("overwrite").parquet(f"{self.root}/merged={part}")
+        part = batch_id // self.merge_every
+        before = [p for p in self._parts() if p < part]
+        if before and "_SUCCESS" not in _folders(self.spark, f"{self.root}/merged={part}"):
+            # What the parts before hold, as of their last batch; the same however often it is written.
+            self._newest(max(before)).write.mode("overwrite").parquet(f"{self.root}/merged={part}")
         batch.select(*[F.col(f.name).cast(f.dataType) for f in self.schema]).write.mode("overwrite").parquet(self._batch(batch_id))
 
+    def _parts(self) -> list[int]:
+        return [int(name.split("=")[1]) for name in _folders(self.spark, self.root) if name.startswith("part=")]
+
     def _newest(self, part: int) -> DataFrame:
         """Newest rows of a part and of the merged table before it."""
         full = T.StructType([*self.schema.fields, T.StructField("batch", T.LongType())])
         rows = self.spark.read.schema(full).option("basePath", f"{self.root}/part={part}").parquet(f"{self.root}/part={part}")
-        if part:
+        if f"merged={part}" in _folders(self.spark, self.root):
             before = self.spark.read.schema(self.schema).parquet(f"{self.root}/merged={part}")
             rows = rows.unionByName(before.withColumn("batch", F.lit(-1).cast("bigint")))
         values = [f.name for f in self.schema if f.name not in self.keys]
@@ -123,10 +127,8 @@ class LatestRows:
         return newest.select(*[F.col(k) if k in self.keys else F.col(f"v.{k}") for k in self.schema.names])
 
     def read(self) -> DataFrame:
-        parts = [name for name in _folders(self.spark, self.root) if name.startswith("part=")]
-        if not parts:
-            return self.spark.createDataFrame([], self.schema)
-        return self._newest(max(int(p.split("=")[1]) for p in parts))
+        parts = self._parts()
+        return self._newest(max(parts)) if parts else self.spark.createDataFrame([], self.schema)
 
 
 def _folders(spark: SparkSession, path: str) -> list[str]:
