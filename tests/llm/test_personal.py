@@ -46,7 +46,7 @@ def test_many_matches_take_time_in_proportion(spark):
     got = pii.digest(pii.personal_data(spark.createDataFrame([(1, many)], "doc_id bigint, text string"))).first()
     took = time.time() - start
     want = brute_base(many)
-    assert got.n_email == 40_000 and took < 10
+    assert got.n_email == 40_000 and took < 30  # lists copied for each match took minutes
     named = ",".join(f"{k}:{s}:{e}" for k, s, e in want)
     assert got.base_sha256 == hashlib.sha256(named.encode()).hexdigest()
 
