@@ -9,7 +9,7 @@ from bazaarflow.operators.counters import write_counted
 from bazaarflow.plans.dashboard import DISTRIBUTIONS, live_dashboard, snapshot_maps
 from bazaarflow.session import scratch_path
 
-from .base import big, dbl, div, pct, query, rnd, stamp, using
+from .base import big, pct, query, rnd, stamp, using
 
 # The events are sparse, so the rules run with days instead of minutes.
 RULES = (

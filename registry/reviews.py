@@ -12,7 +12,7 @@ from bazaarflow.operators.counters import as_row, write_counted
 from bazaarflow.session import scratch_path
 from bazaarflow.streaming.runner import run_counted
 
-from .base import big, day, dbl, query, rnd, stamp, using
+from .base import big, day, query, rnd, using
 
 TRIM = "regexp_replace({x}, '^\\s+|\\s+$', '', 'g')"
 
