@@ -99,6 +99,15 @@ def order_lines(orders: DataFrame) -> DataFrame:
     return orders.select("order_id", line.alias("line"))
 
 
+# Rows of a compressed JSON file: such a file is read by one task, so its size must not follow that of the writing task.
+ROWS_PER_FILE = 500_000
+
+
+def write_rows(df: DataFrame, path: str, rows_per_file: int = ROWS_PER_FILE) -> None:
+    """JSON rows for ``read_rows``, compressed: names and quotes repeat in every row and are most of the text."""
+    df.write.option("compression", "gzip").option("maxRecordsPerFile", rows_per_file).json(path)
+
+
 def read_rows(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Typed table from JSON rows, dates included."""
     return spark.read.schema(schema).option("dateFormat", "yyyy-MM-dd").json(path)

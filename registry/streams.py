@@ -241,7 +241,7 @@ def s11(spark, root):
 )
 def s12(spark, root):
     path = scratch_path(spark, "s12")
-    B.orders_fact(spark, root).write.json(path)
+    Ev.write_rows(B.orders_fact(spark, root), path)
     return Ev.read_rows(spark, path, ORDERS)
 
 
