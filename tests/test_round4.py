@@ -1,6 +1,9 @@
 """Bytes, reads and memory of single tasks: compressed rows, file sizes, distinct counts and stored upserts."""
 
+from pyspark.sql import functions as F
+
 from bazaarflow import bindings as B
+from bazaarflow.plans.daily_revenue import daily_revenue
 from bazaarflow.schemas import ORDERS
 from bazaarflow.sources import events as Ev
 from registry import QUERIES
@@ -17,3 +20,27 @@ def test_json_rows_are_compressed_in_small_files(spark, root, tmp_path):
     back = Ev.read_rows(spark, path, ORDERS)
     assert all(spark.read.text(f).count() <= 500 for f in back.inputFiles())
     assert rows_of(back.select(orders.columns)) == rows_of(orders)
+
+
+def daily_by_sets(orders):
+    """The counts of the daily revenue, from sets."""
+    groups = {}
+    for r in orders.collect():
+        group = groups.setdefault((r.order_date, r.category, r.city_tier, r.is_sale_day), [0, set(), set()])
+        group[0] += r.order_id is not None
+        group[1] |= {r.customer_id} - {None}
+        group[2] |= {r.seller_id} - {None}
+    return {k: (n, len(customers), len(sellers)) for k, (n, customers, sellers) in groups.items()}
+
+
+def test_daily_revenue_counts_without_copies_of_rows(spark, root):
+    """Repeated rows, nulls in every counted column and in the keys; no row enters an aggregate once per count."""
+    orders = B.orders_fact(spark, root).withColumn("order_date", F.expr("date_trunc('year', order_date)").cast("date"))
+    for name, every in (("customer_id", 3), ("seller_id", 5), ("order_id", 7), ("category", 11)):
+        orders = orders.withColumn(name, F.when(F.pmod(F.xxhash64("order_id", F.lit(name)), F.lit(every)) != 0, F.col(name)))
+    orders = spark.createDataFrame(orders.unionAll(orders.limit(2000)).collect(), orders.schema)
+    daily = daily_revenue(orders)
+    assert "Expand" not in daily._jdf.queryExecution().executedPlan().toString()
+    keys = ["order_date", "category", "city_tier", "is_sale_day"]
+    got = {tuple(r[k] for k in keys): (r.order_count, r.unique_customers, r.active_sellers) for r in daily.collect()}
+    assert got == daily_by_sets(orders)
