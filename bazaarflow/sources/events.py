@@ -91,6 +91,21 @@ def end_stream(spark: SparkSession, sink: Topics | JsonFiles, ts: str = "ts") ->
     write_events(spark.sql(f"select to_timestamp('{END_TIME}') as {ts}"), sink)
 
 
+# Rows of a file that a stream reads, and files of one micro-batch.
+STREAM_ROWS, STREAM_FILES = 20_000, 64
+
+
+def write_for_stream(df: DataFrame, path: str, rows_per_file: int = STREAM_ROWS, least: int = 4) -> int:
+    """Parquet files for a stream: ``least`` of them, more if the rows are more than those can hold.
+
+    Every file is written by one task, so what that reads stays the same however many rows there are. Returns the number of
+    files for one micro-batch: half of them, 64 at most.
+    """
+    files = max(least, -(-df.count() // rows_per_file))
+    df.repartition(files).write.parquet(path)
+    return max(1, min(STREAM_FILES, files // 2))
+
+
 def order_lines(orders: DataFrame) -> DataFrame:
     """One printable line per order, for a console sink."""
     line = F.format_string(

@@ -10,6 +10,7 @@ from bazaarflow.functions.text import language_hint, strip_fence
 from bazaarflow.operators import reviews as R, search as S, upsert as U
 from bazaarflow.operators.counters import as_row, write_counted
 from bazaarflow.session import scratch_path
+from bazaarflow.sources import events as Ev
 from bazaarflow.streaming.runner import run_counted
 
 from .base import big, day, query, rnd, using
@@ -191,8 +192,8 @@ def a13_stream(spark, root):
     """The same out of the batches of a stream."""
     source, out = scratch_path(spark, "responses"), scratch_path(spark, "enriched")
     responses = B.model_responses(spark, root)
-    responses.repartition(4).write.parquet(source)
-    stream = spark.readStream.schema(responses.schema).option("maxFilesPerTrigger", 2).parquet(source)
+    files = Ev.write_for_stream(responses, source)
+    stream = spark.readStream.schema(responses.schema).option("maxFilesPerTrigger", files).parquet(source)
     counters = run_counted(R.enrich(stream), R.enrichment_numbers(), out, scratch_path(spark, "enriched-checkpoint"))[1]
     return as_row(spark, counters, COUNTED)
 

@@ -44,3 +44,13 @@ def test_daily_revenue_counts_without_copies_of_rows(spark, root):
     keys = ["order_date", "category", "city_tier", "is_sale_day"]
     got = {tuple(r[k] for k in keys): (r.order_count, r.unique_customers, r.active_sellers) for r in daily.collect()}
     assert got == daily_by_sets(orders)
+
+
+def test_files_of_a_stream_grow_in_number(spark, tmp_path):
+    few, many = str(tmp_path / "few"), str(tmp_path / "many")
+    assert Ev.write_for_stream(spark.range(100), few, rows_per_file=1000) == 2
+    assert Ev.write_for_stream(spark.range(10_000), many, rows_per_file=1000) == 5
+    assert Ev.write_for_stream(spark.range(0), str(tmp_path / "none"), rows_per_file=1000) == 2
+    assert len(spark.read.parquet(few).inputFiles()) == 4
+    sizes = [spark.read.parquet(f).count() for f in spark.read.parquet(many).inputFiles()]
+    assert len(sizes) == 10 and sum(sizes) == 10_000 and max(sizes) <= 1100
