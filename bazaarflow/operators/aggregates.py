@@ -39,7 +39,8 @@ def totals_with_distincts(df: DataFrame, keys: list[str], sums: dict[str, Column
 def mark_first(df: DataFrame, keys: list[str], value: str, name: str) -> DataFrame:
     """Add a flag that is true on one row of each combination of ``keys`` whose ``value`` is not null, and on no other row.
 
-    The flags of a coarser key add up to its distinct values. Every row is sorted once, none is copied.
+    The flags of a coarser key add up to its distinct values. Every row is sorted once, none is copied; the rows of one combination
+    are one task, whose sort spills.
     """
     place = F.row_number().over(W.partitionBy(*keys).orderBy(F.lit(0)))
     return df.withColumn(name, (place == 1) & F.col(value).isNotNull())
